@@ -6,7 +6,40 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import canonlist, leakage, repetition, survivors
+from . import canonlist, encodings, leakage, repetition, survivors, truncation, uniform
+
+
+def _records(spark: SparkSession, d: str, name: str, key: str) -> DataFrame:
+    return table(spark, d, name).select(F.lit(name).alias("table_name"), F.col(key).cast("string").alias("record_id"), "text")
+
+
+def _captions(spark: SparkSession, d: str) -> DataFrame:
+    return _records(spark, d, "text_items", "item_id").unionByName(_records(spark, d, "stamp_items", "item_id"))
+
+
+def _pairs(spark: SparkSession, d: str) -> list[tuple[int, int, int]]:
+    return encodings.train(_captions(spark, d).select("text"))
+
+
+def _inconsistent(spark: SparkSession, d: str) -> DataFrame:
+    records = _records(spark, d, "text_items", "item_id").unionByName(_records(spark, d, "note_texts", "id"))
+    return uniform.inconsistent_records(records, _pairs(spark, d), garbled_tables=("text_items",))
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return _inconsistent(spark, d).select("table_name", "record_id").distinct()
+
+
+def p1_uniform(spark: SparkSession, d: str) -> DataFrame:
+    return _inconsistent(spark, d).select("table_name", "record_id", "uniform").distinct()
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return encodings.garbled_records(_captions(spark, d), _pairs(spark, d)).select("table_name", "record_id")
+
+
+def p2_restored(spark: SparkSession, d: str) -> DataFrame:
+    return encodings.garbled_records(_captions(spark, d), _pairs(spark, d)).select("table_name", "record_id", "restored", "restorable")
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
@@ -29,6 +62,21 @@ def p5_unmatched(spark: SparkSession, d: str) -> DataFrame:
     return _labels(spark, d).filter("ref_id is null").select("legend_id")
 
 
+def _cuts(spark: SparkSession, d: str) -> DataFrame:
+    captions = table(spark, d, "text_items").select(F.lit("text_items").alias("table_name"), F.col("item_id").cast("string").alias("record_id"), F.coalesce("source", F.lit("")).alias("part"), F.concat(F.lit("text:"), F.coalesce("source", F.lit(""))).alias("model"), "text")
+    kind = F.trim(F.regexp_replace("kind", r"(?U)\s+", " "))
+    findings = table(spark, d, "findings").select(F.lit("findings").alias("table_name"), F.col("finding_id").cast("string").alias("record_id"), F.coalesce("tool", F.lit("")).alias("part"), F.lit("kind").alias("model"), kind.alias("text"))
+    return truncation.cut_values(captions.unionByName(findings), _pairs(spark, d))
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return _cuts(spark, d).filter("cut").select("table_name", "record_id")
+
+
+def p6_rates(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.cut_rates(_cuts(spark, d))
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return leakage.leaked_items(table(spark, d, "documents"), table(spark, d, "eval_items"))
 
@@ -45,7 +93,7 @@ def p10_share(spark: SparkSession, d: str) -> DataFrame:
     return repetition.repetition_share(table(spark, d, "documents"))
 
 
-QUERIES = {"p4_found": p4_found, "p4_golden": p4_golden, "p5_found": p5_found, "p5_unmatched": p5_unmatched, "p8_found": p8_found, "p8_report": p8_report, "p10_found": p10_found, "p10_share": p10_share}
+QUERIES = {"p1_found": p1_found, "p1_uniform": p1_uniform, "p2_found": p2_found, "p2_restored": p2_restored, "p4_found": p4_found, "p4_golden": p4_golden, "p5_found": p5_found, "p5_unmatched": p5_unmatched, "p6_found": p6_found, "p6_rates": p6_rates, "p8_found": p8_found, "p8_report": p8_report, "p10_found": p10_found, "p10_share": p10_share}
 
 ORACLE = {
     "p4_found": r"""

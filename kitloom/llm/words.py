@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 WORD = re.compile(r"[^\W_]+")
-LINE_BREAK_HYPHEN = re.compile(r"(?<=[^\W_])[-­‐‑][ \t\r]*\n[ \t\r]*(?=[^\W_])")
+LINE_BREAK_HYPHEN = re.compile(r"(?<=[^\W_])[-\u00ad\u2010\u2011][ \t\r]*\n[ \t\r]*(?=[^\W_])")
 
 
 def words(text: str) -> list[str]:
