@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import canonlist, encodings, leakage, repetition, survivors, truncation, uniform
+from . import canonlist, encodings, leakage, mixture, repetition, survivors, truncation, uniform
 
 
 def _records(spark: SparkSession, d: str, name: str, key: str) -> DataFrame:
@@ -85,6 +85,14 @@ def p8_report(spark: SparkSession, d: str) -> DataFrame:
     return p8_found(spark, d).groupBy("item_id").agg(F.count("*").alias("pages"))
 
 
+def p9_mix(spark: SparkSession, d: str) -> DataFrame:
+    return mixture.mix(table(spark, d, "documents"), table(spark, d, "source_targets"))[0]
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    return mixture.mix(table(spark, d, "documents"), table(spark, d, "source_targets"))[1]
+
+
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return repetition.self_repeating(table(spark, d, "documents")).select("doc_id")
 
@@ -93,7 +101,7 @@ def p10_share(spark: SparkSession, d: str) -> DataFrame:
     return repetition.repetition_share(table(spark, d, "documents"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_uniform": p1_uniform, "p2_found": p2_found, "p2_restored": p2_restored, "p4_found": p4_found, "p4_golden": p4_golden, "p5_found": p5_found, "p5_unmatched": p5_unmatched, "p6_found": p6_found, "p6_rates": p6_rates, "p8_found": p8_found, "p8_report": p8_report, "p10_found": p10_found, "p10_share": p10_share}
+QUERIES = {"p1_found": p1_found, "p1_uniform": p1_uniform, "p2_found": p2_found, "p2_restored": p2_restored, "p4_found": p4_found, "p4_golden": p4_golden, "p5_found": p5_found, "p5_unmatched": p5_unmatched, "p6_found": p6_found, "p6_rates": p6_rates, "p8_found": p8_found, "p8_report": p8_report, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_share": p10_share}
 
 ORACLE = {
     "p4_found": r"""

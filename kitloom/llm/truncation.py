@@ -40,8 +40,9 @@ LOW = 0.1
 
 _INTEGER = re.compile(r"(?<![0-9.,])[0-9]+")
 _DIGIT = re.compile(r"[0-9]")
-_CYRILLIC = re.compile("[Ѐ-ԯ]")
-_LATIN = re.compile("[A-Za-zÀ-ɏ]")
+#: Signs for lost letters count as Cyrillic ones.
+_CYRILLIC = re.compile("[Ѐ-ԯ?\ufffd]")
+_LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
