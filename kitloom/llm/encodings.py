@@ -153,6 +153,7 @@ class EncodingModel:
             tables.append(np.log((count + SMOOTHING * single[None, :]) / (before + SMOOTHING)))
         self.v = v
         self.emit = np.stack(tables, axis=2).astype(np.float32)  # before, after, state
+        self.garbled_emit = np.ascontiguousarray(self.emit[:, :, 1:]).reshape(-1, len(joints) - 1)
         self.gain = (self.emit[:, :, 1:].max(axis=2) - self.emit[:, :, 0]).astype(np.float32)
         self.states = len(joints)
 
@@ -175,37 +176,44 @@ class EncodingModel:
         return best > -START_GARBLED  # the cheapest way in
 
     def _viterbi(self, pairs: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """The states of the best labelling, one row a text."""
+        """The states of the best labelling, one row a text.
+
+        Garbled states are entered from the clean one and left to it, so a garbled state's way back is one bit a step.
+        """
         n, t = pairs.shape
         garbled = self.states - 1
-        emit = self.emit.reshape(-1, self.states)
-        start_g, enter = np.float32(START_GARBLED - math.log(garbled)), np.float32(ENTER - math.log(garbled))
-        score = np.concatenate([np.zeros((n, 1), np.float32), np.full((n, garbled), start_g, np.float32)], axis=1) + emit[pairs[:, 0]]
-        came = np.zeros((t, n, self.states), dtype=np.int8)
-        same = np.arange(self.states, dtype=np.int8)
-        ends = np.zeros((n, self.states), dtype=np.float32)
-        ends[lengths == 1] = score[lengths == 1]
-        for k in range(1, t):
-            best_g = score[:, 1:].argmax(axis=1) + 1
-            leave = score[np.arange(n), best_g] + np.float32(LEAVE)
-            came[k] = same
-            new = score.copy()
-            back = leave > score[:, 0]
-            new[back, 0] = leave[back]
-            came[k, back, 0] = best_g[back]
-            into = (score[:, 0] + enter)[:, None] > score[:, 1:]
-            new[:, 1:] = np.where(into, (score[:, 0] + enter)[:, None], score[:, 1:])
-            came[k, :, 1:][into] = 0
-            score = new + emit[pairs[:, k]]
-            at = lengths == k + 1
-            ends[at] = score[at]
+        clean_emit, emit = self.emit[:, :, 0].ravel(), self.garbled_emit
+        enter = np.float32(ENTER - math.log(garbled))
+        clean = clean_emit[pairs[:, 0]]
+        other = emit[pairs[:, 0]] + np.float32(START_GARBLED - math.log(garbled))
+        entered = np.zeros((t, n, garbled), dtype=bool)
+        left_from = np.zeros((t, n), dtype=np.int8)  # 0: clean before, else the garbled state left
+        final = np.zeros(n, dtype=np.int8)
+        for k in range(t):
+            if k:
+                way_in = (clean + enter)[:, None]
+                np.greater(way_in, other, out=entered[k])
+                leave = other.max(axis=1) + np.float32(LEAVE)
+                back = np.flatnonzero(leave > clean)
+                if len(back):
+                    left_from[k, back] = other[back].argmax(axis=1) + 1
+                    clean[back] = leave[back]
+                np.maximum(other, way_in, out=other)
+                clean = clean + clean_emit[pairs[:, k]]
+                other += emit[pairs[:, k]]
+            done = np.flatnonzero(lengths == k + 1)
+            if len(done):
+                best = other[done].argmax(axis=1)
+                final[done] = np.where(other[done, best] > clean[done], best + 1, 0)
         path = np.zeros((n, t), dtype=np.int8)
-        state = ends.argmax(axis=1).astype(np.int8)
+        state = final
+        rows = np.arange(n)
         for k in range(t - 1, -1, -1):
             inside = lengths > k
             path[inside, k] = state[inside]
             if k:
-                state = np.where(inside, came[k, np.arange(n), state], state)
+                before = np.where(state == 0, left_from[k], np.where(entered[k, rows, np.maximum(state, 1) - 1], 0, state))
+                state = np.where(inside, before, state).astype(np.int8)
         return path
 
     def spans(self, texts: list[str]) -> dict[int, list[tuple[int, int, int]]]:

@@ -55,7 +55,8 @@ def normal(text: str) -> str:
 
 
 def language(text: str) -> str:
-    return "latin" if len(_LATIN.findall(text)) > len(_CYRILLIC.findall(text)) else "cyrillic"
+    latin = len(_LATIN.findall(text))
+    return "latin" if latin and latin > len(_CYRILLIC.findall(text)) else "cyrillic"
 
 
 def _mixed(x: np.ndarray, salt: np.ndarray | np.uint64) -> np.ndarray:
