@@ -178,7 +178,7 @@ def context_chances(texts: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(n, pa.int64())], names=["h", "n"])
 
     rows = texts.select("grp", "normal")
-    distinct = rows.mapInArrow(endings, "ctx bigint, levels array<bigint>, n bigint").groupBy("ctx").agg(F.sum("n").alias("n"), F.any_value("levels").alias("levels"))
+    distinct = cut_lineage(rows.mapInArrow(endings, "ctx bigint, levels array<bigint>, n bigint").groupBy("ctx").agg(F.sum("n").alias("n"), F.any_value("levels").alias("levels")))
     each = distinct.select("ctx", "n", F.posexplode("levels").alias("level", "h"))
     total = rows.mapInArrow(occurrences, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("occurs"))
     ends = each.groupBy("h").agg(F.sum("n").alias("ends"))
