@@ -26,9 +26,9 @@ def votes(broken: DataFrame, known: DataFrame, mapping: dict[str, str]) -> DataF
     masked = broken.select(F.col("word").alias("raw"), decoded.alias("seen")).withColumn("len", F.length("seen")).withColumn("mask", F.regexp_replace("seen", BROKEN, "."))
     anchors = masked.withColumn("at", F.array_position(F.transform(F.split("mask", ""), lambda c: c != "."), True)).withColumn("letter", F.when(F.col("at") > 0, F.substring("mask", F.col("at"), F.lit(1))))
     places = known.select(F.col("word").alias("target"), F.length("word").alias("len"), F.posexplode(F.split("word", "")).alias("p", "letter"))
-    hit = anchors.filter("at > 0").join(places.withColumn("at", (F.col("p") + 1).cast("long")).drop("p"), ["len", "at", "letter"]).filter(F.col("target").rlike(F.concat(F.lit("^"), F.col("mask"), F.lit("$"))))
+    hit = anchors.filter("at > 0").join(places.withColumn("at", (F.col("p") + 1).cast("long")).drop("p"), ["len", "at", "letter"]).filter(F.rlike("target", F.concat(F.lit("^"), F.col("mask"), F.lit("$"))))
     single = hit.groupBy("raw", "seen").agg(F.count("*").alias("n"), F.min("target").alias("target")).filter("n = 1")
-    pairs = single.select("raw", F.explode(F.arrays_zip(F.split("seen", "").alias("a"), F.split("target", "").alias("b"))).alias("p")).filter(F.col("p.a").rlike(f"^{BROKEN}$"))
+    pairs = single.select("raw", F.explode(F.zip_with(F.split("seen", ""), F.split("target", ""), lambda a, b: F.struct(a.alias("a"), b.alias("b")))).alias("p")).filter(F.col("p.a").rlike(f"^{BROKEN}$"))
     return pairs.groupBy(F.col("p.a").alias("broken_char"), F.col("p.b").alias("char")).agg(F.count("*").alias("n"), F.max(F.length("raw")).alias("longest"))
 
 

@@ -46,7 +46,7 @@ def _padded(bucket: np.ndarray, values: np.ndarray, n: int) -> tuple[np.ndarray,
     """values by bucket as a matrix of one row a bucket, and the rows' lengths."""
     order = np.argsort(bucket, kind="stable")
     lengths = np.bincount(bucket, minlength=n)
-    start = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+    start = np.cumsum(lengths) - lengths
     place = np.arange(len(bucket)) - np.repeat(start, lengths)
     matrix = np.zeros((n, max(1, int(lengths.max(initial=0)))), dtype=values.dtype)
     matrix[bucket[order], place] = values[order]

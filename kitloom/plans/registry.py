@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import datasets, kits, sheets, texts
+from . import datasets, documents, kits, sheets, texts
 
-MODULES = (datasets, texts, kits, sheets)
+MODULES = (datasets, texts, kits, sheets, documents)
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in MODULES for name, sql in module.ORACLE.items()}
