@@ -200,7 +200,7 @@ def strip_tile_markers(c: Column) -> Column:
     out = F.regexp_replace(c, r"<\|[^|>]*\|>", "")
     out = F.regexp_replace(out, "(?i)</t[dh]>", " | ")
     out = F.regexp_replace(out, "(?i)</tr>", " |\n")
-    return F.trim(F.regexp_replace(out, "(?i)</?(table|tbody|thead|tr|td|th)[^>]*>", ""))
+    return F.regexp_replace(F.regexp_replace(out, "(?i)</?(table|tbody|thead|tr|td|th)[^>]*>", ""), r"^\s+|\s+$", "")
 
 
 def plural(n: Column, one: str, few: str, many: str) -> Column:
