@@ -115,3 +115,31 @@ def changed_findings(before: DataFrame, after: DataFrame, keys: list[str], value
 def symmetric_difference(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows of one run that the other lacks, with multiplicity."""
     return left.exceptAll(right).withColumn("side", F.lit("left")).unionByName(right.exceptAll(left).withColumn("side", F.lit("right")))
+
+
+def orphan_definitions(definitions: DataFrame, inserts: DataFrame, key: str, least: int = 1) -> DataFrame:
+    """Definitions that are never inserted and hold enough rows, one per content."""
+    unused = definitions.filter(F.col(key).isNotNull()).join(inserts.select(key).distinct(), key, "left_anti")
+    content = unused.groupBy(key).agg(F.count("*").alias("n"), F.sha2(F.concat_ws("|", F.sort_array(F.collect_set("label"))), 256).alias("content")).filter(F.col("n") >= least)
+    return content.groupBy("content").agg(F.min(key).alias(key), F.max("n").alias("n"))
+
+
+def field_loss(source: DataFrame, parsed: DataFrame, keys: list[str], flag: str, least: int = 10) -> DataFrame:
+    """Keys whose share of rows with a field fell: lost if none is left, weak if under a quarter stayed."""
+    share = lambda df, name: df.groupBy(*keys).agg(F.count("*").alias(f"{name}_rows"), F.count_if(F.col(flag)).alias(f"{name}_with"))
+    both = share(source, "source").join(share(parsed, "parsed"), keys, "left").fillna(0)
+    before = F.col("source_with") / F.col("source_rows")
+    after = F.when(F.col("parsed_rows") > 0, F.col("parsed_with") / F.col("parsed_rows")).otherwise(0.0)
+    verdict = F.when(F.col("parsed_with") == 0, "lost").when(after < before / 4, "weak")
+    return both.filter((F.col("source_with") >= least) & (before >= 0.02)).withColumn("verdict", verdict).filter("verdict is not null")
+
+
+def is_soil_fill(label: Column) -> Column:
+    """A lithology row of a legend, no water, date, level or border."""
+    low = T.yo(F.lower(label))
+    return low.rlike("песок|песч|суглин|супес|глин|насып|почв|торф|щебен|гравий") & ~low.rlike("вод|дата|уровень|границ|скважин")
+
+
+def is_wrapped_label(lines: Column) -> Column:
+    """A label of several lines: a long one or one that ends in a connector."""
+    return F.exists(lines, lambda x: (F.length(x) >= 40) | F.lower(F.trim(x)).rlike("(,|-| и| в| на| с| для| из| по)$"))

@@ -211,14 +211,16 @@ def tile_grid(width: int, height: int, tile: int, most: int) -> tuple[int, int]:
 def added_in_order(known: set[str], lines: list[str], tokens: Callable[[str], set[str]], base: list[set[str]], reread: float = 0.6) -> list[str]:
     """Lines with tokens not known before, each accepted line adding its own; misread lines of base are left out."""
     out, seen = [], set()
+    joined = "\n".join(known)  # a fresh token that stands in it is a piece of a known one
     for line in lines:
         own = tokens(line)
         key = " ".join(line.split()).lower()
-        fresh = {t for t in own - known if len(t) >= 3 and not any(t in k for k in known if len(k) > len(t))}
+        fresh = {t for t in own - known if len(t) >= 3 and t not in joined}
         if key in seen or not fresh or any(b and len(own & b) >= reread * len(own) for b in base):
             continue
         seen.add(key)
         out.append(line)
+        joined = "\n".join([joined, *sorted(own - known)])
         known |= own
     return out
 

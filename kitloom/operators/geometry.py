@@ -139,3 +139,93 @@ def span_text(numbers: DataFrame, keys: list[str], value: str) -> DataFrame:
     ranges = island.groupBy(*keys, "i").agg(F.min("n").alias("a"), F.max("n").alias("b"))
     piece = F.when(F.col("a") == F.col("b"), F.col("a").cast("string")).otherwise(F.concat(F.col("a").cast("string"), F.lit("–"), F.col("b").cast("string")))
     return ranges.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("a", piece.alias("p")))), lambda x: x["p"]), ", ").alias("spans"))
+
+
+def frame_signatures(boxes: DataFrame, document: str, page: str, share: float = 0.3, least: int = 3) -> DataFrame:
+    """Rounded boxes that recur on enough of a document's pages: its frames."""
+    rounded = boxes.select(document, page, *[F.round(c).cast("int").alias(c) for c in ("x0", "y0", "x1", "y1")])
+    pages = boxes.groupBy(document).agg(F.count_distinct(page).alias("pages"))
+    seen = rounded.groupBy(document, "x0", "y0", "x1", "y1").agg(F.count_distinct(page).alias("on_pages"))
+    return seen.join(pages, document).filter((F.col("on_pages") >= least) & (F.col("on_pages") >= F.col("pages") * share))
+
+
+def cell_texts(points: DataFrame, cells: DataFrame, keys: list[str], cell_id: str, text: str, size: float) -> DataFrame:
+    """The text of each cell: its captions from top to bottom, left to right."""
+    from .matching import points_in_boxes
+
+    inside = points_in_boxes(points, cells, keys, cell=size)
+    ordered = F.array_sort(F.collect_list(F.struct((-F.col("y")).alias("y"), "x", F.col(text).alias("t"))))
+    return inside.groupBy(*keys, cell_id).agg(F.array_join(F.transform(ordered, lambda s: s["t"]), " ").alias("text"))
+
+
+def drawing_field(sheet: str, stamp: str) -> Column:
+    """The largest of the four remainders of a sheet box after its stamp is cut away."""
+    s, t = F.col(sheet), F.col(stamp)
+    box = lambda x0, y0, x1, y1: F.struct(((x1 - x0) * (y1 - y0)).alias("area"), x0.alias("x0"), y0.alias("y0"), x1.alias("x1"), y1.alias("y1"))
+    parts = F.array(box(s.x0, s.y0, t.x0, s.y1), box(t.x1, s.y0, s.x1, s.y1), box(s.x0, t.y1, s.x1, s.y1), box(s.x0, s.y0, s.x1, t.y0))
+    return F.array_max(parts)
+
+
+def fitted(inner: str, outer: str) -> Column:
+    """A box moved into another one as far as it must be, then cut to it."""
+    i, o = F.col(inner), F.col(outer)
+    dx = F.when(i.x0 < o.x0, o.x0 - i.x0).when(i.x1 > o.x1, F.greatest(o.x1 - i.x1, o.x0 - i.x0)).otherwise(0.0)
+    dy = F.when(i.y0 < o.y0, o.y0 - i.y0).when(i.y1 > o.y1, F.greatest(o.y1 - i.y1, o.y0 - i.y0)).otherwise(0.0)
+    return F.struct((i.x0 + dx).alias("x0"), (i.y0 + dy).alias("y0"), F.least(i.x1 + dx, o.x1).alias("x1"), F.least(i.y1 + dy, o.y1).alias("y1"))
+
+
+def clipped_segment(x0: Column, y0: Column, x1: Column, y1: Column, box: str) -> Column:
+    """A segment cut to a box as struct x0, y0, x1, y1; null if it lies outside."""
+    b = F.col(box)
+    dx, dy = x1 - x0, y1 - y0
+    low, high, outside = F.lit(0.0), F.lit(1.0), F.lit(False)
+    for p, q in ((-dx, x0 - b.x0), (dx, b.x1 - x0), (-dy, y0 - b.y0), (dy, b.y1 - y0)):
+        t = q / F.nullif(p, F.lit(0.0))
+        low = F.greatest(low, F.when(p < 0, t).otherwise(0.0))
+        high = F.least(high, F.when(p > 0, t).otherwise(1.0))
+        outside = outside | ((p == 0) & (q < 0))
+    cut = F.struct((x0 + dx * low).alias("x0"), (y0 + dy * low).alias("y0"), (x0 + dx * high).alias("x1"), (y0 + dy * high).alias("y1"))
+    return F.when(~outside & (low <= high), cut)
+
+
+def shape_signature(points: Column, kind: Column) -> Column:
+    """Hash of a shape that neither moving nor scaling changes: points relative to their box, rounded."""
+    xs, ys = F.transform(points, lambda p: p["x"]), F.transform(points, lambda p: p["y"])
+    x0, y0 = F.array_min(xs), F.array_min(ys)
+    size = F.greatest(F.array_max(xs) - x0, F.array_max(ys) - y0, F.lit(1e-9))
+    part = lambda p: F.concat_ws(",", F.round((p["x"] - x0) / size, 2).cast("string"), F.round((p["y"] - y0) / size, 2).cast("string"))
+    return F.sha2(F.concat_ws(";", kind, F.array_join(F.transform(points, part), ";")), 256)
+
+
+def outside_tables(blocks: DataFrame, tables: DataFrame, keys: list[str], block_id: str, share: float = 0.6) -> DataFrame:
+    """Blocks (keys..., block_id, box) of which no table of the page covers more than a share."""
+    pairs = blocks.select(*keys, block_id, F.col("box").alias("__a")).join(tables.select(*keys, F.col("box").alias("__b")), keys)
+    covered = pairs.filter(overlap_share("__a", "__b") > share).select(*keys, block_id).distinct()
+    return blocks.join(covered, [*keys, block_id], "left_anti")
+
+
+def median_clusters(df: DataFrame, keys: list[str], value: str, tolerance: float) -> DataFrame:
+    """(keys..., value, cluster): in order of value, a value joins the cluster whose running median is near enough.
+
+    A fold over sorted partitions; only the current cluster of a key is held.
+    """
+    from statistics import median
+
+    def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, cluster, held = None, 0, []
+        for frame in frames:
+            out = []
+            for row in frame.itertuples(index=False):
+                own, v = tuple(row[:-1]), row[-1]
+                if own != key:
+                    key, cluster, held = own, 0, [v]
+                elif abs(v - median(held)) <= tolerance:
+                    held.append(v)
+                else:
+                    cluster, held = cluster + 1, [v]
+                out.append(cluster)
+            yield frame.assign(cluster=pd.array(out, dtype="int64"))
+
+    kinds = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
+    ordered = df.select(*keys, F.col(value).cast("double").alias(value)).filter(F.col(value).isNotNull()).repartition(*keys).sortWithinPartitions(*keys, value)
+    return ordered.mapInPandas(fold, f"{kinds}, {value} double, cluster long")

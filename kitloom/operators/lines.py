@@ -207,3 +207,31 @@ def clean_chain(df: DataFrame, keys: list[str]) -> DataFrame:
     for step in (collapse_number_bullets, collapse_list_stems, collapse_table_progressions, limit_equal_lines, strip_empty_rows):
         out = step(out, keys)
     return join_value_columns(out, keys)
+
+
+def heading_blocks(df: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys..., block, title, start, end) of pass sections and marked blocks; a text without any is one block."""
+    counted = df.groupBy(*keys).agg(F.count("*").cast("int").alias("lines"))
+    is_head = F.col("line").rlike(r"^#{2,6} +(PASS-|SRC-|Страница )")
+    w = Window.partitionBy(*keys).orderBy("pos")
+    heads = df.filter(is_head).select(*keys, "pos", F.trim(F.regexp_replace("line", "^#+ +", "")).alias("title"))
+    cut = heads.join(counted, keys).withColumn("end", F.coalesce(F.lead("pos").over(w), F.col("lines"))).withColumn("block", F.row_number().over(w))
+    none = counted.join(heads.select(*keys).distinct(), keys, "left_anti").select(*keys, F.lit(1).alias("block"), F.lit("Лист").alias("title"), F.lit(0).alias("start"), F.col("lines").alias("end"))
+    return cut.select(*keys, "block", "title", F.col("pos").alias("start"), "end").unionByName(none)
+
+
+def lines_within(df: DataFrame, keys: list[str], most_chars: int) -> DataFrame:
+    """First-seen distinct lines of a text while their summed length stays within a limit."""
+    key = T.fold(F.col("line"))
+    first = F.row_number().over(Window.partitionBy(*keys, "__k").orderBy("pos"))
+    seen = df.withColumn("__k", key).filter("__k <> ''").withColumn("__n", first).filter("__n = 1")
+    total = F.sum(F.length("line") + 1).over(Window.partitionBy(*keys).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return seen.withColumn("__t", total).filter(F.col("__t") <= most_chars).drop("__k", "__n", "__t")
+
+
+def shown_labels(df: DataFrame, keys: list[str], limit: int = 4) -> DataFrame:
+    """Labels (keys..., pos, line) of a sheet; one that occurs `limit` times or more is shown once with its count."""
+    w = Window.partitionBy(*keys, "line")
+    counted = df.withColumn("__n", F.count("*").over(w)).withColumn("__r", F.row_number().over(w.orderBy("pos")))
+    shown = F.when(F.col("__n") >= limit, F.concat("line", F.lit(" (×"), F.col("__n"), F.lit(" на листе — схлопнуто)"))).otherwise(F.col("line"))
+    return counted.filter((F.col("__n") < limit) | (F.col("__r") == 1)).withColumn("line", shown).drop("__n", "__r")

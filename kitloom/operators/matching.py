@@ -87,3 +87,51 @@ def zipped(left: DataFrame, right: DataFrame, keys: list[str], left_order: str,
     a = left.withColumn("__n", F.row_number().over(Window.partitionBy(*keys).orderBy(left_order)))
     b = right.withColumn("__n", F.row_number().over(Window.partitionBy(*keys).orderBy(right_order)))
     return a.join(b, [*keys, "__n"]).withColumnRenamed("__n", "place")
+
+
+def greedy_claims(left: DataFrame, right: DataFrame, keys: list[str], *, left_id: str, right_id: str, value: str, radius: float, tie: float = 0.2) -> DataFrame:
+    """Each left row in order takes the nearest right row that none before took; near ties of other value are ambiguous.
+
+    The candidates are found by cells; only the claims of one key's rows are folded in order, as sorted partitions stream by.
+    """
+    import pandas as pd
+
+    a = left.select(*keys, left_id, F.col("x").alias("ax"), F.col("y").alias("ay")).withColumn("__cx", F.floor(F.col("ax") / radius).cast("long")).withColumn("__cy", F.floor(F.col("ay") / radius).cast("long"))
+    around = F.array(*[F.lit(k).cast("long") for k in (-1, 0, 1)])
+    b = right.select(*keys, right_id, value, F.col("x").alias("bx"), F.col("y").alias("by"))
+    b = b.withColumn("__cx", F.explode(F.transform(around, lambda k: F.floor(F.col("bx") / radius).cast("long") + k))).withColumn("__cy", F.explode(F.transform(around, lambda k: F.floor(F.col("by") / radius).cast("long") + k)))
+    distance = F.sqrt((F.col("ax") - F.col("bx")) * (F.col("ax") - F.col("bx")) + (F.col("ay") - F.col("by")) * (F.col("ay") - F.col("by")))
+    pairs = a.join(b, [*keys, "__cx", "__cy"]).withColumn("distance", distance).filter(F.col("distance") <= radius).select(*keys, left_id, right_id, F.col(value).cast("string").alias("value"), "distance")
+
+    def fold(frames):  # noqa: ANN001, ANN202
+        key, mark, taken, options = None, None, set(), []
+
+        def decide():  # noqa: ANN202
+            free = [o for o in options if o[1] not in taken]
+            if not free:
+                return (*key, mark, None, None, "missing")
+            best = free[0]
+            if any(o[0] - best[0] <= tie and o[2] != best[2] for o in free[1:]):
+                return (*key, mark, None, None, "ambiguous")
+            taken.add(best[1])
+            return (*key, mark, best[1], best[2], "read")
+
+        columns = [*keys, left_id, right_id, "value", "status"]
+        for frame in frames:
+            out = []
+            for row in frame[[*keys, left_id, right_id, "value", "distance"]].itertuples(index=False):
+                own, m = tuple(row[: len(keys)]), row[len(keys)]
+                if (own, m) != (key, mark):
+                    if mark is not None:
+                        out.append(decide())
+                    if own != key:
+                        taken = set()
+                    key, mark, options = own, m, []
+                options.append((row[-1], row[-3], row[-2]))
+            yield pd.DataFrame(out, columns=columns)
+        if mark is not None:
+            yield pd.DataFrame([decide()], columns=columns)
+
+    kinds = ", ".join(f"{k} {left.schema[k].dataType.simpleString()}" for k in keys)
+    schema = f"{kinds}, {left_id} {left.schema[left_id].dataType.simpleString()}, {right_id} {right.schema[right_id].dataType.simpleString()}, value string, status string"
+    return pairs.repartition(*keys).sortWithinPartitions(*keys, left_id, "distance", right_id).mapInPandas(fold, schema)

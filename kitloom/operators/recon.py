@@ -125,3 +125,58 @@ def fresh_lines(base: DataFrame, extra: DataFrame, keys: list[str], reread: floa
     overlap = each.join(base_tokens, [*keys, "token"]).groupBy(*keys, "pos", "b_pos").agg(F.count("*").alias("n")).groupBy(*keys, "pos").agg(F.max("n").alias("n"))
     fresh = lined.join(known.select(*keys, "pos").distinct(), [*keys, "pos"], "left_semi").join(overlap, [*keys, "pos"], "left")
     return fresh.filter(F.coalesce("n", F.lit(0)) < reread * F.size("ts")).select(*keys, "pos", "line")
+
+
+def fused_lines(base: DataFrame, extra: DataFrame, keys: list[str]) -> DataFrame:
+    """Lines of extra that add to base, in order: each accepted line makes its tokens known for the next ones.
+
+    Order-dependent, so a page is folded in one group; pages are the unit that scales.
+    """
+    import pandas as pd
+
+    from . import folds
+
+    def add(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        columns = [*keys, "ord", "line"]
+        if right.empty:
+            return pd.DataFrame(columns=columns)
+        own = [set(t) for t in left.sort_values("pos")["tokens"]]
+        extra_rows = right.sort_values("pos")
+        tokens = {line: set(t) for line, t in zip(extra_rows["line"], extra_rows["tokens"], strict=True)}
+        kept = folds.added_in_order(set().union(*own), list(extra_rows["line"]), tokens.__getitem__, own)
+        head = right.iloc[0]
+        rows = [(*(head[k] for k in keys), n, line) for n, line in enumerate(kept)]
+        return pd.DataFrame(rows, columns=columns).astype({"line": object, **{k: object for k in keys if isinstance(head[k], str)}})
+
+    with_tokens = lambda df: df.select(*keys, "pos", "line", T.tokens(F.col("line")).alias("tokens"))
+    kinds = ", ".join(f"{k} {extra.schema[k].dataType.simpleString()}" for k in keys)
+    return with_tokens(base).groupBy(*keys).cogroup(with_tokens(extra).groupBy(*keys)).applyInPandas(add, f"{kinds}, ord long, line string")
+
+
+def missing_texts(texts: DataFrame, known: DataFrame, keys: list[str], text: str = "text", shingle: int = 4) -> DataFrame:
+    """Distinct folded texts that stand in no known text of their key, not even inside one.
+
+    A contained text shares its first signs with some place of the text that contains it, so candidates meet by an
+    equi-join on pieces of `shingle` signs; shorter texts are compared as a whole with the pieces of their length.
+    """
+    folded = lambda df: df.filter(F.col(text).isNotNull()).select(*keys, T.fold(F.col(text)).alias("t")).filter("t <> ''").distinct()
+    asked = folded(texts).withColumn("size", F.least(F.length("t"), F.lit(shingle))).withColumn("piece", F.expr("left(t, size)"))
+    places = folded(known).select(*keys, F.col("t").alias("whole"), F.explode(F.sequence(F.lit(1), F.least(F.length("t"), F.lit(shingle)))).alias("size"))
+    pieces = places.withColumn("at", F.explode(F.sequence(F.lit(1), F.length("whole") - F.col("size") + 1))).withColumn("piece", F.expr("substring(whole, at, size)"))
+    hit = asked.join(pieces.select(*keys, "whole", "size", "piece").distinct(), [*keys, "size", "piece"]).filter(F.contains("whole", F.col("t")))
+    return asked.select(*keys, "t").join(hit.select(*keys, "t").distinct(), [*keys, "t"], "left_anti").withColumnRenamed("t", text)
+
+
+def best_of(base: DataFrame, override: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """Values of base with those of override in their place, and those only override has."""
+    o = override.select(*keys, F.col(value).alias("__o"))
+    return base.select(*keys, value).join(o, keys, "full_outer").select(*keys, F.coalesce("__o", value).alias(value))
+
+
+def stacked(sources: list[tuple[str, DataFrame]], keys: list[str], value: str) -> DataFrame:
+    """Values of several sources under each other, each with its name; missing ones are left out."""
+    out = None
+    for k, (name, df) in enumerate(sources):
+        part = df.filter(F.col(value).isNotNull()).select(*keys, F.struct(F.lit(k).alias("k"), F.concat(F.lit(f"### {name}\n"), F.col(value)).alias("v")).alias("s"))
+        out = part if out is None else out.unionByName(part)
+    return out.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list("s")), lambda x: x["v"]), "\n\n").alias(value))

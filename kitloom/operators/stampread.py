@@ -72,7 +72,14 @@ def stamp_start(rows: Column, words: tuple[str, ...], needed: int = 3) -> Column
     """The first row of a grid's lower half from which on `needed` words of a title block occur, null if none."""
     joined = F.transform(rows, lambda r: F.lower(F.array_join(r, " ")))
     half = F.floor(F.size(rows) / 2).cast("int")
-    words_from = lambda i: sum((F.exists(F.slice(joined, i + 1, F.greatest(F.size(rows) - i, F.lit(0))), lambda line, w=w: F.contains(line, F.lit(w))).cast("int") for w in words), F.lit(0))
+
+    def stands(word: str, lines: Column) -> Column:
+        return F.exists(lines, lambda line: F.contains(line, F.lit(word))).cast("int")
+
+    def words_from(i: Column) -> Column:
+        rest = F.slice(joined, i + 1, F.greatest(F.size(rows) - i, F.lit(0)))
+        return sum((stands(w, rest) for w in words), F.lit(0))
+
     starts = F.filter(F.sequence(half, F.greatest(F.size(rows) - 1, half)), lambda i: (i < F.size(rows)) & (words_from(i) >= needed))
     return F.array_min(starts)
 

@@ -250,3 +250,73 @@ def test_event_stream(spark, tmp_path):
     q = s.writeStream.format("memory").outputMode("complete").queryName("hours").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert sorted((r["event_type"], r["events"]) for r in spark.table("hours").collect()) == [("a", 2), ("b", 1)]
+
+
+def test_fused_and_missing(spark):
+    schema = "id int, pos int, line string"
+    base = spark.createDataFrame([(1, 0, "складской комплекс альянс"), (2, 0, "лист")], schema)
+    extra = spark.createDataFrame([(1, 0, "новая насосная"), (1, 1, "насосная"), (1, 2, "кладской комплекс"), (3, 0, "x")], schema)
+    assert [(r["id"], r["ord"], r["line"]) for r in R.fused_lines(base, extra, ["id"]).collect() if r["id"] == 1] == [(1, 0, "новая насосная")]
+    t = "d string, text string"
+    known = spark.createDataFrame([("a", "План  кровли дома"), ("a", "аб"), (None, "x"), ("a", None)], t)
+    asked = spark.createDataFrame([("a", "кровли"), ("a", "ЛИ"), ("a", "фасад"), ("b", "кровли"), ("a", ""), ("a", "план кровли дома 2")], t)
+    assert sorted(map(tuple, R.missing_texts(asked, known, ["d"]).collect())) == [("a", "план кровли дома 2"), ("a", "фасад"), ("b", "кровли")]
+    v = "k int, v string"
+    assert sorted(map(tuple, R.best_of(spark.createDataFrame([(1, "a"), (2, "b")], v), spark.createDataFrame([(2, "c"), (3, "d")], v), ["k"], "v").collect())) == [(1, "a"), (2, "c"), (3, "d")]
+    s = R.stacked([("A", spark.createDataFrame([(1, "a")], v)), ("B", spark.createDataFrame([(1, "b"), (2, None)], v))], ["k"], "v").collect()
+    assert [tuple(r) for r in s] == [(1, "### A\na\n\n### B\nb")]
+
+
+def test_greedy_claims_follow_the_order(spark):
+    a = spark.createDataFrame([(1, 1, 0.0, 0.0), (1, 2, 0.1, 0.0), (1, 3, 0.2, 0.0), (2, 4, 0.0, 0.0)], "s int, m int, x double, y double")
+    b = spark.createDataFrame([(1, 10, 0.0, 1.0, "a"), (1, 11, 0.0, 3.0, "b"), (2, 12, 0.0, 1.0, "c"), (2, 13, 0.0, -1.1, "d")], "s int, t int, x double, y double, v string")
+    got = {r["m"]: (r["t"], r["status"]) for r in M.greedy_claims(a, b, ["s"], left_id="m", right_id="t", value="v", radius=8.0).collect()}
+    assert got == {1: (10, "read"), 2: (11, "read"), 3: (None, "missing"), 4: (None, "ambiguous")}
+
+
+def test_more_geometry(spark):
+    one = spark.sql("select struct(0D as x0, 0D as y0, 10D as x1, 10D as y1) as s, struct(8D as x0, 0D as y0, 10D as x1, 2D as y1) as t, struct(-5D as x0, 4D as y0, 3D as x1, 30D as y1) as i")
+    assert tuple(one.select(G.drawing_field("s", "t")).first()[0])[1:] == (0.0, 0.0, 8.0, 10.0) or one.select(G.drawing_field("s", "t")).first()[0]["area"] == 80.0
+    assert tuple(one.select(G.fitted("i", "s")).first()[0]) == (0.0, 0.0, 8.0, 10.0)
+    assert tuple(one.select(G.clipped_segment(F.lit(-5.0), F.lit(5.0), F.lit(20.0), F.lit(5.0), "s")).first()[0]) == (0.0, 5.0, 10.0, 5.0)
+    assert one.select(G.clipped_segment(F.lit(-5.0), F.lit(50.0), F.lit(20.0), F.lit(50.0), "s")).first()[0] is None
+    shapes = spark.sql("select array(struct(0D as x, 0D as y), struct(2D as x, 1D as y)) as p union all select array(struct(10D as x, 5D as y), struct(14D as x, 7D as y))")
+    assert shapes.select(G.shape_signature(F.col("p"), F.lit("line"))).distinct().count() == 1
+    values = spark.createDataFrame([("a", v) for v in (1.0, 2.0, 9.0, 10.0, 30.0)], "k string, y double")
+    assert [r["cluster"] for r in G.median_clusters(values, ["k"], "y", 3.0).orderBy("y").collect()] == [0, 0, 1, 1, 2]
+    blocks = spark.sql("select 1 as p, 'in' as b, struct(0D as x0, 0D as y0, 1D as x1, 1D as y1) as box union all select 1, 'out', struct(5D as x0, 5D as y0, 6D as x1, 6D as y1)")
+    tables = spark.sql("select 1 as p, struct(0D as x0, 0D as y0, 2D as x1, 2D as y1) as box")
+    assert [r["b"] for r in G.outside_tables(blocks, tables, ["p"], "b").collect()] == ["out"]
+    c = spark.createDataFrame([(1, 0.5, 0.5, "б"), (1, 0.2, 0.9, "а"), (1, 9.0, 9.0, "х")], "p int, x double, y double, t string")
+    cells = spark.createDataFrame([(1, "c", 0.0, 0.0, 1.0, 1.0)], "p int, c string, x0 double, y0 double, x1 double, y1 double")
+    assert [(r["c"], r["text"]) for r in G.cell_texts(c, cells, ["p"], "c", "t", 5.0).collect()] == [("c", "а б")]
+
+
+def test_gates(spark):
+    from kitloom.operators import gates as P
+    from kitloom.operators import stampread as B
+
+    assert _one(spark, "### PASS-0 x\nпаспорт\n### PASS-A\n(ошибка тайла: 500)\n_[mock]_", P.is_all_errors) is True
+    assert _one(spark, "\n".join(f"- Футляр {i} — юго-запад" for i in range(6)), P.stamped_location) is True
+    assert _one(spark, "\n".join(f"| {i} | | {i} |" for i in range(25)), P.is_garbage_tile) is True
+    assert _one(spark, "%%c325 {\\C1;120} l=#### \x03", P.clean_caption) == "∅325 120 l=— "
+    assert _one(spark, "Содержание (окончание)", P.caption_part) == ("Содержание", 2)
+    assert _one(spark, "круг12", P.circle_number) == 12 and _one(spark, "круг21", P.circle_number) is None
+    assert _one(spark, "номерация 5", P.room_number) == "5" and _one(spark, "12 суглинок", P.type_label) == "суглинок"
+    assert _one(spark, "- kind: `plan`", P.passport_kind) == "plan" and _one(spark, "М 1:500", P.written_scale) == "500"
+    assert _one(spark, "а\n--- r1c1 ---\nб\n--- r1c2 ---\n", P.fragment_count) == 2
+    fits = [tuple(r) for r in spark.range(1).select(F.explode(P.sheet_format(F.lit(29700.0), F.lit(21000.0)))).select("col.*").collect()]
+    assert {("A4", 100.0), ("A2", 50.0), ("A0", 25.0)} <= set(fits)
+    assert spark.range(1).select(P.sheet_kind(F.lit(0.0), F.lit(3), F.lit(1), F.lit(0)), P.sheet_kind(F.lit(41.0), F.lit(1), F.lit(9), F.lit(0)), P.sheet_kind(F.lit(1.0), F.lit(10), F.lit(2), F.lit(0))).first()[:] == ("text", "plan", "plan")
+    grid = spark.sql("select array(array('а', '', 'в'), array('', '', ''), array('Изм.', 'Лист', 'Подп.'), array('стадия', 'листов', 'разраб')) as g")
+    assert grid.select(B.trimmed_grid(F.col("g"))).first()[0] == [["а", "", "в"], ["Изм.", "Лист", "Подп."], ["стадия", "листов", "разраб"]]
+    assert grid.select(B.stamp_start(F.col("g"), P.STAMP_WORDS)).first()[0] == 2
+    assert spark.sql("select array('а\\nб', '1\\n2', '') as r").select(B.destacked(F.col("r"))).first()[0] == [["а", "1", ""], ["б", "2", ""]]
+
+
+def test_title_block(spark):
+    from kitloom.operators import stampread as B
+
+    rows = [("d", 1, 1, 100.0, 40.0, 2.5, "Стадия"), ("d", 1, 2, 115.0, 40.0, 2.5, "Лист"), ("d", 1, 3, 135.0, 40.0, 2.5, "Листов"), ("d", 1, 4, 100.0, 33.0, 3.5, "П"), ("d", 1, 5, 115.0, 33.0, 3.5, "лист 7"), ("d", 1, 6, 135.0, 33.0, 3.5, "12"), ("d", 1, 7, 120.0, 60.0, 7.0, "28-ХСА-1/25-КР1"), ("d", 1, 8, 300.0, 40.0, 2.5, "Стадия"), ("d", 2, 9, 1.0, 1.0, 2.5, "Лист"), ("d", 2, 10, None, 1.0, 2.5, "Стадия"), ("d", 3, 11, 1.0, 1.0, 2.5, None)]
+    df = spark.createDataFrame(rows, "document_id string, page int, item_id long, x double, y double, size double, text string")
+    assert [tuple(r) for r in B.read_stamps(df).select("page", "stage", "sheet", "sheets_total", "code").collect()] == [(1, "П", "7", "12", "28-ХСА-1/25-КР1")]
