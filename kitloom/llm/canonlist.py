@@ -105,7 +105,7 @@ class SignMatcher:
             self.automaton.add_word(pattern, what)
         if patterns:
             self.automaton.make_automaton()
-        self.wanted = [[(o, [t for t in o if t not in IGNORED]), (o, [x for t in o if (x := transliterated(t)) not in IGNORED])] for o in self.objects]
+        self.wanted = [(o, [t for t in o if t not in IGNORED]) for o in self.objects]
         self.find = lru_cache(maxsize=1 << 17)(self._find)
         self.near = lru_cache(maxsize=1 << 18)(self._near)
 
@@ -154,7 +154,8 @@ class SignMatcher:
     def _cover(self, found: list[tuple[str, bool]], wanted: list[str]) -> tuple[int, set[int]] | None:
         cost, used = 0, set()
         for w in sorted(wanted, key=len, reverse=True):
-            best = min(((c, i) for i, (t, dot) in enumerate(found) if i not in used and (c := self.near(t, dot, w)) is not None), default=None)
+            spellings = (w, transliterated(w))
+            best = min(((c, i) for i, (t, dot) in enumerate(found) if i not in used for s in spellings if (c := self.near(t, dot, s)) is not None), default=None)
             if best is None:
                 return None
             cost += best[0]
@@ -191,10 +192,9 @@ class SignMatcher:
                     dotted = {t for t, dot in found if dot}
                     found = [(t, t in dotted) for t in flat.split()]
         scored: list[tuple[int, tuple[str, ...], set[int]]] = []
-        for spellings in self.wanted:
-            best = min(((c[0], sorted(c[1]), o) for o, w in spellings if w and (c := self._cover(found, w)) is not None), default=None, key=lambda x: x[0])
-            if best:
-                scored.append((best[0] - 100 * len(best[1]), best[2], set(best[1])))
+        for o, w in self.wanted:
+            if w and (covered := self._cover(found, w)) is not None:
+                scored.append((covered[0] - 100 * len(covered[1]), o, covered[1]))
         if not scored:
             return None
         scored.sort(key=lambda s: s[0])
