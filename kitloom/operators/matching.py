@@ -26,11 +26,17 @@ def max_overlap(left: DataFrame, right: DataFrame, *, left_id: str, right_id: st
 
 
 def prefix_matches(heads: DataFrame, wholes: DataFrame, *, head: str, whole: str, shortest: int = 4) -> DataFrame:
-    """Heads that are a strict prefix of some whole text, with the smallest such text; blocked by the first signs."""
-    a = heads.select(F.col(head).alias("head")).distinct().filter(F.length("head") >= shortest).withColumn("__b", F.left("head", F.lit(shortest)))
-    b = wholes.select(F.col(whole).alias("whole")).distinct().withColumn("__b", F.left("whole", F.lit(shortest)))
-    hit = a.join(b, "__b").filter((F.length("whole") > F.length("head")) & F.startswith("whole", F.col("head")))
-    return hit.groupBy("head").agg(F.min("whole").alias("whole"), F.count("*").alias("wholes"))
+    """Heads that are a strict prefix of some whole text, with the smallest such text.
+
+    In order of their bytes, the texts that a head begins follow it at once, so the next whole text decides. Texts are sorted
+    within blocks of equal first signs; no pairs are formed.
+    """
+    a = heads.select(F.col(head).alias("t"), F.lit(True).alias("h"), F.lit(False).alias("w"))
+    b = wholes.select(F.col(whole).alias("t"), F.lit(False).alias("h"), F.lit(True).alias("w"))
+    texts = a.unionByName(b).filter(F.length("t") >= shortest).groupBy("t").agg(F.bool_or("h").alias("h"), F.bool_or("w").alias("w"))
+    after = Window.partitionBy(F.left("t", F.lit(shortest))).orderBy("t").rowsBetween(1, Window.unboundedFollowing)
+    following = texts.withColumn("whole", F.first(F.when(F.col("w"), F.col("t")), ignorenulls=True).over(after))
+    return following.filter(F.col("h") & F.startswith("whole", F.col("t"))).select(F.col("t").alias("head"), "whole")
 
 
 def _cells(low: Column, high: Column, cell: float) -> Column:
@@ -72,14 +78,19 @@ def joined_schedule(marks: DataFrame, rows: DataFrame, keys: list[str], label: s
 
 
 def any_key_match(left: DataFrame, right: DataFrame, left_id: str, right_id: str, conditions: list[tuple[str, str]]) -> DataFrame:
-    """A join on any of several key pairs as a union of equi-joins: missing, resolved or ambiguous."""
+    """A join on any of several key pairs as a union of equi-joins: missing, resolved or ambiguous.
+
+    Each key's right rows are reduced to their smallest and largest id before the join.
+    """
     hits = None
     for a, b in conditions:
-        part = left.filter(F.col(a).isNotNull()).select(left_id, F.col(a).alias("__k")).join(right.filter(F.col(b).isNotNull()).select(F.col(b).alias("__k"), right_id), "__k").select(left_id, right_id)
+        owners = right.filter(F.col(b).isNotNull()).groupBy(F.col(b).alias("__k")).agg(F.min(right_id).alias("__low"), F.max(right_id).alias("__high"))
+        part = left.filter(F.col(a).isNotNull()).select(left_id, F.col(a).alias("__k")).join(owners, "__k").select(left_id, "__low", "__high")
         hits = part if hits is None else hits.unionByName(part)
-    found = hits.groupBy(left_id).agg(F.count_distinct(right_id).alias("__n"), F.min(right_id).alias(right_id))
-    status = F.when(F.col("__n").isNull(), "missing").when(F.col("__n") == 1, "resolved").otherwise("ambiguous")
-    return left.join(found, left_id, "left").withColumn("status", status).withColumn(right_id, F.when(F.col("__n") == 1, F.col(right_id))).drop("__n")
+    found = hits.groupBy(left_id).agg(F.min("__low").alias("__low"), F.max("__high").alias("__high"))
+    status = F.when(F.col("__low").isNull(), "missing").when(F.col("__low") == F.col("__high"), "resolved").otherwise("ambiguous")
+    joined = left.join(found, left_id, "left").withColumn("status", status)
+    return joined.withColumn(right_id, F.when(F.col("status") == "resolved", F.col("__low"))).drop("__low", "__high")
 
 
 def zipped(left: DataFrame, right: DataFrame, keys: list[str], left_order: str, right_order: str) -> DataFrame:

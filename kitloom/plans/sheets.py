@@ -196,7 +196,7 @@ def _terms(key: str, name: str) -> str:
 ORACLE = {
     "signature_matches": f"WITH o AS (SELECT signature, min({_LBL}) AS label, count(DISTINCT {_LBL}) AS n FROM legend_entries WHERE label IS NOT NULL AND signature IS NOT NULL GROUP BY signature), m AS (SELECT DISTINCT id, signature FROM symbol_instances WHERE signature IS NOT NULL) SELECT m.id, m.signature, CASE WHEN n = 1 THEN label END AS label, CASE WHEN n IS NULL THEN 'missing' WHEN n > 1 THEN 'ambiguous' ELSE 'matched' END AS reason FROM m LEFT JOIN o USING (signature)",
     "overlap_matches": f"WITH a AS ({_terms('label', 'legend_entries')}), b AS ({_terms('ref_id', 'legend_reference')}), s AS (SELECT label, ref_id, count(*) AS overlap FROM a JOIN b USING (term) GROUP BY ALL), m AS (SELECT *, max(overlap) OVER (PARTITION BY label) AS best FROM s) SELECT label, CASE WHEN count(*) = 1 THEN min(ref_id) END AS ref_id, overlap, count(*) AS ties FROM m WHERE overlap = best GROUP BY label, overlap",
-    "cut_texts": "WITH t AS (SELECT DISTINCT text FROM text_items WHERE text IS NOT NULL) SELECT a.text AS head, min(b.text) AS whole, count(*) AS wholes FROM t a JOIN t b ON left(a.text, 16) = left(b.text, 16) AND length(b.text) > length(a.text) AND starts_with(b.text, a.text) WHERE length(a.text) >= 16 GROUP BY a.text",
+    "cut_texts": "WITH t AS (SELECT DISTINCT text FROM text_items WHERE text IS NOT NULL) SELECT a.text AS head, min(b.text) AS whole FROM t a JOIN t b ON left(a.text, 16) = left(b.text, 16) AND length(b.text) > length(a.text) AND starts_with(b.text, a.text) WHERE length(a.text) >= 16 GROUP BY a.text",
     "texts_in_boxes": "WITH b AS (SELECT DISTINCT id, document_id, page, x, y, bbox FROM note_texts WHERE bbox IS NOT NULL) SELECT a.id, b.id AS box_id FROM b a JOIN b ON a.document_id = b.document_id AND a.page = b.page AND a.x >= b.bbox.x0 AND a.y >= b.bbox.y0 AND a.x < b.bbox.x1 AND a.y < b.bbox.y1",
     "nearest_texts": "WITH p AS (SELECT m.item_id AS mark, t.item_id, (m.x - t.x) * (m.x - t.x) + (m.y - t.y) * (m.y - t.y) AS d2 FROM text_items m JOIN text_items t ON m.document_id = t.document_id AND m.sheet = t.sheet AND m.source = 'dimension' AND t.source = 'text') SELECT mark, arg_min(item_id, struct_pack(d := d2, i := item_id)) AS item_id FROM p WHERE d2 <= 1600 GROUP BY mark",
     "schedule_notes": "WITH r AS (SELECT document_id, sheet, min(stage) AS stage, count(DISTINCT stage) AS n FROM stamps_archive WHERE sheet IS NOT NULL AND stage IS NOT NULL GROUP BY ALL), m AS (SELECT DISTINCT sheet_key, document_id, sheet FROM stamps_kit), d AS (SELECT DISTINCT document_id FROM r) SELECT m.sheet_key, m.sheet, CASE WHEN n = 1 THEN stage END AS stage, CASE WHEN n = 1 THEN 'table' WHEN n > 1 THEN 'conflict' WHEN d.document_id IS NOT NULL THEN 'no row' ELSE 'no table' END AS note FROM m LEFT JOIN r ON m.document_id = r.document_id AND m.sheet = r.sheet LEFT JOIN d ON m.document_id = d.document_id",
