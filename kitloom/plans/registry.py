@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import composites, datasets, documents, kits, pagegates, sheets, texts
+from . import composites, datasets, documents, kits, pagegates, sheets, symbolplans, texts
 
-MODULES = (datasets, texts, kits, sheets, documents, pagegates, composites)
+MODULES = (datasets, texts, kits, sheets, documents, pagegates, composites, symbolplans)
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 
 #: Columns whose SQL type is wider than the engine's, by query.

@@ -320,3 +320,23 @@ def test_title_block(spark):
     rows = [("d", 1, 1, 100.0, 40.0, 2.5, "Стадия"), ("d", 1, 2, 115.0, 40.0, 2.5, "Лист"), ("d", 1, 3, 135.0, 40.0, 2.5, "Листов"), ("d", 1, 4, 100.0, 33.0, 3.5, "П"), ("d", 1, 5, 115.0, 33.0, 3.5, "лист 7"), ("d", 1, 6, 135.0, 33.0, 3.5, "12"), ("d", 1, 7, 120.0, 60.0, 7.0, "28-ХСА-1/25-КР1"), ("d", 1, 8, 300.0, 40.0, 2.5, "Стадия"), ("d", 2, 9, 1.0, 1.0, 2.5, "Лист"), ("d", 2, 10, None, 1.0, 2.5, "Стадия"), ("d", 3, 11, 1.0, 1.0, 2.5, None)]
     df = spark.createDataFrame(rows, "document_id string, page int, item_id long, x double, y double, size double, text string")
     assert [tuple(r) for r in B.read_stamps(df).select("page", "stage", "sheet", "sheets_total", "code").collect()] == [(1, "П", "7", "12", "28-ХСА-1/25-КР1")]
+
+
+def test_axis_pairs_and_merged_fields(spark):
+    from kitloom.operators import symbols as Y
+
+    rows = [(1, 1, 0.0, 0.0, "А"), (1, 2, 3.0, 0.0, "5"), (1, 3, 100.0, 0.0, "Б"), (1, 4, 101.0, 0.0, "6"), (1, 5, 102.0, 0.0, "7"), (2, 6, 0.0, 0.0, "8"), (1, 7, None, 0.0, "В")]
+    df = spark.createDataFrame(rows, "s int, item_id long, x double, y double, text string")
+    assert [(r["letter_id"], r["digit_id"]) for r in Y.axis_pairs(df, ["s"], 8.0).collect()] == [(1, 2)]
+    got = spark.createDataFrame([(" П ", "п"), ("П", "Р"), ("", "Р"), (None, None)], "a string, g string").select(Y.merged_field(F.col("a"), F.col("g")).alias("m")).select("m.*").collect()
+    assert [tuple(r) for r in got] == [("П", False), ("П", True), ("Р", False), (None, False)]
+
+
+def test_block_matches_fail_closed(spark):
+    from kitloom.operators import symbols as Y
+
+    box = "struct<x0:double,y0:double,x1:double,y1:double>"
+    legends = spark.createDataFrame([("L1", "d", 1, "Труба", "s1", (0.0, 0.0, 5.0, 5.0)), ("L2", "d", 1, "Люк", "s2", (4.0, 4.0, 9.0, 9.0)), ("L3", "d", 1, "Лоток", "s2", None)], f"id string, document_id string, page int, label string, signature string, bbox {box}")
+    inst = spark.createDataFrame([("a", "d", 1, 1.0, 1.0, "x"), ("b", "d", 1, 4.5, 4.5, "s1"), ("c", "d", 2, 1.0, 1.0, "s1"), ("e", "d", 2, 1.0, 1.0, "s2"), ("f", "d", 2, None, None, None), ("g", "d", 1, 5.0, 5.0, "s1")], "id string, document_id string, page int, x double, y double, signature string")
+    got = {r["id"]: (r["legend_id"], r["reason"]) for r in Y.block_matches(inst, legends).collect()}
+    assert got == {"a": ("L1", "exemplar"), "b": (None, "several boxes"), "c": ("L1", "signature"), "e": (None, "ambiguous"), "f": (None, "missing"), "g": ("L2", "exemplar")}
