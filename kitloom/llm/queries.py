@@ -103,6 +103,22 @@ def p10_share(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {"p1_found": p1_found, "p1_uniform": p1_uniform, "p2_found": p2_found, "p2_restored": p2_restored, "p4_found": p4_found, "p4_golden": p4_golden, "p5_found": p5_found, "p5_unmatched": p5_unmatched, "p6_found": p6_found, "p6_rates": p6_rates, "p8_found": p8_found, "p8_report": p8_report, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_share": p10_share}
 
+_GRAMS8 = r"""
+WITH w AS (
+  SELECT 'd' AS side, doc_id AS id, regexp_extract_all(replace(lower(regexp_replace(text, '([\p{L}\p{N}])[-\x{00AD}\x{2010}\x{2011}][ \t\r]*\n[ \t\r]*([\p{L}\p{N}])', '\1\2', 'g')), 'ё', 'е'), '[\p{L}\p{N}]+') AS ws FROM documents WHERE text IS NOT NULL
+  UNION ALL
+  SELECT 'i', item_id, regexp_extract_all(replace(lower(regexp_replace(text, '([\p{L}\p{N}])[-\x{00AD}\x{2010}\x{2011}][ \t\r]*\n[ \t\r]*([\p{L}\p{N}])', '\1\2', 'g')), 'ё', 'е'), '[\p{L}\p{N}]+') FROM eval_items WHERE text IS NOT NULL),
+g AS (SELECT DISTINCT side, id, array_to_string(list_slice(ws, k, k + 11), ' ') AS gram FROM (SELECT side, id, ws, unnest(range(1, len(ws) - 10)) AS k FROM w WHERE len(ws) >= 12)),
+hit AS (SELECT DISTINCT d.id AS doc_id, i.id AS item_id FROM g d JOIN g i ON d.side = 'd' AND i.side = 'i' AND d.gram = i.gram)
+"""
+_GRAMS10 = r"""
+WITH w AS (SELECT doc_id, list_filter(regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+'), lambda x: NOT regexp_full_match(x, '[\p{Nd}²³¹⁰-⁹₀-₉]+')) AS ws FROM documents),
+g AS (SELECT doc_id, k, array_to_string(list_slice(ws, k, k + 5), ' ') AS gram FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 4)) AS k FROM w WHERE len(ws) >= 6)),
+r AS (SELECT doc_id, k FROM (SELECT doc_id, k, min(k) OVER (PARTITION BY doc_id, gram) AS f FROM g) WHERE k > f),
+c AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(k, k + 6)) AS p FROM r) GROUP BY doc_id),
+s AS (SELECT w.doc_id, len(ws) AS n_words, coalesce(c.n, 0) AS n_repeated FROM w LEFT JOIN c USING (doc_id))
+"""
+
 ORACLE = {
     "p4_found": r"""
 WITH v AS (
@@ -116,4 +132,8 @@ SELECT variant_id AS survivor_id FROM g
 QUALIFY count(*) OVER (PARTITION BY code, no) >= 2
   AND row_number() OVER (PARTITION BY code, no ORDER BY kind, filled DESC, read_at DESC NULLS LAST, idx NULLS LAST, variant_id) = 1
 """,
+    "p8_found": _GRAMS8 + "SELECT doc_id, item_id FROM hit",
+    "p8_report": _GRAMS8 + "SELECT item_id, count(*) AS pages FROM hit GROUP BY item_id",
+    "p10_found": _GRAMS10 + "SELECT doc_id FROM s WHERE n_words >= 30 AND n_repeated >= 0.5 * n_words",
+    "p10_share": _GRAMS10 + "SELECT doc_id, n_words, n_repeated, CASE WHEN n_words > 0 THEN n_repeated / n_words ELSE 0.0 END AS share FROM s",
 }
