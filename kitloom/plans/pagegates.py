@@ -122,4 +122,12 @@ co AS (SELECT b.document_id, b.page, trim(c.text,' ') AS code FROM be b JOIN a c
 SELECT b.document_id, b.page, trim(b.stage,' ') AS stage, coalesce(nullif(regexp_extract(sv.v, '([0-9]+)', 1), ''), trim(sv.v,' ')) AS sheet, coalesce(nullif(regexp_extract(tv.v, '([0-9]+)', 1), ''), trim(tv.v,' ')) AS sheets_total, co.code FROM be b LEFT JOIN sv ON sv.document_id = b.document_id AND sv.page = b.page LEFT JOIN tv ON tv.document_id = b.document_id AND tv.page = b.page LEFT JOIN co ON co.document_id = b.document_id AND co.page = b.page""",
     "caption_parts": f"""WITH t AS (SELECT {_SQ.format(c="stamp.title")} AS t FROM variants WHERE stamp.title IS NOT NULL), w AS (SELECT t, translate(lower(regexp_extract(t, '\\( *([^)]{{3,20}}?) *\\) *$', 1)), 'ёЁ', 'еЕ') AS w FROM t), p AS (SELECT t, CASE WHEN w = '' THEN NULL WHEN starts_with(w, 'нач') THEN 0 WHEN starts_with(w, 'прод') THEN 1 WHEN starts_with(w, 'окон') OR starts_with(w, 'конец') THEN 2 END AS p FROM w)
 SELECT CASE WHEN p IS NOT NULL THEN trim(regexp_replace(t, '\\([^)]*\\) *$', ''), ' ') ELSE t END AS name, coalesce(p, 0)::INTEGER AS part, count(*) AS n FROM p GROUP BY ALL""",
+    "frame_formats": "WITH b AS (SELECT document_id, sheet, max(x) - min(x) AS w, max(y) - min(y) AS h FROM text_items GROUP BY ALL), p AS (SELECT * FROM (VALUES (210.0::DOUBLE, 297.0::DOUBLE), (297.0, 420.0), (420.0, 594.0), (594.0, 841.0), (841.0, 1189.0)) t(pw, ph)), f AS (SELECT document_id, sheet, greatest(w, h) AS l, least(w, h) AS s, pw, ph, round(greatest(w, h) / ph) AS k FROM b, p) SELECT document_id, sheet, count_if(k > 0 AND abs(l / ph - k) <= 0.02 * k AND abs(s / pw - k) <= 0.05 * k)::INTEGER AS fits FROM f GROUP BY ALL",
+    "description_gates": f"""WITH d AS (SELECT doc_id, text, coalesce(page_kind, 'text') AS k, {_LNS} AS ls FROM documents WHERE text IS NOT NULL),
+t AS (SELECT *, list_filter(list_transform(list_filter(ls, lambda x: contains(x, ' — ')), lambda x: lower(trim(regexp_replace(x, '^.* — ', ''), ' '))), lambda x: length(x) >= 6) AS tails FROM d),
+r AS (SELECT 'stamped_location' AS reason FROM t WHERE coalesce(list_max(list_transform(list_distinct(tails), lambda a: len(list_filter(tails, lambda b: b = a)))) >= 6, false)
+UNION ALL SELECT 'too_short' FROM t WHERE length(trim(text, ' ')) < CASE k WHEN 'plan' THEN 2500 WHEN 'scheme' THEN 2000 WHEN 'table' THEN 2000 WHEN 'mixed' THEN 2200 ELSE 1500 END
+UNION ALL SELECT 'repetition_loop' FROM t WHERE contains(text, '[truncated-repeat]')
+UNION ALL SELECT 'tables_too_thin' FROM t WHERE k = 'table' AND len(list_filter(ls, lambda x: regexp_matches(x, '^\\|.+\\|$'))) < 8
+UNION ALL SELECT 'missing_sections' FROM t WHERE k IN ('plan', 'scheme', 'mixed') AND (NOT contains(lower(text), 'что это'))::INT + (NOT contains(lower(text), 'состав и размещение'))::INT + (NOT contains(lower(text), 'связи'))::INT >= 2) SELECT reason, count(*) AS pages FROM r GROUP BY reason""",
 }

@@ -236,4 +236,5 @@ UNION ALL SELECT 'box_inverted', (SELECT count(*) FROM legend_entries WHERE bbox
     "event_sessions": "WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)), s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM g) SELECT user_id, min(ts) AS started, count(*) AS events FROM s GROUP BY user_id, sid",
     "hourly_events": "SELECT date_trunc('hour', ts) AS started, event_type, count(*) AS events FROM events GROUP BY ALL",
     "job_outcomes": "WITH e AS (SELECT user_id, count_if(event_type = 'purchase') AS done, count_if(event_type = 'error') AS failed FROM events GROUP BY user_id) SELECT user_id, CASE WHEN failed = 0 THEN 'completed' WHEN done > 0 THEN 'partial' ELSE 'failed' END AS outcome FROM e",
+    "linked_symbols": "WITH RECURSIVE e AS (SELECT DISTINCT lower(trim(source_id, ' ')) AS a, lower(trim(target_id, ' ')) AS b FROM relationships WHERE source_id IS NOT NULL AND target_id IS NOT NULL), s AS (SELECT a, b FROM e UNION SELECT b, a FROM e), r(node, reach) AS (SELECT a, a FROM s UNION SELECT r.node, s.b FROM r JOIN s ON s.a = r.reach) SELECT node, min(reach) AS component FROM r GROUP BY node",
 }

@@ -180,4 +180,10 @@ ORACLE = {
     "ragged_tables": _CELLS + ", w AS (SELECT doc_id, table_no, \"row\", count(*) AS cells FROM cell GROUP BY ALL) SELECT doc_id, table_no, max(cells) AS widest, arg_min(cells, \"row\") AS header FROM w GROUP BY ALL HAVING max(cells) > arg_min(cells, \"row\") + 1",
     "content_line_counts": _LN + r""", c AS (SELECT doc_id, trim(regexp_replace(trim(line), '^[-*•]\s+', '')) AS line FROM ln WHERE NOT (trim(line) = '' OR regexp_matches(trim(line), '^(\||>|#|---)') OR (starts_with(trim(line), '_') AND ends_with(trim(line), '_')) OR regexp_matches(trim(line), '(?i)^\[(warning|mock|ocr|truncated|inline)|^_?\[mock\]|^\[.{0,40}схлопнут'))) SELECT doc_id, count(*) AS lines, sum(length(line)) AS chars FROM c WHERE length(line) >= 3 GROUP BY doc_id""",
     "label_run_lines": _LN + _RUNS.format(key="trim(line)") + ", x AS (SELECT *, CASE WHEN length(k) <= 20 AND k <> '' AND NOT contains(k, ' ') AND rlen >= 4 THEN 2 WHEN k <> '' AND length(k) <= 40 AND rlen >= 8 THEN 1 END AS keep FROM run) SELECT doc_id, count(*) AS lines FROM x WHERE (keep IS NULL OR rpos <= keep + 1) AND (k <> '' OR rpos = 1) GROUP BY doc_id",
+    "empty_rows_stripped": _LN + r""", n AS (SELECT *, lead(line) OVER (PARTITION BY doc_id ORDER BY pos) AS nx FROM ln) SELECT doc_id, count(*) AS lines FROM n WHERE NOT (regexp_matches(trim(line, ' '), '^\|[| \t]*$') AND NOT coalesce(regexp_matches(trim(nx, ' '), '^\|[ \t:|-]*-[ \t:|-]*$'), false)) GROUP BY doc_id""",
+    "page_bodies": r"""WITH p AS (SELECT doc_id, string_split(regexp_replace(chr(10) || text, '\n## Страница ([0-9]+[ \t]*)(\n|$)', chr(1) || '\1' || chr(2), 'g'), chr(1)) AS ps FROM documents WHERE text IS NOT NULL),
+e AS (SELECT doc_id, unnest(ps) AS part, unnest(range(len(ps))) AS n, len(ps) = 1 AS only_ FROM p),
+b AS (SELECT doc_id, CASE WHEN only_ THEN 1 ELSE try_cast(regexp_extract(part, '^([0-9]+)', 1) AS INTEGER) END AS page, trim(CASE WHEN only_ THEN part ELSE regexp_replace(part, '^[0-9]+[ \t]*\x02', '') END, ' ') AS body FROM e WHERE only_ OR n > 0)
+SELECT doc_id, page, length(body) AS chars, md5(body) AS digest FROM b""",
+    "table_progressions": _LN.replace("WITH ln AS", "WITH raw AS") + f""", num AS (SELECT *, regexp_extract(line, '(-?[0-9]+(?:[.,][0-9]+)?)', 1) AS f FROM raw), ln AS (SELECT *, CASE WHEN starts_with(ltrim(line, ' '), '|') AND NOT regexp_matches(trim(line, ' '), '{_SEP}') AND f <> '' THEN lower({_SQ.format(c="regexp_replace(line, '-?[0-9]+(?:[.,][0-9]+)?', '#', 'g')")}) END AS shape FROM num)""" + _RUNS.format(key="shape") + """, st AS (SELECT *, round(try_cast(replace(f, ',', '.') AS DOUBLE) - lag(try_cast(replace(f, ',', '.') AS DOUBLE)) OVER (PARTITION BY doc_id, rid ORDER BY pos), 4) AS step FROM run), ev AS (SELECT *, min(step) OVER (PARTITION BY doc_id, rid) = max(step) OVER (PARTITION BY doc_id, rid) AS even FROM st) SELECT doc_id, pos, '[truncated-table-progression: ещё ' || (rlen - 3) || ' однотипных строк с постоянным шагом]' AS line FROM ev WHERE k IS NOT NULL AND rlen >= 4 AND coalesce(even, false) AND rpos = 4""",
 }
