@@ -14,6 +14,7 @@ TYPES = {
     "limited_lines": {"chars": _BIG},
     "first_lines": {"chars": _BIG},
     "list_stem_runs": {"pos": _INT},
+    "table_progressions": {"pos": _INT},
     "document_cells": {"table_no": _INT, "col": _INT, "filled": _BIG},
     "ragged_tables": {"table_no": _INT},
     "content_line_counts": {"chars": _BIG},

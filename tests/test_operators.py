@@ -25,8 +25,8 @@ def _one(spark, value, f, kind="string"):
     "f, value, expected",
     [
         (T.fold_title, "  «Ёлка»  у дома. ", "елка у дома"), (T.fold_caption, "Кол. уч.", "колуч"), (T.clean_number, "лист 12 из 3", "12"), (T.clean_number, " б/н ", "б/н"), (T.compared_number, "−2,050", "-2.05"), (T.compared_number, "-", "0"),
-        (T.scored_number, "0,500", ".5"), (T.scored_number, "000", "0"), (T.glue_numbers, "1 500,5 и 4 169", "1500,5 и 4169"), (T.skeleton, "Отметка низа −2,050 | м", "отметка низа # м"), (T.looks_like_code, "28-ХСА-1/25-КР1", True), (T.looks_like_code, "ПОЯСНИТЕЛЬНАЯ-ЗАПИСКА", False),
-        (T.section_of, "28-ХСА-1/25-КР1.ПЗ", "28-ХСА-1/25-КР1"), (T.is_text_part, "А-1.тч", True), (T.slug, " а/б?в.. ", "а_бв"), (T.slug, None, "без-имени"), (T.code_in_body, "по ГОСТ см. 28-ХСА-1/25 лист", "28-ХСА-1/25"), (T.part_order, "Продолжение", 1), (T.is_level, "+12.350", True),
+        (T.scored_number, "0,500", ".5"), (T.scored_number, "000", "0"), (T.glue_numbers, "1 500,5 и 4 169", "1500,5 и 4169"), (T.skeleton, "Отметка низа −2,050 | м", "отметка низа # м"), (T.looks_like_code, "41-ПРЛ-2/24-КР1", True), (T.looks_like_code, "ПОЯСНИТЕЛЬНАЯ-ЗАПИСКА", False),
+        (T.section_of, "41-ПРЛ-2/24-КР1.ПЗ", "41-ПРЛ-2/24-КР1"), (T.is_text_part, "А-1.тч", True), (T.slug, " а/б?в.. ", "а_бв"), (T.slug, None, "без-имени"), (T.code_in_body, "по ГОСТ см. 41-ПРЛ-2/24 лист", "41-ПРЛ-2/24"), (T.part_order, "Продолжение", 1), (T.is_level, "+12.350", True),
         (T.is_linear_size, "(120)", False), (T.value_class, "Б", "letter"), (T.strip_thinking, "а<think>x</think>б<think>в", "аб"), (T.strip_tile_markers, "<table><tr><td>а</td><td>б</td></tr></table>", "а | б |  |"), (T.label_key, "Ёмкость, 5 мм!", "емкость 5мм"), (T.stem, "канализации", "канализаци"), (T.fact_key, "Ø 80", "∅80"),
         (T.strip_page_heading, "## Страница 3\nтекст", "текст"), (T.markdown_cell, "а|б\nв", "а\\|б<br>в"),
     ],
@@ -99,8 +99,8 @@ def test_number_conflicts_need_unique_lines(spark):
 
 def test_fresh_lines(spark):
     schema = "id int, pos int, line string"
-    base = spark.createDataFrame([(1, 0, "складской комплекс альянс")], schema)
-    extra = spark.createDataFrame([(1, 0, "складской комплекс альянз"), (1, 1, "новая насосная"), (1, 2, "складской комплекс")], schema)
+    base = spark.createDataFrame([(1, 0, "складской комплекс магистраль")], schema)
+    extra = spark.createDataFrame([(1, 0, "складской комплекс магистралъ"), (1, 1, "новая насосная"), (1, 2, "складской комплекс")], schema)
     assert [r["pos"] for r in R.fresh_lines(base, extra, ["id"]).collect()] == [1]
 
 
@@ -254,7 +254,7 @@ def test_event_stream(spark, tmp_path):
 
 def test_fused_and_missing(spark):
     schema = "id int, pos int, line string"
-    base = spark.createDataFrame([(1, 0, "складской комплекс альянс"), (2, 0, "лист")], schema)
+    base = spark.createDataFrame([(1, 0, "складской комплекс магистраль"), (2, 0, "лист")], schema)
     extra = spark.createDataFrame([(1, 0, "новая насосная"), (1, 1, "насосная"), (1, 2, "кладской комплекс"), (3, 0, "x")], schema)
     assert [(r["id"], r["ord"], r["line"]) for r in R.fused_lines(base, extra, ["id"]).collect() if r["id"] == 1] == [(1, 0, "новая насосная")]
     t = "d string, text string"
@@ -317,9 +317,9 @@ def test_gates(spark):
 def test_title_block(spark):
     from kitloom.operators import stampread as B
 
-    rows = [("d", 1, 1, 100.0, 40.0, 2.5, "Стадия"), ("d", 1, 2, 115.0, 40.0, 2.5, "Лист"), ("d", 1, 3, 135.0, 40.0, 2.5, "Листов"), ("d", 1, 4, 100.0, 33.0, 3.5, "П"), ("d", 1, 5, 115.0, 33.0, 3.5, "лист 7"), ("d", 1, 6, 135.0, 33.0, 3.5, "12"), ("d", 1, 7, 120.0, 60.0, 7.0, "28-ХСА-1/25-КР1"), ("d", 1, 8, 300.0, 40.0, 2.5, "Стадия"), ("d", 2, 9, 1.0, 1.0, 2.5, "Лист"), ("d", 2, 10, None, 1.0, 2.5, "Стадия"), ("d", 3, 11, 1.0, 1.0, 2.5, None)]
+    rows = [("d", 1, 1, 100.0, 40.0, 2.5, "Стадия"), ("d", 1, 2, 115.0, 40.0, 2.5, "Лист"), ("d", 1, 3, 135.0, 40.0, 2.5, "Листов"), ("d", 1, 4, 100.0, 33.0, 3.5, "П"), ("d", 1, 5, 115.0, 33.0, 3.5, "лист 7"), ("d", 1, 6, 135.0, 33.0, 3.5, "12"), ("d", 1, 7, 120.0, 60.0, 7.0, "41-ПРЛ-2/24-КР1"), ("d", 1, 8, 300.0, 40.0, 2.5, "Стадия"), ("d", 2, 9, 1.0, 1.0, 2.5, "Лист"), ("d", 2, 10, None, 1.0, 2.5, "Стадия"), ("d", 3, 11, 1.0, 1.0, 2.5, None)]
     df = spark.createDataFrame(rows, "document_id string, page int, item_id long, x double, y double, size double, text string")
-    assert [tuple(r) for r in B.read_stamps(df).select("page", "stage", "sheet", "sheets_total", "code").collect()] == [(1, "П", "7", "12", "28-ХСА-1/25-КР1")]
+    assert [tuple(r) for r in B.read_stamps(df).select("page", "stage", "sheet", "sheets_total", "code").collect()] == [(1, "П", "7", "12", "41-ПРЛ-2/24-КР1")]
 
 
 def test_axis_pairs_and_merged_fields(spark):
