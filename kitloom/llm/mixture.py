@@ -21,6 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.skew import SMALL_ROWS
 from ..session import cut_lineage
 from .tokens import token_counts
 
@@ -101,7 +102,8 @@ def mix(documents: DataFrame, targets: DataFrame, *, key: str = "doc_id", seed:
     total = sum(n * c for lengths in by_length.values() for n, c in lengths.items())
     fits = {s: fit_budget(by_length.get(s, {}), int(share * total), repeats) for s, (share, repeats) in wanted.items()}
     plan = [(s, n, f.whole, f.extra.get(n, 0)) for s, f in fits.items() for n in by_length.get(s, {}) if n and (f.whole or f.extra.get(n))]
-    planned = sized.join(spark.createDataFrame(plan, "source string, n_tokens bigint, whole int, extra bigint"), ["source", "n_tokens"])
+    counts = spark.createDataFrame(plan, "source string, n_tokens bigint, whole int, extra bigint")
+    planned = sized.join(F.broadcast(counts) if len(plan) <= SMALL_ROWS else counts, ["source", "n_tokens"])
     # the seeded order is cut into bands, so that one length of one source is no single task
     banded = planned.withColumn("hash", F.xxhash64(F.lit(seed), key)).withColumn("band", F.pmod("hash", F.lit(BANDS)))
     sizes = banded.groupBy("source", "n_tokens", "band").agg(F.count("*").alias("n"))

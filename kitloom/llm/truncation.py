@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.skew import HOT_ROWS, broadcast_if_small, salted_join
 from ..session import cut_lineage
 from . import encodings, uniform
 
@@ -157,8 +158,9 @@ def _bloom(texts: DataFrame) -> np.ndarray:
     return out
 
 
-def context_chances(texts: DataFrame) -> DataFrame:
-    """(ctx, chance): of each final context at the longest level the chance that a value ends there, one value left out."""
+def context_chances(texts: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """(ctx, n_values, chance): of each final context at the longest level how many values have it and the chance that a
+    value ends there, one value left out."""
     filter_bits = texts.sparkSession.sparkContext.broadcast(_bloom(texts))
 
     def endings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,20 +183,23 @@ def context_chances(texts: DataFrame) -> DataFrame:
     distinct = cut_lineage(rows.mapInArrow(endings, "ctx bigint, levels array<bigint>, n bigint").groupBy("ctx").agg(F.sum("n").alias("n"), F.any_value("levels").alias("levels")))
     each = distinct.select("ctx", "n", F.posexplode("levels").alias("level", "h"))
     total = rows.mapInArrow(occurrences, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("occurs"))
-    ends = each.groupBy("h").agg(F.sum("n").alias("ends"))
-    known = ends.join(total, "h").select("h", (F.col("ends") - 1).alias("e"), (F.col("occurs") - 1).alias("o"))
-    joined = each.select("ctx", "level", "h").join(known, "h").groupBy("ctx").agg(F.array_sort(F.collect_list(F.struct("level", "e", "o"))).alias("s"))
+    ends = each.groupBy("h").agg(F.sum("n").alias("ends"), F.count("*").alias("n_ctx"))
+    known = cut_lineage(ends.join(total, "h").select("h", "n_ctx", (F.col("ends") - 1).alias("e"), (F.col("occurs") - 1).alias("o")))
+    # short contexts are shared by very many long ones
+    found = salted_join(each.select("ctx", "n", "level", "h"), known, "h", weight="n_ctx", spread=F.col("ctx"), hot_rows=hot_rows)
+    joined = found.groupBy("ctx").agg(F.max("n").alias("n_values"), F.array_sort(F.collect_list(F.struct("level", "e", "o"))).alias("s"))
     chance = F.aggregate("s", F.lit(0.05).cast("double"), lambda acc, x: (x["e"] + F.lit(PRIOR) * acc) / (x["o"] + F.lit(PRIOR)))
-    return joined.select("ctx", F.greatest(chance, F.lit(1e-9)).alias("chance"))
+    return joined.select("ctx", "n_values", F.greatest(chance, F.lit(1e-9)).alias("chance"))
 
 
-def cut_values(values: DataFrame, pairs: list[tuple[int, int, int]]) -> DataFrame:
+def cut_values(values: DataFrame, pairs: list[tuple[int, int, int]], hot_rows: int = HOT_ROWS) -> DataFrame:
     """(table_name, record_id, part, chance, threshold, cut) of every value.
 
     values: table_name, record_id, part (what the rate of cuts is reported for), model (what is modelled together), text.
     """
     texts = cut_lineage(prepared(values, pairs))
-    scored = texts.drop("normal").join(context_chances(texts), "ctx")
+    chances = cut_lineage(context_chances(texts, hot_rows))
+    scored = salted_join(texts.drop("normal"), chances, "ctx", weight="n_values", spread=F.col("record_id"), hot_rows=hot_rows).drop("n_values")
     odds = F.log(F.col("chance") / F.greatest(1 - F.col("chance"), F.lit(1e-9)))
     scored = cut_lineage(scored.withColumn("odds", odds))
     # the valley of each model group, from a histogram
@@ -209,7 +214,8 @@ def cut_values(values: DataFrame, pairs: list[tuple[int, int, int]]) -> DataFram
     lengths = scored.groupBy("part", "len").agg(F.count("*").alias("n"), F.count_if(F.col("chance") < LOW).alias("low"))
     longer = Window.partitionBy("part").orderBy(F.desc("len"))
     hazard = lengths.select("part", "len", (F.col("low") / (F.sum("n").over(longer) + 20)).alias("hazard"))
-    judged = scored.join(valley, "grp").join(hazard, ["part", "len"])
+    # one row a group, and one a source and length: few, but checked
+    judged = scored.join(broadcast_if_small(valley), "grp").join(broadcast_if_small(hazard), ["part", "len"])
     threshold = F.greatest(1 / (1 + F.exp(-F.col("valley"))), F.least(F.lit(LIMIT_MOST), F.lit(LIMIT_FACTOR) * F.col("hazard")))
     return judged.select("table_name", "record_id", "part", "grp", "len", "chance", threshold.alias("threshold"), (F.col("chance") < threshold).alias("cut"))
 

@@ -53,6 +53,14 @@ def test_cuts_are_found(spark):
     assert rate["n_cut"] == len(got) and rate["n_values"] == len(rows) + 1
 
 
+def test_hot_contexts_change_nothing(spark):
+    rows, _ = _values(600, 5)
+    df = spark.createDataFrame(rows + [("t", f"h{i}", "p", "m", "0", "x", "y") for i in range(300)], VALUES)
+    pairs = E.train(df.select("text"))
+    pick = lambda d: sorted(map(tuple, d.select("record_id", "cut", "chance").collect()))
+    assert pick(T.cut_values(df, pairs)) == pick(T.cut_values(df, pairs, hot_rows=20))
+
+
 def test_chances_agree_with_a_count_by_hand(spark):
     rows, _ = _values(300, 8)
     df = spark.createDataFrame(rows, VALUES)
