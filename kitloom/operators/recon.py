@@ -28,7 +28,9 @@ def placed(variants: DataFrame) -> DataFrame:
     code = _stamp("code")
     section = F.coalesce(F.nullif(T.section_of(code), F.lit("")), F.lit(NO_CODE))
     base = variants.select("variant_id", "source_name", "source_kind", "idx", "stamp", is_vector(F.col("source_kind")).alias("vector"), section.alias("section"), F.coalesce(F.nullif(code, F.lit("")), section).alias("document"), _stamp("sheet").alias("number"), (F.coalesce(T.is_text_part(code), F.lit(False))).alias("text_part"), ((code != "") | (_stamp("sheet") != "") | (_stamp("title") != "")).alias("found"))
-    order = Window.partitionBy("section", "document", "number").orderBy(F.desc("vector"), F.desc("found"), F.asc_nulls_last("idx"), "variant_id")
+    # unnumbered variants have no place; each is a partition of its own, however many there are
+    lone = F.when(F.col("number") == "", F.col("variant_id"))
+    order = Window.partitionBy("section", "document", "number", lone).orderBy(F.desc("vector"), F.desc("found"), F.asc_nulls_last("idx"), "variant_id")
     return base.withColumn("place", F.when(F.col("number") != "", F.row_number().over(order)))
 
 
