@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .batches import larger
 from .charmodel import EDGE, FAR, GAP, pair_counts
 
 # Encodings that Cyrillic text is written in, and those it is wrongly read with.
@@ -218,25 +219,31 @@ class EncodingModel:
 
     def spans(self, texts: list[str]) -> dict[int, list[tuple[int, int, int]]]:
         """By place in texts the garbled spans as (start, end, state)."""
-        out: dict[int, list[tuple[int, int, int]]] = {}
         order = sorted((i for i, t in enumerate(texts) if t), key=lambda i: len(texts[i]))
+        suspects: list[int] = []
         at = 0
         while at < len(order):
             most = max(1, min(4096, 600_000 // (len(texts[order[min(at + 4095, len(order) - 1)]]) + 1)))
             part = order[at : at + most]
             at += most
             pairs, lengths = self._matrix([texts[i] for i in part])
-            hits = np.flatnonzero(self._suspects(pairs, lengths))
-            step = max(1, 200_000 // pairs.shape[1])
-            for s in range(0, len(hits), step):
-                some = hits[s : s + step]
-                path = self._viterbi(pairs[some, :-1] if pairs.shape[1] > 1 else pairs[some], lengths[some])
-                for row, i in zip(path, some, strict=True):
-                    if row.any():
-                        states = row[: lengths[i]]
-                        cuts = np.flatnonzero(np.diff(states)) + 1
-                        edges = [0, *cuts.tolist(), len(states)]
-                        out[part[i]] = [(a, b, int(states[a])) for a, b in zip(edges, edges[1:], strict=False) if states[a]]
+            suspects += [part[k] for k in np.flatnonzero(self._suspects(pairs, lengths))]
+        out: dict[int, list[tuple[int, int, int]]] = {}
+        at = 0
+        while at < len(suspects):
+            # texts of about one length together, as many as fit
+            longest = max(40, 2 * len(texts[suspects[at]]))
+            end = at + 1
+            while end < len(suspects) and len(texts[suspects[end]]) <= longest and (end + 1 - at) * len(texts[suspects[end]]) <= 1_000_000:
+                end += 1
+            part = suspects[at:end]
+            at = end
+            pairs, lengths = self._matrix([texts[i] for i in part])
+            for row, n, i in zip(self._viterbi(pairs[:, : int(lengths.max())], lengths), lengths, part, strict=True):
+                states = row[:n]
+                if states.any():
+                    edges = [0, *(np.flatnonzero(np.diff(states)) + 1).tolist(), int(n)]
+                    out[i] = [(a, b, int(states[a])) for a, b in zip(edges, edges[1:], strict=False) if states[a]]
         return out
 
 
@@ -284,7 +291,7 @@ def garbled_records(records: DataFrame, pairs: list[tuple[int, int, int]]) -> Da
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = built(pairs)
-        for batch in batches:
+        for batch in larger(batches):
             texts = batch.column(2).to_pylist()
             found = model.spans(texts)
             rows = pa.array(sorted(found), pa.int64())

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from ..operators.skew import HOT_ROWS, broadcast_if_small, salted_join
 from ..session import cut_lineage
 from . import encodings, uniform
+from .batches import larger
 
 LEVELS = (3, 5, 8, 12, 18, 26)
 PRIOR = 8.0
@@ -117,7 +118,7 @@ def prepared(values: DataFrame, pairs: list[tuple[int, int, int]]) -> DataFrame:
 
     def prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, model = uniform.word_form(pairs), encodings.built(pairs)
-        for batch in batches:
+        for batch in larger(batches):
             texts = batch.column(4).to_pylist()
             spans = model.spans(texts)
             plain = [words.text(encodings.restore(t, spans[i])[0] if i in spans else t) for i, t in enumerate(texts)]

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import encodings
+from .batches import larger
 from .charmodel import EDGE, PLAIN_CLASS
 
 # Letters that look alike, Latin and Cyrillic; then Greek and other letters with their Latin look.
@@ -163,7 +164,7 @@ def inconsistent_records(records: DataFrame, pairs: list[tuple[int, int, int]],
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, model = word_form(pairs), encodings.built(pairs) if garbled_tables else None
-        for batch in batches:
+        for batch in larger(batches):
             names, texts = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             changed = [(i, u) for i, t in enumerate(texts) if (u := words.text(t)) != t]
             if model and changed:
