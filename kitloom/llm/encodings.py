@@ -35,6 +35,8 @@ LOST_SIGNS = ("?", "�")
 START_GARBLED, ENTER, LEAVE = math.log(0.02), math.log(2e-5), math.log(1e-2)
 SMOOTHING, FLOOR = 4.0, 1e-8
 TABLE_BYTES_BOUND = 64 << 20
+#: Characters searched at once, so that a text of any length needs little memory.
+PIECE = 100_000
 
 
 def read_wrong(data: bytes, wrong: str, lost: bool) -> str:
@@ -218,7 +220,22 @@ class EncodingModel:
         return path
 
     def spans(self, texts: list[str]) -> dict[int, list[tuple[int, int, int]]]:
-        """By place in texts the garbled spans as (start, end, state)."""
+        """By place in texts the garbled spans as (start, end, state); very long texts are searched piece by piece."""
+        if not any(len(t) > PIECE for t in texts):
+            return self._spans(texts)
+        pieces = [(i, at, t[at : at + PIECE]) for i, t in enumerate(texts) for at in range(0, max(1, len(t)), PIECE)]
+        out: dict[int, list[tuple[int, int, int]]] = {}
+        for k, found in sorted(self._spans([p for *_, p in pieces]).items()):
+            i, at, _ = pieces[k]
+            own = out.setdefault(i, [])
+            for a, b, state in found:
+                if own and own[-1][1:] == (at + a, state):  # a span across the border of two pieces
+                    own[-1] = (own[-1][0], at + b, state)
+                else:
+                    own.append((at + a, at + b, state))
+        return out
+
+    def _spans(self, texts: list[str]) -> dict[int, list[tuple[int, int, int]]]:
         order = sorted((i for i, t in enumerate(texts) if t), key=lambda i: len(texts[i]))
         suspects: list[int] = []
         at = 0

@@ -55,6 +55,27 @@ def test_bound_never_drops_a_garbled_path(model):
     assert not [i for i in range(len(texts)) if path[i, : lengths[i]].any() and not suspects[i]]
 
 
+def test_very_long_texts(model):
+    g = E.Garbling("cp1251", "cp1252")
+    clean = "узел ввода насосной станции " * 9000
+    middle = g.apply("площадь покрытия принят " * 6000)
+    (spans,) = model.spans([clean + middle + clean, "", clean]).values()
+    ((start, end, _),) = spans  # a space at its end may be on either side
+    assert start == len(clean) and end in (len(clean) + len(middle) - 1, len(clean) + len(middle))
+    assert E.restore(clean + middle + clean, spans)[0] == clean + "площадь покрытия принят " * 6000 + clean
+
+
+def test_larger_batches_keep_rows():
+    import pyarrow as pa
+
+    from kitloom.llm.batches import larger
+
+    small = [pa.RecordBatch.from_arrays([pa.array(range(k, k + 3))], names=["a"]) for k in range(0, 30, 3)]
+    joined = list(larger(iter(small), rows=7))
+    assert [v for b in joined for v in b.column(0).to_pylist()] == list(range(30)) and len(joined) == 4
+    assert list(larger(iter([]))) == []
+
+
 RECORDS = "table_name string, record_id string, text string, restored string, model string"
 
 
