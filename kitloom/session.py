@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,10 +25,21 @@ def build_session(app: str = "kitloom", master: str = "local[*]", shuffle_partit
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    session = builder.getOrCreate()
+    make_importable(session)
+    return session
+
+
+def make_importable(spark: SparkSession) -> None:
+    """Let Python workers find this package where only the driver's own path leads to it."""
+    environment, root = spark.sparkContext.environment, str(Path(__file__).resolve().parent.parent)
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    make_importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
