@@ -29,6 +29,7 @@ def test_order_of_survivors(spark):
     ]
     assert _survivors(spark, rows) == [2, 5, 7, 9]
     assert _survivors(spark, []) == []
+    assert _survivors(spark, [*rows, *rows, _variant(None, "DWG", "A-1", "3")]) == sorted([2, 5, 7, 9, 11])
     assert _survivors(spark, [*rows, *[(100, None, None, None, None, None, None)] * 2]) == [2, 5, 7, 9]
 
 
