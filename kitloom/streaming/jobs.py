@@ -25,8 +25,8 @@ def latest_state(events: DataFrame, key: str, at: str = "ts", order: str = "even
 
 
 def next_in_lane(jobs: DataFrame, lane_column: str, order: str) -> DataFrame:
-    """The first waiting job of each lane."""
-    return jobs.groupBy(lane_column).agg(F.min(F.struct(order, *[c for c in jobs.columns if c not in (lane_column, order)])).alias("j")).select(lane_column, "j.*")
+    """The first waiting job of each lane; jobs without an order wait for none."""
+    return jobs.filter(F.col(order).isNotNull()).groupBy(lane_column).agg(F.min(F.struct(order, *[c for c in jobs.columns if c not in (lane_column, order)])).alias("j")).select(lane_column, "j.*")
 
 
 def reconciled(state: Column) -> Column:
