@@ -6,8 +6,9 @@ maximises the summed trust under functional dependencies: two bundles that share
 the group's most trusted row says of it. The search is a branch and bound over the bundles; its bounds are the best
 trusts of the bundles not yet decided.
 
-Candidates are reduced before any group is collected: equal values are one candidate with their best trust, and a value
-that the bound already excludes is dropped, so a group of any size sends a few values to the search.
+Candidates are reduced before any group is collected: equal values are one candidate with their best trust; values that
+contradict the survivor or add nothing to it are dropped; of the rest the best of each bundle and stage is kept. Bundles
+share no field and only the stage fixes a field of another bundle, so the values left out can't be part of a better choice.
 
 Defined cases: rows without a group key or an id belong to no group; ties end with the smaller id; repeated rows are
 members like others, and their group still has one survivor; null, blank and a lone dash are unfilled; bundles nobody fills stay as they are.
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 KIND_RANK = {"DWG": 0, "PDF": 1, "DOCX": 2}
 FILLED_FIELDS = ("code", "sheet", "sheets_total", "stage", "title", "object_name", "org")
 #: Dependent fields are chosen together; the fields after the bar restrict which candidates agree.
-BUNDLES: Mapping[str, tuple[str, ...]] = {"volume": ("sheets_total",), "project": ("stage", "object_name", "org"), "heading": ("title",)}
+BUNDLES: Mapping[str, tuple[str, ...]] = {"volume": ("sheets_total",), "project": ("stage", "object_name", "org"), "heading": ("title",), "reading": ("source", "note")}
 #: determinant -> dependents that it fixes within a group
 DEPENDENCIES: Mapping[str, tuple[str, ...]] = {"object_name": ("org",), "stage": ("sheets_total",)}
 FAR_MICROS = 1 << 62
@@ -119,11 +120,18 @@ def best_representatives(variants: DataFrame) -> DataFrame:
     for name, members in BUNDLES.items():
         complete = sum((F.col(f).isNotNull().cast("int") for f in members), F.lit(0))
         trust = (F.lit(len(KIND_RANK)) - F.col("kind")) + F.lit(10) * complete
-        part = rows.filter(complete > 0).groupBy("code_key", "sheet_no", F.lit(name).alias("bundle"), F.to_json(F.struct(*members)).alias("value")).agg(F.max(trust).alias("best"), F.count("*").alias("support"))
+        part = rows.filter(complete > 0).groupBy("code_key", "sheet_no", *members).agg(F.max(trust).alias("best"), F.count("*").alias("support"))
+        part = part.select("code_key", "sheet_no", F.lit(name).alias("bundle"), F.to_json(F.struct(*members)).alias("value"), "best", "support", *[F.col(f) if f in members else F.lit(None).cast("string").alias(f) for f in fields])
         candidates = part if candidates is None else candidates.unionByName(part)
-    # A value is worth searching only if it is the best of its bundle for what it says of the bundle's first field.
+    # Only values that agree with all the survivor says and add a field to it; of these the best of each stage, the one field of a bundle that determines another bundle's.
+    known = own.select("code_key", "sheet_no", *[F.col(f).alias(f"own_{f}") for f in fields])
+    agrees, adds = F.lit(True), F.lit(False)
+    for f in fields:
+        agrees &= F.coalesce(F.col(f) == F.col(f"own_{f}"), F.lit(True))
+        adds |= F.col(f).isNotNull() & F.col(f"own_{f}").isNull()
+    useful = candidates.join(known, ["code_key", "sheet_no"]).filter(agrees & adds)
     shape = F.struct(F.col("best"), F.col("support"), F.col("value"))
-    ranked = candidates.groupBy("code_key", "sheet_no", "bundle", F.get_json_object("value", "$.stage").alias("s")).agg(F.max(shape).alias("c"))
+    ranked = useful.groupBy("code_key", "sheet_no", "bundle", "stage").agg(F.max(shape).alias("c"))
     ranked = ranked.groupBy("code_key", "sheet_no").agg(F.collect_list(F.struct("bundle", F.col("c.best").cast("int").alias("trust"), F.col("c.value").alias("value"))).alias("candidates"))
 
     @F.pandas_udf("struct<" + ",".join(f"{f} string" for f in fields) + ",filled_from string>")

@@ -40,6 +40,16 @@ def test_missing_fields_come_in_whole_bundles(spark):
     assert r["sheets_total"] == "5"
 
 
+def test_a_value_that_agrees_fills_though_a_more_trusted_one_contradicts(spark):
+    rows = [
+        _variant(1, "DWG", "A", "1", object_name="О", title="т", sheets_total="5"), _variant(2, "PDF", "A", "1", stage="П", object_name="Д", org="Л"), _variant(3, "DOCX", "A", "1", stage="П", object_name="О", org="К", note="н"),
+        _variant(4, "DWG", "B", "1", object_name="О", org="К", title="т"), _variant(5, "DOCX", "B", "1", stage="Р"),
+    ]
+    a, b = sorted(S.best_representatives(spark.createDataFrame(rows, VARIANT)).collect(), key=lambda r: r["survivor_id"])
+    assert (a["survivor_id"], a["stage"], a["object_name"], a["org"], a["note"], a["filled_from"]) == (1, "П", "О", "К", "н", "project,reading")
+    assert (b["survivor_id"], b["stage"], b["object_name"], b["org"], b["filled_from"]) == (4, "Р", "О", "К", "project")
+
+
 def test_branch_and_bound_is_the_best_choice():
     rng = random.Random(2)
     for _ in range(60):
