@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import catalog as C
@@ -17,9 +17,9 @@ from .texts import _LN, _SQ
 
 
 def _side_lines(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    keys = ["kit", "page"]
-    first = lambda df: df.groupBy(*keys).agg(F.min_by("text", "doc_id").alias("text"))
-    return tuple(L.content_lines(L.lines(first(x), keys)) for x in _sides(spark, d))
+    """Content lines of all readings of a page and side, one reading after the other."""
+    order = F.row_number().over(Window.partitionBy("kit", "page").orderBy("doc_id", "pos", "line"))
+    return tuple(L.content_lines(L.lines(x, ["kit", "page", "doc_id"])).withColumn("pos", order).drop("doc_id") for x in _sides(spark, d))
 
 
 def fused_pages(spark: SparkSession, d: str) -> DataFrame:
