@@ -1,17 +1,20 @@
 """Best representative of each duplicate group, its missing fields filled by whole bundles of dependent fields.
 
-The survivor of a group is the first row by the given order. Fields that depend on each other form a bundle; a survivor
-that lacks a part of a bundle takes the bundle as one candidate row has it, never a mixture. Which candidates are taken
-maximises the summed trust under functional dependencies: two bundles that share a determinant must not contradict what
-the group's most trusted row says of it. The search is a branch and bound over the bundles; its bounds are the best
-trusts of the bundles not yet decided.
-
-Candidates are reduced before any group is collected: equal values are one candidate with their best trust; values that
-contradict the survivor or add nothing to it are dropped; of the rest the best of each bundle and stage is kept. Bundles
-share no field and only the stage fixes a field of another bundle, so the values left out can't be part of a better choice.
+A group's survivor and what fills it are one choice. Its bundles are the record itself (kind, stamp, reading time and
+index of one row) and sets of dependent stamp fields, which may share a field (the stage belongs to the volume and to the
+project). A bundle is taken whole, as some row of the group has it, or not at all. A branch and bound takes the choice of
+the greatest trust: first the record's own (the stated order of kind, fullness, reading time, index, id), then the sum of
+the fills'. Chosen bundles agree in every field they share, and keep the functional dependencies learned from the group:
+what the most trusted row with an object or a stage says of its organisation or number of sheets holds for all.
+
+Candidates are reduced before a group is collected, never by a cap. Records: the best of each kind of source. Fills: equal
+values are one candidate; those that contradict the leading record or the learned dependencies, or add nothing, are
+infeasible. Of the rest, with the stage as the one field that two bundles share, an optimum needs of each bundle only the
+best of all, the best without a stage, and those of the stage with the greatest joint trust.
 
 Defined cases: rows without a group key or an id belong to no group; ties end with the smaller id; repeated rows are
-members like others, and their group still has one survivor; null, blank and a lone dash are unfilled; bundles nobody fills stay as they are.
+members like others, and their group still has one survivor; null, blank and a lone dash are unfilled; bundles nobody
+fills stay as they are; other input columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,12 +25,17 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.skew import HOT_ROWS, salted_join
+from ..session import cut_lineage
+
 KIND_RANK = {"DWG": 0, "PDF": 1, "DOCX": 2}
 FILLED_FIELDS = ("code", "sheet", "sheets_total", "stage", "title", "object_name", "org")
-#: Dependent fields are chosen together; the fields after the bar restrict which candidates agree.
-BUNDLES: Mapping[str, tuple[str, ...]] = {"volume": ("sheets_total",), "project": ("stage", "object_name", "org"), "heading": ("title",), "reading": ("source", "note")}
-#: determinant -> dependents that it fixes within a group
-DEPENDENCIES: Mapping[str, tuple[str, ...]] = {"object_name": ("org",), "stage": ("sheets_total",)}
+#: Dependent fields are chosen together; SHARED is the only field that belongs to more than one bundle.
+BUNDLES: Mapping[str, tuple[str, ...]] = {"project": ("stage", "object_name", "org"), "volume": ("stage", "sheets_total"), "heading": ("title",), "reading": ("source", "note")}
+SHARED = "stage"
+#: determinant -> dependent that it fixes within a group
+DEPENDENCIES: Mapping[str, str] = {"object_name": "org", "stage": "sheets_total"}
+FIELDS = tuple(sorted({f for b in BUNDLES.values() for f in b}))
 FAR_MICROS = 1 << 62
 
 
@@ -52,108 +60,124 @@ def kind_rank(c: Column) -> Column:
     return out
 
 
-def survivors(variants: DataFrame) -> DataFrame:
-    """(code_key, sheet_no, members, survivor_id) of every group of two or more rows of one sheet."""
-    n_filled = sum((filled(F.col(f"stamp.{f}")).cast("int") for f in FILLED_FIELDS), F.lit(0))
-    order = F.struct(
-        kind_rank(F.col("source_kind")).alias("k"),
-        (-n_filled).alias("f"),
-        F.coalesce(-F.unix_micros(F.col("read_at").cast("timestamp")), F.lit(FAR_MICROS)).alias("t"),
-        F.coalesce(F.col("idx").cast("long"), F.lit(FAR_MICROS)).alias("i"),
-        F.col("variant_id").alias("id"),
-    )
-    keyed = variants.select(squeezed(F.col("stamp.code")).alias("code_key"), sheet_number(F.col("stamp.sheet")).alias("sheet_no"), order.alias("o"))
-    groups = keyed.filter("code_key is not null and sheet_no is not null and o.id is not null").groupBy("code_key", "sheet_no").agg(F.count("*").alias("members"), F.min("o").alias("o"))
-    return groups.filter("members >= 2").select("code_key", "sheet_no", "members", F.col("o.id").alias("survivor_id"))
+Fields = dict[str, str]
+#: (determinant, its value) -> the value of its dependent
+Facts = Mapping[tuple[str, str], str]
+
+
+def keeps(known: Fields, added: Fields, facts: Facts) -> bool:
+    """Whether added values contradict neither known ones nor a learned dependency."""
+    if any(known.get(f, v) != v for f, v in added.items()):
+        return False
+    joint = known | added
+    new = joint.keys() - known.keys()
+    for determinant, dependent in DEPENDENCIES.items():
+        if determinant in joint and dependent in joint and (determinant in new or dependent in new) and facts.get((determinant, joint[determinant]), joint[dependent]) != joint[dependent]:
+            return False
+    return True
 
 
-def choose(bundles: Sequence[list[tuple[int, dict[str, str]]]], anchor: dict[str, str]) -> list[int | None]:
-    """Branch and bound: per bundle the index of the chosen candidate (trust, fields), None if the bundle has none.
+def choose(records: Sequence[tuple[tuple[int, ...], Fields]], bundles: Sequence[Sequence[tuple[int, Fields]]], facts: Facts) -> tuple[int, list[int | None]]:
+    """Branch and bound: the index of the chosen record and, per bundle, of its chosen candidate or None.
 
-    anchor: field values of the survivor, which no choice may contradict.
+    A record's trust is a tuple and goes before the sum of the candidates' trusts. A branch is left when even the best
+    trusts of all bundles not yet decided can't bring it past the best choice found.
     """
-    best: tuple[float, list[int | None]] = (-1.0, [None] * len(bundles))
-    bound = [0.0] * (len(bundles) + 1)
+    bound = [0] * (len(bundles) + 1)
     for k in range(len(bundles) - 1, -1, -1):
-        bound[k] = bound[k + 1] + max([t for t, _ in bundles[k]], default=0)
-
-    def agrees(fields: dict[str, str], fixed: dict[tuple[str, str, str], str]) -> dict[tuple[str, str, str], str] | None:
-        new = {}
-        for determinant, dependents in DEPENDENCIES.items():
-            if determinant in fields:
-                for d in dependents:
-                    if d in fields:
-                        at = (determinant, fields[determinant], d)
-                        if fixed.get(at, fields[d]) != fields[d]:
-                            return None
-                        new[at] = fields[d]
-        return new
-
-    def branch(k: int, trust: float, chosen: list[int | None], known: dict[str, str], fixed: dict[tuple[str, str, str], str]) -> None:
-        nonlocal best
-        if trust + bound[k] <= best[0]:
+        bound[k] = bound[k + 1] + max((t for t, _ in bundles[k]), default=0)
+    best: tuple[tuple[int, ...], int] | None = None
+    chosen: tuple[int, list[int | None]] = (0, [None] * len(bundles))
+
+    def branch(record: int, k: int, trust: int, taken: list[int | None], known: Fields) -> None:
+        nonlocal best, chosen
+        own = records[record][0]
+        if best is not None and (own, trust + bound[k]) <= best:
             return
         if k == len(bundles):
-            best = (trust, chosen)
+            best, chosen = (own, trust), (record, taken)
             return
         for i, (t, fields) in enumerate(bundles[k]):
-            if any(known.get(f, v) != v for f, v in fields.items()):
-                continue
-            joint = known | fields
-            if (new := agrees(joint, fixed)) is not None:
-                branch(k + 1, trust + t, [*chosen, i], joint, fixed | new)
-        branch(k + 1, trust, [*chosen, None], known, fixed)
-
-    start = agrees(anchor, {}) or {}
-    branch(0, 0.0, [], dict(anchor), start)
-    return best[1]
-
-
-def best_representatives(variants: DataFrame) -> DataFrame:
-    """One row per group: code_key, sheet_no, members, survivor_id and the completed stamp fields with filled_from."""
-    fields = sorted({f for b in BUNDLES.values() for f in b})
-    heads = survivors(variants)
-    rows = variants.select("variant_id", squeezed(F.col("stamp.code")).alias("code_key"), sheet_number(F.col("stamp.sheet")).alias("sheet_no"), kind_rank(F.col("source_kind")).alias("kind"), *[F.when(filled(F.col(f"stamp.{f}")), F.col(f"stamp.{f}")).alias(f) for f in fields]).filter("code_key is not null and sheet_no is not null and variant_id is not null")
-    stamps = rows.groupBy(F.col("variant_id").alias("survivor_id")).agg(F.max(F.struct(*fields)).alias("stamp"))
-    own = heads.join(stamps, "survivor_id").select(*heads.columns, "stamp.*")
-    candidates = None
-    for name, members in BUNDLES.items():
-        complete = sum((F.col(f).isNotNull().cast("int") for f in members), F.lit(0))
-        trust = (F.lit(len(KIND_RANK)) - F.col("kind")) + F.lit(10) * complete
-        part = rows.filter(complete > 0).groupBy("code_key", "sheet_no", *members).agg(F.max(trust).alias("best"), F.count("*").alias("support"))
-        part = part.select("code_key", "sheet_no", F.lit(name).alias("bundle"), F.to_json(F.struct(*members)).alias("value"), "best", "support", *[F.col(f) if f in members else F.lit(None).cast("string").alias(f) for f in fields])
-        candidates = part if candidates is None else candidates.unionByName(part)
-    # Only values that agree with all the survivor says and add a field to it; of these the best of each stage, the one field of a bundle that determines another bundle's.
-    known = own.select("code_key", "sheet_no", *[F.col(f).alias(f"own_{f}") for f in fields])
+            if keeps(known, fields, facts):
+                branch(record, k + 1, trust + t, [*taken, i], known | fields)
+        branch(record, k + 1, trust, [*taken, None], known)
+
+    for r in range(len(records)):
+        branch(r, 0, 0, [], dict(records[r][1]))
+    return chosen
+
+
+def best_representatives(variants: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """One row per group of two or more: code_key, sheet_no, members, survivor_id, the completed stamp fields, filled_from."""
+    group = ["code_key", "sheet_no"]
+    n_filled = sum((filled(F.col(f"stamp.{f}")).cast("int") for f in FILLED_FIELDS), F.lit(0))
+    order = F.struct(
+        kind_rank(F.col("source_kind")).alias("k"),
+        (-n_filled).alias("f"),
+        F.coalesce(-F.unix_micros(F.col("read_at").cast("timestamp")), F.lit(FAR_MICROS)).alias("t"),
+        F.coalesce(F.col("idx").cast("long"), F.lit(FAR_MICROS)).alias("i"),
+        F.col("variant_id").alias("id"),
+    )
+    rows = variants.select(squeezed(F.col("stamp.code")).alias("code_key"), sheet_number(F.col("stamp.sheet")).alias("sheet_no"), order.alias("o"), *[F.when(filled(F.col(f"stamp.{f}")), F.col(f"stamp.{f}")).alias(f) for f in FIELDS])
+    rows = rows.filter("code_key is not null and sheet_no is not null and o.id is not null")
+    # the records: the best of each kind, with what they say
+    kinds = rows.groupBy(*group, F.col("o.k").alias("kind")).agg(F.count("*").alias("n"), F.min(F.struct("o", *FIELDS)).alias("r"))
+    heads = kinds.groupBy(*group).agg(F.sum("n").alias("members"), F.min("r").alias("lead"), F.collect_list("r").alias("records")).filter("members >= 2")
+    heads = cut_lineage(heads.withColumn("grp", F.xxhash64(*group)))
+    # the fills: distinct values of a bundle with their best trust
+    each = []
+    for name, fields in BUNDLES.items():
+        complete = sum((F.col(f).isNotNull().cast("int") for f in fields), F.lit(0))
+        trust = ((F.lit(len(KIND_RANK)) - F.col("o.k")) + F.lit(10) * complete).cast("int")
+        each.append(F.when(complete > 0, F.struct(F.lit(name).alias("bundle"), trust.alias("trust"), *[F.col(f) if f in fields else F.lit(None).cast("string").alias(f) for f in FIELDS])))
+    split = rows.select(*group, F.explode(F.array_compact(F.array(*each))).alias("c")).select(*group, "c.*")
+    candidates = split.groupBy(*group, "bundle", *FIELDS).agg(F.max("trust").alias("trust"), F.count("*").alias("support"))
+    candidates = candidates.withColumn("grp", F.xxhash64(*group))
+    lead = heads.select("grp", F.col("code_key").alias("g_code"), F.col("sheet_no").alias("g_sheet"), "members", *[F.col(f"lead.{f}").alias(f"own_{f}") for f in FIELDS])
+    # a group's number of candidates is at most its members times the bundles
+    joined = salted_join(candidates, lead, "grp", weight="members", spread=F.xxhash64("bundle", *FIELDS), hot_rows=hot_rows).filter("code_key = g_code and sheet_no = g_sheet")
     agrees, adds = F.lit(True), F.lit(False)
-    for f in fields:
+    for f in FIELDS:
         agrees &= F.coalesce(F.col(f) == F.col(f"own_{f}"), F.lit(True))
         adds |= F.col(f).isNotNull() & F.col(f"own_{f}").isNull()
-    useful = candidates.join(known, ["code_key", "sheet_no"]).filter(agrees & adds)
-    shape = F.struct(F.col("best"), F.col("support"), F.col("value"))
-    ranked = useful.groupBy("code_key", "sheet_no", "bundle", "stage").agg(F.max(shape).alias("c"))
-    ranked = ranked.groupBy("code_key", "sheet_no").agg(F.collect_list(F.struct("bundle", F.col("c.best").cast("int").alias("trust"), F.col("c.value").alias("value"))).alias("candidates"))
-
-    @F.pandas_udf("struct<" + ",".join(f"{f} string" for f in fields) + ",filled_from string>")
-    def complete_stamp(found: pd.Series, anchor: pd.Series) -> pd.DataFrame:
+    useful = joined.filter(agrees & adds)
+    said = F.array_compact(F.array(*[F.when(F.col(d).isNotNull() & F.col(x).isNotNull(), F.struct(F.lit(d).alias("of"), F.col(d).alias("value"), F.col(x).alias("says"))) for d, x in DEPENDENCIES.items()]))
+    learned = rows.select(*group, "o", F.explode(said).alias("s")).groupBy(*group, "s.of", "s.value").agg(F.min(F.struct("o", "s.says")).alias("m")).select(*group, "of", "value", F.col("m.says").alias("says"))
+    for determinant, dependent in DEPENDENCIES.items():
+        at, says = f"at_{determinant}", f"said_{determinant}"
+        own = learned.filter(F.col("of") == determinant).select(*group, F.col("value").alias(at), F.col("says").alias(says))
+        useful = useful.withColumn(at, F.coalesce(determinant, f"own_{determinant}")).join(own, [*group, at], "left")
+        joint = F.coalesce(F.col(dependent), F.col(f"own_{dependent}"))
+        fresh = (F.col(determinant).isNotNull() & F.col(f"own_{determinant}").isNull()) | (F.col(dependent).isNotNull() & F.col(f"own_{dependent}").isNull())
+        useful = useful.filter(F.coalesce(~fresh | (joint == F.col(says)), F.lit(True)))
+    # of each bundle and value of the shared field the best, then what an optimum can need of them
+    facts = F.array_compact(F.array(*[F.when(F.col(f"at_{d}").isNotNull() & F.col(f"said_{d}").isNotNull(), F.struct(F.lit(d).alias("d"), F.col(f"at_{d}").alias("v"), F.col(f"said_{d}").alias("w"))) for d in DEPENDENCIES]))
+    option = F.struct("trust", "support", F.struct(*FIELDS).alias("fields"), facts.alias("facts"))
+    by_stage = useful.groupBy(*group, F.col(SHARED).alias("at"), "bundle").agg(F.max(option).alias("o"))
+    joint = by_stage.groupBy(*group, "at").agg(F.sum("o.trust").alias("sum"), F.collect_list(F.struct("bundle", "o")).alias("each"))
+    stages = joint.groupBy(*group).agg(F.max(F.when(F.col("at").isNotNull(), F.struct("sum", "at", "each"))).alias("pair"), F.max(F.when(F.col("at").isNull(), F.struct("each"))).alias("bare"))
+    tops = by_stage.groupBy(*group, "bundle").agg(F.max("o").alias("o")).groupBy(*group).agg(F.collect_list(F.struct("bundle", "o")).alias("each"))
+    none = F.array().cast(tops.schema["each"].dataType)
+    options = stages.join(tops, group).select(*group, F.array_distinct(F.concat(F.coalesce("pair.each", none), F.coalesce("bare.each", none), "each")).alias("options"))
+
+    @F.pandas_udf("struct<survivor_id bigint," + ",".join(f"{f} string" for f in FIELDS) + ",filled_from string>")
+    def search(records: pd.Series, options: pd.Series) -> pd.DataFrame:
         import json
 
-        out = []
-        for options, own_json in zip(found, anchor, strict=True):
-            mine = {k: v for k, v in json.loads(own_json).items() if v is not None}
-            lacking = [b for b, members in BUNDLES.items() if any(f not in mine for f in members)]
-            bundles = []
-            for b in lacking:
-                parsed = [(int(o["trust"]), {k: v for k, v in json.loads(o["value"]).items() if v is not None}) for o in (options if options is not None else ()) if o["bundle"] == b]
-                bundles.append(sorted(parsed, key=lambda x: (-x[0], sorted(x[1].items()))))
-            picked = choose(bundles, mine)
-            took = []
-            for b, options_of, i in zip(lacking, bundles, picked, strict=True):
-                if i is not None and any(f not in mine for f in options_of[i][1]):
-                    mine = options_of[i][1] | mine
-                    took.append(b)
-            out.append({f: mine.get(f) for f in fields} | {"filled_from": ",".join(took)})
-        return pd.DataFrame(out, columns=[*fields, "filled_from"])
-
-    done = own.join(ranked, ["code_key", "sheet_no"], "left").withColumn("golden", complete_stamp("candidates", F.to_json(F.struct(*fields))))
-    return done.select("code_key", "sheet_no", "members", "survivor_id", "golden.*")
+        names, out = list(BUNDLES), []
+        for own, found in zip(map(json.loads, records), map(json.loads, options), strict=True):
+            ranked = [((-r["o"]["k"], -r["o"]["f"], -r["o"]["t"], -r["o"]["i"], -r["o"]["id"]), {f: r[f] for f in FIELDS if f in r}) for r in own]
+            bundles = [sorted(((o["o"]["trust"], o["o"]["support"], o["o"]["fields"]) for o in found if o["bundle"] == b), key=lambda x: (-x[0], -x[1], sorted(x[2].items()))) for b in names]
+            facts = {(f["d"], f["v"]): f["w"] for o in found for f in o["o"].get("facts", ())}
+            record, picked = choose(ranked, [[(t, fields) for t, _, fields in b] for b in bundles], facts)
+            fields, took = dict(ranked[record][1]), []
+            for b, held, i in zip(names, bundles, picked, strict=True):
+                if i is not None:
+                    if held[i][2].keys() - fields.keys():
+                        took.append(b)
+                    fields = held[i][2] | fields
+            out.append({"survivor_id": own[record]["o"]["id"], "filled_from": ",".join(took)} | {f: fields.get(f) for f in FIELDS})
+        return pd.DataFrame(out, columns=["survivor_id", *FIELDS, "filled_from"])
+
+    asked = heads.join(options, group, "left").select(*group, "members", F.to_json("records").alias("records"), F.coalesce(F.to_json("options"), F.lit("[]")).alias("options"))
+    return asked.select(*group, "members", search("records", "options").alias("golden")).select(*group, "members", "golden.*")

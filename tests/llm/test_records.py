@@ -50,25 +50,88 @@ def test_a_value_that_agrees_fills_though_a_more_trusted_one_contradicts(spark):
     assert (b["survivor_id"], b["stage"], b["object_name"], b["org"], b["filled_from"]) == (4, "Р", "О", "К", "project")
 
 
+def _brute(records, bundles, facts):
+    """Greatest (record trust, sum of trusts) over all choices, and all completed fields that reach it."""
+    best, ends = None, []
+    for own, said in records:
+        for picks in itertools.product(*[[None, *b] for b in bundles]):
+            known, total = dict(said), 0
+            for pick in filter(None, picks):
+                if not S.keeps(known, pick[1], facts):
+                    break
+                known |= pick[1]
+                total += pick[0]
+            else:
+                if best is None or (own, total) > best:
+                    best, ends = (own, total), []
+                if (own, total) == best:
+                    ends.append(known)
+    return best, ends
+
+
 def test_branch_and_bound_is_the_best_choice():
     rng = random.Random(2)
-    for _ in range(60):
-        bundles = [[(rng.randrange(1, 9), {rng.choice(["stage", "object_name", "org"]): rng.choice("ab"), "sheets_total": rng.choice("12")}) for _ in range(rng.randrange(4))] for _ in range(3)]
-
-        def worth(choice, bundles=bundles):
-            known, total = {}, 0
-            for options, i in zip(bundles, choice, strict=True):
-                if i is None:
-                    continue
-                t, fields = options[i]
-                if any(known.get(f, v) != v for f, v in fields.items()):
-                    return -1
-                known |= fields
-                total += t
-            return total
-
-        best = max(worth(c) for c in itertools.product(*[[None, *range(len(b))] for b in bundles]))
-        assert worth(S.choose(bundles, {})) == best
+    for _ in range(80):
+        value = lambda: {f: rng.choice("ab") for f in rng.sample(S.FIELDS, 2)}
+        records = [((rng.randrange(3), rng.randrange(3)), value()) for _ in range(rng.randrange(1, 4))]
+        bundles = [[(rng.randrange(1, 9), value()) for _ in range(rng.randrange(4))] for _ in range(3)]
+        facts = {(d, v): rng.choice("ab") for d in S.DEPENDENCIES for v in "ab" if rng.random() < 0.5}
+        record, picked = S.choose(records, bundles, facts)
+        known, total = dict(records[record][1]), 0
+        for b, i in zip(bundles, picked, strict=True):
+            if i is not None:
+                assert S.keeps(known, b[i][1], facts)
+                known |= b[i][1]
+                total += b[i][0]
+        assert (records[record][0], total) == _brute(records, bundles, facts)[0]
+
+
+def test_groups_get_the_best_of_all_choices(spark):
+    """Reducing the candidates before the search loses nothing."""
+    rng = random.Random(4)
+    pick = lambda options: rng.choice([None, None, *options])
+    rows = [_variant(i, rng.choice(["DWG", "PDF", "DOCX", "x"]), f"g{i % 60}", "1", idx=i, at=T0 + dt.timedelta(rng.randrange(3)), stage=pick("ПР"), sheets_total=pick("56"), object_name=pick("ОД"), org=pick("КЛ"), title=pick("тм"), note=pick("н")) for i in range(400)]
+    got = {r["code_key"]: r for r in S.best_representatives(spark.createDataFrame(rows, VARIANT)).collect()}
+    names = ("sheets_total", "stage", "title", "object_name", "org", "source", "note")
+    different = 0
+    for g in range(60):
+        members = []
+        for i, kind, idx, stamp, at, *_ in (r for r in rows if r[3][0] == f"g{g}"):
+            said = {n: v for n, v in zip(names, stamp[2:], strict=True) if v is not None}
+            n_filled = 2 + sum(n in said for n in S.FILLED_FIELDS)
+            members.append(((-S.KIND_RANK.get(kind, 3), n_filled, at, -idx, -i), said))
+        bundles = []
+        for fields in S.BUNDLES.values():
+            values = {}
+            for (k, *_), said in members:
+                part = tuple((f, said[f]) for f in fields if f in said)
+                if part:
+                    values[part] = max(values.get(part, 0), 3 + k + 10 * len(part))
+            bundles.append([(t, dict(v)) for v, t in values.items()])
+        facts = {}
+        for _, said in sorted(members, key=lambda m: m[0], reverse=True):
+            for d, x in S.DEPENDENCIES.items():
+                if d in said and x in said:
+                    facts.setdefault((d, said[d]), said[x])
+        # values that add nothing to the leading record are no fills
+        lead = max(members, key=lambda m: m[0])
+        bundles = [[(t, v) for t, v in b if v.keys() - lead[1].keys()] for b in bundles]
+        best, ends = _brute([lead], bundles, facts)
+        r = got[f"g{g}"]
+        assert r["survivor_id"] == -best[0][-1]
+        assert {f: r[f] for f in S.FIELDS if r[f] is not None} in ends
+        free, loose = _brute([lead], bundles, {})
+        different += {f: r[f] for f in S.FIELDS if r[f] is not None} not in loose
+    assert different  # the dependencies decide some of the groups
+
+
+def test_dependencies_bind(spark):
+    rows = [
+        _variant(1, "DWG", "A", "1", title="т", sheets_total="5"), _variant(2, "PDF", "A", "1", stage="П", sheets_total="9"), _variant(3, "DOCX", "A", "1", stage="П", object_name="О", org="К"), _variant(4, "x", "A", "1", stage="Р", object_name="О"),
+    ]
+    (r,) = S.best_representatives(spark.createDataFrame(rows, VARIANT)).collect()
+    # stage П has 9 sheets in this group, so it can't join a record of 5
+    assert (r["survivor_id"], r["stage"], r["object_name"], r["org"], r["sheets_total"]) == (1, "Р", "О", None, "5")
 
 
 def test_a_group_of_a_third_of_all_rows(spark):
