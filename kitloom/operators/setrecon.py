@@ -1,31 +1,43 @@
 """Differences between two copies of a table by characteristic-polynomial set reconciliation.
 
-Each copy is reduced to a set of row hashes, split into buckets by key hash. A bucket's set S is summed up by values of
-its characteristic polynomial prod(z - h) over GF(p) at agreed points. The quotient of both copies' values is a rational
-function whose numerator and denominator vanish at exactly the hashes that one side lacks; a linear system modulo p
-recovers them for a bound m on their number. m is doubled until a 64-bit checksum of what is left agrees on both sides.
-Only rows with recovered hashes are fetched and compared field by field.
+Each copy is reduced to a set of row hashes, split into buckets by key hash. On its own side a bucket's set S is summed up
+as a sketch: the values of its characteristic polynomial prod(z - h) over GF(p) at agreed points, its size and a checksum.
+Sketches of parts of a bucket combine by multiplication. Only sketches are exchanged: the quotient of both copies' values
+is a rational function whose numerator and denominator vanish at exactly the hashes that one side lacks; a linear system
+modulo p gives both for a bound on their degree, which is doubled until the points left over agree. The polynomials go back
+to the rows of their bucket, whose hashes are the roots; the 64-bit checksums of what is left must be equal. Buckets that
+fail are sketched again with four times the points and other hashes. Then the rows found are fetched and compared field by
+field.
+
+Buckets refine the partitions into which rows are hashed by key to find the latest of each, so a bucket's sketch is made
+where its rows are; only (key, time, hash) move for that.
 
 Defined cases: rows without a key are no part of either set; of several rows with one key the latest counts (of equally
-late ones the greatest values), so repeated rows are one row; null equals the empty string; empty tables give only
+late ones that of the greatest hash), so repeated rows are one row; null equals the empty string; empty tables give only
 one-sided rows; other columns of the inputs are ignored whatever their names.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Iterator, Mapping
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+from .skew import broadcast_if_small
+
 PRIME = (1 << 31) - 1
 #: Hashes lie below this; the points at which the polynomials are evaluated lie above.
 HASH_TOP = PRIME - (1 << 20)
-BUCKET_ROWS = 64
-BUCKETS_PER_CALL = 128
-FIRST_BOUND = 8
+BUCKET_ROWS = 16
+#: Buckets decoded by one call; the first bound on the degree, that of the first sketches, and the points that verify.
+BUCKETS_PER_CALL, FIRST_BOUND, SKETCH_BOUND, CHECKS = 4096, 8, 32, 2
+#: Rows of polynomials that may be broadcast, a few hundred bytes each.
+SMALL_POLYNOMIALS = 200_000
 
 
 def _mulmod(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -94,16 +106,6 @@ def _solve(matrix: np.ndarray) -> np.ndarray:
     return out
 
 
-def _roots(coefficients: np.ndarray, degree: np.ndarray, hashes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Which hashes are roots of the monic polynomial of each bucket (coefficients from degree 0 up)."""
-    value = np.zeros(hashes.shape, dtype=np.uint64)
-    for k in range(coefficients.shape[1], -1, -1):
-        lead = (degree == k).astype(np.uint64)
-        own = np.where(k < degree, coefficients[:, k] if k < coefficients.shape[1] else 0, 0).astype(np.uint64)
-        value = (_mulmod(value, hashes) + (lead + own)[:, None]) % np.uint64(PRIME)
-    return (value == 0) & (np.arange(hashes.shape[1])[None, :] < lengths[:, None]) & (degree[:, None] > 0)
-
-
 def decode(fa: np.ndarray, fb: np.ndarray, na: np.ndarray, nb: np.ndarray, points: np.ndarray, bound: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Numerator and denominator of fa / fb for a difference of at most bound hashes."""
     delta = na.astype(np.int64) - nb
@@ -127,62 +129,152 @@ def decode(fa: np.ndarray, fb: np.ndarray, na: np.ndarray, nb: np.ndarray, point
     return solution[:, :bound], da, solution[:, bound:], db
 
 
-def reconcile_group(left: pd.DataFrame, right: pd.DataFrame, first_bound: int = FIRST_BOUND) -> pd.DataFrame:
-    """The rows of both sides (bucket, h, chk) whose hashes the other side lacks."""
-    names, inverse = np.unique(np.concatenate([left["bucket"].to_numpy(), right["bucket"].to_numpy()]), return_inverse=True)
-    n = len(names)
-    sides = []
-    for part, frame in ((inverse[: len(left)], left), (inverse[len(left) :], right)):
-        hashes, lengths = _padded(part, frame["h"].to_numpy().astype(np.uint64), n)
-        checks, _ = _padded(part, frame["chk"].to_numpy().astype(np.int64).view(np.uint64), n)
-        sides.append((hashes, checks, lengths))
-    (ha, ca, na), (hb, cb, nb) = sides
-    with np.errstate(over="ignore"):
-        sum_a, sum_b = ca.sum(axis=1, dtype=np.uint64), cb.sum(axis=1, dtype=np.uint64)
-        open_, bound, found = np.flatnonzero((na != nb) | (sum_a != sum_b)), first_bound, []
-        while len(open_):
-            whole = (na + nb)[open_] <= bound
-            for k in open_[whole]:  # the bound covers both sets: their hashes are compared as they are
-                only_a, only_b = np.setdiff1d(ca[k, : na[k]], cb[k, : nb[k]]), np.setdiff1d(cb[k, : nb[k]], ca[k, : na[k]])
-                found += [("left", only_a), ("right", only_b)]
-            open_ = open_[~whole]
-            if not len(open_):
-                break
-            points = (HASH_TOP + 1 + np.arange(bound)).astype(np.uint64)
-            fa, fb = sketch(ha[open_], na[open_], points), sketch(hb[open_], nb[open_], points)
-            p, da, q, db = decode(fa, fb, na[open_], nb[open_], points, bound)
-            ra, rb = _roots(p, da, ha[open_], na[open_]), _roots(q, db, hb[open_], nb[open_])
-            rest_a = sum_a[open_] - np.where(ra, ca[open_], 0).sum(axis=1, dtype=np.uint64)
-            rest_b = sum_b[open_] - np.where(rb, cb[open_], 0).sum(axis=1, dtype=np.uint64)
-            good = (rest_a == rest_b) & (na[open_] - ra.sum(axis=1) == nb[open_] - rb.sum(axis=1))
-            found += [("left", ca[open_][good][ra[good]]), ("right", cb[open_][good][rb[good]])]
-            open_, bound = open_[~good], bound * 2
-    return pd.DataFrame(
-        {"side": np.concatenate([[s] * len(x) for s, x in found]) if found else [], "chk": np.concatenate([x.view(np.int64) for _, x in found]) if found else np.array([], dtype=np.int64)}
-    ).astype({"side": "object", "chk": "int64"})
-
-
-def _latest(df: DataFrame, key: str, at: str, fields: Mapping[str, Column], buckets: int) -> DataFrame:
-    row = F.max(F.struct(F.col(at).alias("at"), *[F.coalesce(c, F.lit("")).alias(n) for n, c in fields.items()]))
-    latest = df.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg(row.alias("r"))
-    parts = [F.col("key"), *[F.col(f"r.{n}").alias(n) for n in fields]]
-    rows = latest.select(*parts)
-    chk = F.xxhash64(F.lit("row"), "key", *fields)
-    return rows.withColumn("chk", chk).withColumn("h", F.pmod(F.xxhash64("chk", F.lit(17)), F.lit(HASH_TOP))).withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)))
-
-
-def reconcile(left: DataFrame, right: DataFrame, *, key: str, left_at: str, right_at: str, fields: Mapping[str, Column], left_name: str = "left", right_name: str = "right", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+def _values(coefficients: np.ndarray, degree: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """Values of each bucket's monic polynomial (coefficients from degree 0 up) at the points."""
+    value = np.zeros((len(degree), len(points)), dtype=np.uint64)
+    width = coefficients.shape[1]
+    for k in range(width, -1, -1):
+        own = np.where(k == degree, 1, np.where(k < degree, coefficients[:, min(k, width - 1)], 0)).astype(np.uint64)
+        value = (_mulmod(value, points[None, :]) + own[:, None]) % np.uint64(PRIME)
+    return value
+
+
+def polynomials(fa: np.ndarray, fb: np.ndarray, na: np.ndarray, nb: np.ndarray, points: np.ndarray) -> dict[int, tuple[list[int], list[int]]]:
+    """By bucket the numerator and denominator (without their leading 1), for those that a bound below the points fits."""
+    out: dict[int, tuple[list[int], list[int]]] = {}
+    open_, bound = np.arange(len(na)), FIRST_BOUND
+    while len(open_) and bound + CHECKS <= len(points):
+        p, da, q, db = decode(fa[open_, :bound], fb[open_, :bound], na[open_], nb[open_], points[:bound], bound)
+        rest = points[bound:]
+        good = (_mulmod(fa[open_][:, bound:], _values(q, db, rest)) == _mulmod(fb[open_][:, bound:], _values(p, da, rest))).all(axis=1)
+        for k in np.flatnonzero(good):
+            out[int(open_[k])] = (p[k, : da[k]].tolist(), q[k, : db[k]].tolist())
+        open_, bound = open_[~good], bound * 2
+    return out
+
+
+def _points(bound: int) -> np.ndarray:
+    return (HASH_TOP + 1 + np.arange(bound + CHECKS)).astype(np.uint64)
+
+
+def sketches(rows: DataFrame, bound: int) -> DataFrame:
+    """(bucket, n, chk, values) of rows (bucket, h, chk) that are sorted by bucket within partitions; a bucket may have several."""
+    points = _points(bound)
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            bucket, h, chk = (np.asarray(batch.column(k)) for k in range(3))
+            names, inverse, n = np.unique(bucket, return_inverse=True, return_counts=True)
+            values = sketch(*_padded(inverse, h.astype(np.uint64), len(names)), points).astype(np.uint32)
+            order = np.argsort(inverse, kind="stable")
+            checks = np.bitwise_xor.reduceat(chk[order], np.cumsum(n) - n)
+            yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(n, pa.int64()), pa.array(checks), pa.array([v.tobytes() for v in values], pa.binary())], names=["bucket", "n", "chk", "values"])
+
+    return rows.select("bucket", "h", "chk").mapInArrow(fold, "bucket bigint, n bigint, chk bigint, values binary")
+
+
+def _combined(frame: pd.DataFrame, names: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sizes, checksums and values by bucket, partial sketches multiplied."""
+    n, chk, values = np.zeros(len(names), np.int64), np.zeros(len(names), np.int64), np.ones((len(names), width), np.uint64)
+    if len(frame):
+        at = np.searchsorted(names, frame["bucket"].to_numpy())
+        parts = np.frombuffer(b"".join(frame["values"]), dtype=np.uint32).reshape(-1, width).astype(np.uint64)
+        np.add.at(n, at, frame["n"].to_numpy())
+        np.bitwise_xor.at(chk, at, frame["chk"].to_numpy())
+        turn = pd.Series(at).groupby(at).cumcount().to_numpy()
+        for k in range(int(turn.max()) + 1):
+            now = turn == k
+            values[at[now]] = _mulmod(values[at[now]], parts[now])
+    return n, chk, values
+
+
+def compared(left: pd.DataFrame, right: pd.DataFrame, bound: int) -> pd.DataFrame:
+    """Of the buckets whose sketches differ: left_poly and right_poly, or whole (all its rows are to be compared), or neither."""
+    names = np.unique(np.concatenate([left["bucket"].to_numpy(np.int64), right["bucket"].to_numpy(np.int64)]))
+    points = _points(bound)
+    (na, ca, fa), (nb, cb, fb) = (_combined(f, names, len(points)) for f in (left, right))
+    differ = np.flatnonzero((na != nb) | (ca != cb) | (fa != fb).any(axis=1))
+    whole = (na[differ] == 0) | (nb[differ] == 0) | ((na + nb)[differ] <= bound // 2)
+    asked = differ[~whole]
+    found = polynomials(fa[asked], fb[asked], na[asked], nb[asked], points)
+    by = {int(asked[k]): v for k, v in found.items()}
+    rows = [(int(names[k]), bool(w), *by.get(int(k), (None, None)), int(na[k] - nb[k]), int(ca[k] ^ cb[k])) for k, w in zip(differ, whole, strict=True)]
+    return pd.DataFrame(rows, columns=["bucket", "whole", "left_poly", "right_poly", "n_diff", "chk_diff"])
+
+
+def _judge(bound: int) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
+    def judge(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        return compared(left, right, bound)
+
+    return judge
+
+
+COMPARED = "bucket bigint, whole boolean, left_poly array<bigint>, right_poly array<bigint>, n_diff bigint, chk_diff bigint"
+
+
+def is_root(coefficients: Column, h: Column) -> Column:
+    """Whether the monic polynomial vanishes at h, by Horner's scheme."""
+    value = F.aggregate(F.reverse(coefficients), F.lit(1).cast("bigint"), lambda acc, c: (acc * h + c) % F.lit(PRIME))
+    return (F.size(coefficients) > 0) & (value == 0)
+
+
+def differing_hashes(left: DataFrame, right: DataFrame, bound: int = SKETCH_BOUND) -> DataFrame:
+    """(side, key, chk) of the rows that the other side lacks; left and right: key, chk, bucket, sorted by bucket in partitions."""
+    sides = {"left": left, "right": right}
+    found = todo = None
+    turn = 0
+    while True:
+        rows = {}
+        for side, df in sides.items():
+            held = df if todo is None else df.join(todo, "bucket", "left_semi").sortWithinPartitions("bucket")
+            rows[side] = held.withColumn("h", F.pmod(F.xxhash64("chk", F.lit(turn)), F.lit(HASH_TOP)))
+        a, b = (sketches(r, bound).withColumn("grp", F.floor(F.col("bucket") / BUCKETS_PER_CALL).cast("bigint")).groupBy("grp") for r in rows.values())
+        verdicts = broadcast_if_small(a.cogroup(b).applyInPandas(_judge(bound), COMPARED), SMALL_POLYNOMIALS)
+        hits = None
+        for side, r in rows.items():
+            judged = r.join(verdicts.select("bucket", "whole", F.col(f"{side}_poly").alias("poly")), "bucket").filter(F.col("whole") | is_root(F.col("poly"), F.col("h")))
+            part = judged.select("bucket", "whole", F.lit(side).alias("side"), "key", "chk")
+            hits = part if hits is None else hits.unionByName(part)
+        hits = cut_lineage(hits)
+        both = hits.filter("whole").groupBy("bucket", "chk").agg(F.count("*").alias("n"), F.first("side").alias("side"), F.first("key").alias("key")).filter("n = 1").select("bucket", "side", "key", "chk")
+        roots = hits.filter("not whole")
+        left_over = roots.groupBy("bucket").agg(F.bit_xor("chk").alias("x"), F.sum(F.when(F.col("side") == "left", 1).otherwise(-1)).alias("n"))
+        failed = cut_lineage(verdicts.filter("not whole").join(left_over, "bucket", "left").filter(F.col("left_poly").isNull() | (F.coalesce("x", F.lit(0)) != F.col("chk_diff")) | (F.coalesce("n", F.lit(0)) != F.col("n_diff"))).select("bucket"))
+        good = both.unionByName(roots.join(failed, "bucket", "left_anti").select("bucket", "side", "key", "chk")).select("side", "key", "chk")
+        found = good if found is None else found.unionByName(good)
+        if not (n_failed := failed.count()):
+            return found
+        todo = F.broadcast(failed) if n_failed <= SMALL_POLYNOMIALS else failed
+        turn, bound = turn + 1, bound * 4
+
+
+def reconcile(left: DataFrame, right: DataFrame, *, key: str, left_at: str, right_at: str, fields: Mapping[str, Column], left_name: str = "left", right_name: str = "right", bucket_rows: int = BUCKET_ROWS, bound: int = SKETCH_BOUND) -> DataFrame:
     """(key, difference): only_<left_name>, only_<right_name>, or a field whose normalised values differ.
 
     fields maps a reported name to the normalised column to compare; the same expressions apply to both copies.
     """
-    rows = max(left.count(), right.count())
-    buckets = max(1, rows // bucket_rows)
-    a, b = (_latest(df, key, at, fields, buckets) for df, at in ((left, left_at), (right, right_at)))
-    pick = lambda df: df.select(F.floor(F.col("bucket") / BUCKETS_PER_CALL).cast("long").alias("grp"), "bucket", "h", "chk").groupBy("grp")
-    differing = pick(a).cogroup(pick(b)).applyInPandas(lambda x, y: reconcile_group(x, y), "side string, chk bigint")
-    mine = lambda df, side: df.join(differing.filter(F.col("side") == side).select("chk"), "chk", "left_semi").select("key", F.struct(*fields).alias(side))
-    both = mine(a, "left").join(mine(b, "right"), "key", "full_outer")
+    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = parts * max(1, -(-max(left.count(), right.count()) // (bucket_rows * parts)))
+
+    def hashed(df: DataFrame, at: str) -> DataFrame:
+        own = F.struct(*[F.coalesce(c, F.lit("")).alias(n) for n, c in fields.items()])
+        rows = df.filter(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.col(at).alias("at"), own.alias("own"))
+        return rows.withColumn("chk", F.xxhash64(F.lit("row"), "key", *[F.col(f"own.{n}") for n in fields]))
+
+    copies = {"left": hashed(left, left_at), "right": hashed(right, right_at)}
+    sets = []
+    for rows in copies.values():
+        latest = rows.groupBy("key").agg(F.max(F.struct("at", "chk")).alias("m")).select("key", F.col("m.chk").alias("chk"))
+        # the hash by which rows are sent to partitions, so that buckets refine them
+        sets.append(cut_lineage(latest.withColumn("bucket", F.pmod(F.hash("key"), F.lit(buckets)).cast("bigint")).sortWithinPartitions("bucket")))
+    found = cut_lineage(differing_hashes(*sets, bound=bound))
+    fetched = []
+    for side, rows in copies.items():
+        asked = broadcast_if_small(found.filter(F.col("side") == side).select("chk"))
+        fetched.append(rows.join(asked, "chk", "left_semi").groupBy("key").agg(F.max("own").alias(side)))
+    both = fetched[0].join(fetched[1], "key", "full_outer")
     verdicts = [F.when(F.col("right").isNull(), F.lit(f"only_{left_name}")).when(F.col("left").isNull(), F.lit(f"only_{right_name}"))]
     verdicts += [F.when(F.col("left").isNotNull() & F.col("right").isNotNull() & (F.col(f"left.{n}") != F.col(f"right.{n}")), F.lit(n)) for n in fields]
     return both.select(F.col("key"), F.explode(F.array_compact(F.array(*verdicts))).alias("difference"))
