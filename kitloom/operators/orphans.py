@@ -4,8 +4,13 @@ Every record is two changes of its key's existence count: +1 when it becomes vis
 reference is +1 on the key's reference count at its own time. The running sums over a key's changes tell, at the time of
 each reference, how many live records it can mean; a reference with a live count of 0 is an orphan.
 
-The sums are taken in two steps, so that no key needs one task: changes are first summed by key and time slot, the slots
-of a key (as many as the time span has) are summed up in order, and only the changes inside one slot are sorted.
+References and changes are summed by key and time before anything is ordered, so a key that is loaded at one time is one
+row; what identifies a reference stays behind and is joined back to the orphans' (key, time) alone. The running sums are
+taken in two steps, so that no key needs one task: first by key and time slot, the slots of a key (as many as the time
+span has) in order, then inside one slot.
+
+The counts can be kept: `merged_counts` adds changes to a table of counts per key, `current_orphans` reports the keys with
+references and no existence (`streaming/orphancounts.py` keeps such a table from a stream of changes).
 
 Defined cases: null keys are no references and name no record; ids match without outer spaces and case; a record with no
 load time is never visible; a reference with no time sees no record; repeated reference rows count once.
@@ -16,6 +21,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+from .skew import HOT_ROWS, SMALL_ROWS, salted_join
+
 SLOT_SECONDS = 6 * 3600
 GRACE_SECONDS = 86400
 
@@ -32,19 +40,51 @@ def existence_deltas(records: DataFrame, *, key: str = "id", loaded: str = "load
     return live.select("key", F.explode(F.array_compact(F.array(F.struct(F.col("start").alias("at"), F.lit(1).alias("exists")), F.when(F.col("end").isNotNull(), F.struct(F.col("end").alias("at"), F.lit(-1).alias("exists")))))).alias("d")).select("key", "d.at", "d.exists")
 
 
-def orphan_references(references: DataFrame, deltas: DataFrame, *, slot_seconds: int = SLOT_SECONDS) -> DataFrame:
-    """Rows of references (key, at, payload struct) with a live count of 0, with that key's reference count so far."""
+def orphan_times(references: DataFrame, deltas: DataFrame, *, slot_seconds: int = SLOT_SECONDS) -> DataFrame:
+    """(key, at, refs, references): the times at which a key is referred to while its live count is 0, how many references
+    that time has, and how many the key has had until then."""
+    zero = F.lit(0).cast("long")
+    named = references.filter("key is not null and at is not null").select("key", "at", zero.alias("exists"), F.lit(1).cast("long").alias("refs"))
     slot = F.floor(F.col("at") / F.lit(slot_seconds * 1_000_000)).cast("long")
-    payload = references.schema["payload"].dataType
-    timeless = references.filter(F.col("key").isNotNull() & F.col("at").isNull()).select("key", "at", "payload", F.lit(1).cast("long").alias("references"))
-    merged = deltas.groupBy("key", "at").agg(F.sum("exists").alias("exists")).select("key", "at", "exists", F.lit(0).cast("long").alias("refs"), F.lit(None).cast(payload).alias("payload"))
-    events = merged.unionByName(references.filter("key is not null and at is not null").select("key", "at", F.lit(0).cast("long").alias("exists"), F.lit(1).cast("long").alias("refs"), "payload")).withColumn("slot", slot)
+    events = deltas.select("key", "at", F.col("exists").cast("long").alias("exists"), zero.alias("refs")).unionByName(named)
+    events = events.groupBy("key", "at").agg(F.sum("exists").alias("exists"), F.sum("refs").alias("refs")).withColumn("slot", slot)
     by_slot = events.groupBy("key", "slot").agg(F.sum("exists").alias("slot_exists"), F.sum("refs").alias("slot_refs"))
     before = Window.partitionBy("key").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
-    base = by_slot.select("key", "slot", "slot_refs", F.coalesce(F.sum("slot_exists").over(before), F.lit(0)).alias("base_exists"), F.coalesce(F.sum("slot_refs").over(before), F.lit(0)).alias("base_refs")).filter("slot_refs > 0").drop("slot_refs")
-    inside = Window.partitionBy("key", "slot").orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    summed = events.join(base, ["key", "slot"]).select("key", "at", "payload", "refs", (F.col("base_exists") + F.sum("exists").over(inside)).alias("live"), (F.col("base_refs") + F.sum("refs").over(inside)).alias("references"))
-    return summed.filter("refs > 0 and live = 0").select("key", "at", "payload", "references").unionByName(timeless)
+    base = by_slot.select("key", "slot", "slot_refs", F.coalesce(F.sum("slot_exists").over(before), zero).alias("base_exists"), F.coalesce(F.sum("slot_refs").over(before), zero).alias("base_refs")).filter("slot_refs > 0").drop("slot_refs")
+    inside = Window.partitionBy("key", "slot").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = events.join(base, ["key", "slot"]).select("key", "at", "refs", (F.col("base_exists") + F.sum("exists").over(inside)).alias("live"), (F.col("base_refs") + F.sum("refs").over(inside)).alias("references"))
+    return summed.filter("refs > 0 and live = 0").select("key", "at", "refs", "references")
+
+
+def orphan_references(references: DataFrame, deltas: DataFrame, *, slot_seconds: int = SLOT_SECONDS, hot_rows: int = HOT_ROWS, small_rows: int = SMALL_ROWS) -> DataFrame:
+    """Rows of references (key, at, payload struct) with a live count of 0, with that key's reference count so far."""
+    timeless = references.filter(F.col("key").isNotNull() & F.col("at").isNull()).select("key", "at", "payload", F.lit(1).cast("long").alias("references"))
+    times = cut_lineage(orphan_times(references, deltas, slot_seconds=slot_seconds))
+    asked = references.filter("key is not null and at is not null").select("key", "at", "payload")
+    if times.count() <= small_rows:
+        back = asked.join(F.broadcast(times), ["key", "at"])
+    else:
+        # a (key, time) of many references is split by what tells them apart
+        one = F.xxhash64("key", "at")
+        marked = times.select(one.alias("__kt"), F.col("key").alias("__key"), F.col("at").alias("__at"), "refs", "references")
+        back = salted_join(asked.withColumn("__kt", one), marked, "__kt", weight="refs", spread=F.xxhash64("payload"), hot_rows=hot_rows).filter("key = __key and at = __at")
+    return back.select("key", "at", "payload", "references").unionByName(timeless)
+
+
+def merged_counts(counts: DataFrame | None, references: DataFrame, deltas: DataFrame) -> DataFrame:
+    """(key, refs, exists): counts per key with the changes added; references: key, refs (signed), deltas: key, exists (signed).
+
+    Keys whose counts are both 0 leave the table. Changes may come in any order, and a reference before its record."""
+    zero = F.lit(0).cast("long")
+    parts = references.select("key", F.col("refs").cast("long").alias("refs"), zero.alias("exists")).unionByName(deltas.select("key", zero.alias("refs"), F.col("exists").cast("long").alias("exists")))
+    if counts is not None:
+        parts = parts.unionByName(counts.select("key", "refs", "exists"))
+    return parts.filter("key is not null").groupBy("key").agg(F.sum("refs").alias("refs"), F.sum("exists").alias("exists")).filter("refs <> 0 or exists <> 0")
+
+
+def current_orphans(counts: DataFrame) -> DataFrame:
+    """(key, refs) of keys that are referred to and have no record."""
+    return counts.filter("refs > 0 and exists = 0").select("key", "refs")
 
 
 def reference_rows(df: DataFrame, table_name: str, ref_id: str, fields: list[str], at: str = "loaded_at") -> DataFrame:
@@ -63,5 +103,11 @@ def symbol_orphans(bindings: DataFrame, relationships: DataFrame, instances: Dat
     return orphan_references(references, deltas).select("payload.*").distinct()
 
 
+def symbol_counts(bindings: DataFrame, relationships: DataFrame, instances: DataFrame, legends: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+    """Reference and existence counts per key over the symbol tables, added to counts."""
+    references = reference_rows(bindings, "symbol_bindings", "id", ["instance_id", "legend_entry_id"]).unionByName(reference_rows(relationships, "relationships", "id", ["target_id"]))
+    return merged_counts(counts, references.select("key", F.lit(1).alias("refs")), existence_deltas(instances).unionByName(existence_deltas(legends)))
+
+
 def orphan_report(orphans: DataFrame) -> DataFrame:
     return orphans.groupBy("table_name", "field_name", "period").agg(F.count("*").alias("orphans"))

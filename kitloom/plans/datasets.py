@@ -24,6 +24,11 @@ def p7_report(spark: SparkSession, d: str) -> DataFrame:
     return orphans.orphan_report(_orphans(spark, d))
 
 
+def p7_current(spark: SparkSession, d: str) -> DataFrame:
+    counts = orphans.symbol_counts(*(table(spark, d, t) for t in ("symbol_bindings", "relationships", "symbol_instances", "legend_entries")))
+    return orphans.current_orphans(counts)
+
+
 _ORPHAN_CTES = r"""
 WITH targets AS (
   SELECT lower(trim(id)) k, loaded_at l, deleted_at x FROM symbol_instances
@@ -37,7 +42,7 @@ orphan AS (
   WHERE v IS NOT NULL AND NOT EXISTS (SELECT 1 FROM targets g WHERE g.k = lower(trim(r.v)) AND g.l <= r.t + INTERVAL 1 DAY AND (g.x IS NULL OR g.x > r.t)))
 """
 
-QUERIES = {"p3_found": p3_found, "p7_found": p7_found, "p7_report": p7_report}
+QUERIES = {"p3_found": p3_found, "p7_found": p7_found, "p7_report": p7_report, "p7_current": p7_current}
 ORACLE = {
     "p3_found": r"""
 WITH kit AS (
@@ -63,4 +68,12 @@ UNION ALL SELECT sheet_key, 'sheets_total' FROM both_ WHERE hk AND ha AND ks <>
 """,
     "p7_found": _ORPHAN_CTES + "SELECT table_name, ref_id, field_name FROM orphan",
     "p7_report": _ORPHAN_CTES + "SELECT table_name, field_name, period, count(*) AS orphans FROM orphan GROUP BY ALL",
+    "p7_current": r"""
+WITH targets AS (
+  SELECT lower(trim(id)) k FROM (SELECT id, loaded_at, deleted_at FROM symbol_instances UNION ALL SELECT id, loaded_at, deleted_at FROM legend_entries)
+  WHERE id IS NOT NULL AND loaded_at IS NOT NULL AND deleted_at IS NULL),
+refs AS (
+  SELECT lower(trim(v)) AS k FROM (SELECT instance_id AS v FROM symbol_bindings UNION ALL SELECT legend_entry_id FROM symbol_bindings UNION ALL SELECT target_id FROM relationships) WHERE v IS NOT NULL)
+SELECT k AS key, CAST(count(*) AS BIGINT) AS refs FROM refs WHERE NOT EXISTS (SELECT 1 FROM targets t WHERE t.k = refs.k) GROUP BY k
+""",
 }

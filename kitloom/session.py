@@ -44,11 +44,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the cluster names; make a private one only where none is set, as in tests."""
+    """Use the shared folder the cluster names; on one machine without a name, as in tests, a private one."""
     sc = spark.sparkContext
     named = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
     if sc._jsc.sc().getCheckpointDir().isDefined():
         return
+    if not named and not sc.master.startswith("local"):
+        raise RuntimeError(f"{CHECKPOINT_CONF} must name a folder that all executors share")
     sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="kitloom-checkpoint-"))
 
 

@@ -52,3 +52,31 @@ def test_report_counts_by_month(spark):
     rows = O.orphan_report(O.orphan_references(refs, deltas).select("payload.*")).orderBy("period").collect()
     assert [(r["period"], r["orphans"]) for r in rows] == [("2024-01", 2), ("2024-02", 1)]
     assert O.orphan_references(refs, deltas).agg(F.max("references")).first()[0] == 2
+
+
+def test_a_key_that_a_third_of_all_rows_refer_to_at_one_time(spark):
+    refs = spark.range(9000).select(F.when(F.expr("id % 3 = 0"), "hot").otherwise(F.concat(F.lit("k"), "id")).alias("key"), F.lit(5).cast("long").alias("at"), F.struct(F.col("id").alias("ref_id")).alias("payload"))
+    deltas = spark.range(9000).filter("id % 3 = 1").select(F.concat(F.lit("k"), "id").alias("key"), F.lit(1).cast("long").alias("at"), F.lit(1).alias("exists"))
+    times = O.orphan_times(refs, deltas)
+    assert times.filter("key = 'hot'").collect()[0]["refs"] == 3000
+    for small, hot in ((10**6, 10**6), (0, 100), (0, 10**6)):
+        got = O.orphan_references(refs, deltas, small_rows=small, hot_rows=hot).select("payload.ref_id").collect()
+        assert sorted(r[0] for r in got) == [i for i in range(9000) if i % 3 != 1]
+
+
+def test_counts_are_kept_over_a_stream(spark, tmp_path):
+    from kitloom.streaming import orphancounts as C
+
+    source, path = tmp_path / "changes", str(tmp_path / "counts")
+    ddl = "key string, refs long, exists long"
+    batches = [[("a", 1, None), ("b", 2, None), (None, 1, 1), ("c", None, 1)], [("b", None, 1), ("d", 1, 0)], [("a", -1, None), ("b", None, -1)], []]
+    for k, rows in enumerate(batches):
+        spark.createDataFrame(rows, ddl).coalesce(1).write.mode("append").parquet(str(source))
+        query = C.keep_counts(spark.readStream.schema(ddl).parquet(str(source)), path, str(tmp_path / "checkpoint"), availableNow=True)
+        query.awaitTermination()
+        want = {0: {"a": 1, "b": 2}, 1: {"a": 1, "d": 1}}.get(k, {"b": 2, "d": 1})
+        assert {r["key"]: r["refs"] for r in O.current_orphans(C.counts_at(spark, path)).collect()} == want
+    assert len(C.versions(spark, path)) <= C.KEPT
+    # the last batch run again finds the same base
+    C.applied(path)(spark.createDataFrame(batches[-1], ddl), C.versions(spark, path)[-1])
+    assert {r["key"]: r["refs"] for r in O.current_orphans(C.counts_at(spark, path)).collect()} == {"b": 2, "d": 1}
