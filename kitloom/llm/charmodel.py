@@ -1,23 +1,30 @@
 """Counts of character pairs over all texts, the training data of the character models.
 
 Tokens that look garbled are left out of the counts, so that the pairs describe clean text: a token with an unusual
-character counts only if most of its letters are plain ones. All rows are counted; what is collected is one number per
-pair of characters, at most max_pairs of them, the most frequent ones.
+character counts only if most of its letters are plain ones. All rows are counted. The alphabet is fixed: the characters
+of the single-byte encodings that Cyrillic text is read in, and one sign for all others of each general category. So there
+are some 400 signs and at most their square of pairs, however large the corpus is; that many numbers are collected.
 """
 
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_PAIRS = 200_000
-#: Stands for the start and the end of a text, a left-out token, and characters beyond the basic plane.
-EDGE, GAP, FAR = "\x02", "\x03", "\uffff"
+#: Stands for the start and the end of a text, and for a left-out token.
+EDGE, GAP = "\x02", "\x03"
+# The encodings whose characters have signs of their own.
+CODE_PAGES = ("cp1251", "cp1252", "latin-1", "koi8_r", "cp866", "mac_cyrillic", "iso8859_5")
+#: The first of the signs that stand for all other characters of a general category.
+OTHERS = 0xE000
 
 # What plain text of the project is made of, and the characters that only change its looks.
 PLAIN_CLASS = "А-Яа-яЁё0-9 !-/:-@\\[-`{-~№²³Ø×«»–"
@@ -31,6 +38,21 @@ LETTERS = re.compile(r"[^\W\d_]")
 QUESTION = re.compile(r"[^\W\d_]{2,}\?")
 
 
+@cache
+def signs() -> np.ndarray:
+    """By code point the sign that stands for it: itself for characters of the alphabet, else its category's."""
+    own = {chr(k) for k in range(0x100)} | {"\ufffd"}
+    for page in CODE_PAGES:
+        own |= set(bytes(range(256)).decode(page, "ignore"))
+    kinds: dict[str, int] = {}
+    out = np.arange(sys.maxunicode + 1, dtype=np.int32)
+    for k in range(0x100, sys.maxunicode + 1):
+        c = chr(k)
+        if c not in own:
+            out[k] = kinds.setdefault(unicodedata.category(c), OTHERS + len(kinds))
+    return out
+
+
 def clean_token(token: str) -> bool:
     """Whether a token may teach the clean model."""
     if "?" in token and not QUESTION.fullmatch(token):
@@ -50,10 +72,9 @@ def clean_part(text: str) -> str:
 
 
 def count_pairs(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Characters before and after, and how often the pair occurs; every text starts and ends with EDGE."""
+    """Signs before and after, and how often the pair occurs; every text starts and ends with EDGE."""
     joined = EDGE + EDGE.join(map(clean_part, texts)) + EDGE
-    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    codes = np.where(codes > 0xFFFF, ord(FAR), codes).astype(np.int64)
+    codes = signs()[np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)].astype(np.int64)
     there = np.flatnonzero(np.bincount(codes, minlength=0x10000))
     index = np.zeros(0x10000, dtype=np.int64)
     index[there] = np.arange(len(there))
@@ -63,8 +84,8 @@ def count_pairs(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return there[pairs // len(there)], there[pairs % len(there)], counts[pairs]
 
 
-def pair_counts(texts: DataFrame, *, text: str = "text", max_pairs: int = MAX_PAIRS) -> list[tuple[int, int, int]]:
-    """(before, after, n) over all rows, as code points."""
+def pair_counts(texts: DataFrame, *, text: str = "text") -> list[tuple[int, int, int]]:
+    """(before, after, n) over all rows, as signs."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[str] = []
@@ -86,5 +107,4 @@ def pair_counts(texts: DataFrame, *, text: str = "text", max_pairs: int = MAX_PA
             yield flush()
 
     rows = texts.select(F.col(text).alias("text")).filter("text is not null and text <> ''").mapInArrow(count, "a int, b int, n bigint")
-    total = rows.groupBy("a", "b").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "a", "b").limit(max_pairs)
-    return [(r["a"], r["b"], r["n"]) for r in total.collect()]
+    return sorted((r["a"], r["b"], r["n"]) for r in rows.groupBy("a", "b").agg(F.sum("n").alias("n")).collect())

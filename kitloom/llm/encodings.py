@@ -5,11 +5,12 @@ assumed encoding, and states for characters lost to a replacement sign. The clea
 before as the corpus does; a pair's state emits what the corpus would look like after that wrong decoding, computed from
 the same pair counts. The best labelling (Viterbi) marks spans; a span gets the inverse transform of its state.
 
-Before the full search, each text's greatest possible gain of any garbled span over the clean state is bounded by a
-maximum-subarray sum; where it is below the cost of entering a garbled state, the clean path is the best one.
+The search is exact and leaves out what can't matter: a garbled span of the best path gains at least the cost of entering
+it, so a place that lies in no interval of such a gain is clean, and the places left fall into stretches between clean
+places that are searched one by one, however long the text is.
 
 Defined cases: null and empty texts are clean; a span whose inverse transform fails or holds replacement signs is garbled
-but not restorable; unknown characters are improbable in every state; other input columns are ignored.
+but not restorable; characters outside the alphabet count as one of their category; other input columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,18 +26,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .batches import larger
-from .charmodel import EDGE, FAR, GAP, pair_counts
+from .charmodel import CODE_PAGES, EDGE, GAP, OTHERS, pair_counts, signs
 
 # Encodings that Cyrillic text is written in, and those it is wrongly read with.
 TRUE_ENCODINGS = ("utf-8", "cp1251", "koi8_r", "cp866")
-WRONG_ENCODINGS = ("cp1251", "cp1252", "latin-1", "koi8_r", "cp866", "mac_cyrillic", "iso8859_5")
+WRONG_ENCODINGS = CODE_PAGES
 LOST_SIGNS = ("?", "�")
 #: Log probabilities of starting or turning garbled, and of turning clean again.
 START_GARBLED, ENTER, LEAVE = math.log(0.02), math.log(2e-5), math.log(1e-2)
 SMOOTHING, FLOOR = 4.0, 1e-8
-TABLE_BYTES_BOUND = 64 << 20
-#: Characters searched at once, so that a text of any length needs little memory.
-PIECE = 100_000
 
 
 def read_wrong(data: bytes, wrong: str, lost: bool) -> str:
@@ -119,7 +117,7 @@ class EncodingModel:
         for (_, b), n in clean.items():
             singles[b] += n
         total = max(1, sum(singles.values()))
-        common = {c for c, n in singles.items() if n >= 3 and n > 2e-7 * total and c not in (EDGE, GAP, FAR)}
+        common = {c for c, n in singles.items() if n >= 3 and n > 2e-7 * total and c not in (EDGE, GAP) and ord(c) < OTHERS}
         joints: list[dict[tuple[str, str], float]] = [dict(clean)]
         for g in GARBLINGS:
             joint: dict[tuple[str, str], float] = defaultdict(float)
@@ -132,17 +130,12 @@ class EncodingModel:
                         for x, y in zip(ib, ib[1:], strict=False):
                             joint[x, y] += n / 2
             joints.append(joint)
-        letters = sorted({c for j in joints for p in j for c in p} - {EDGE, GAP, FAR})
-        letters = [EDGE, GAP, FAR, *letters]
-        if len(letters) ** 2 * 4 * (len(joints) + 1) > TABLE_BYTES_BOUND:
-            keep = Counter()
-            for j in joints:
-                for (_, b), n in j.items():
-                    keep[b] += n
-            most = int(math.sqrt(TABLE_BYTES_BOUND / 4 / (len(joints) + 1)))
-            letters = [EDGE, GAP, FAR, *sorted(c for c, _ in keep.most_common(most) if c not in (EDGE, GAP, FAR))]
-        self.index = np.full(0x10000, 2, dtype=np.int32)
-        self.index[[ord(c) for c in letters]] = np.arange(len(letters))
+        # the fixed alphabet bounds the tables; signs that no state emits share one place
+        seen = sorted({c for j in joints for p in j for c in p} - {EDGE, GAP})
+        letters = [EDGE, GAP, "", *seen]
+        place_of = np.full(0x10000, 2, dtype=np.int32)
+        place_of[[ord(c) for c in letters if c]] = [k for k, c in enumerate(letters) if c]
+        self.index = place_of[signs()]
         v = len(letters)
         place = {c: i for i, c in enumerate(letters)}
         tables = []
@@ -160,42 +153,50 @@ class EncodingModel:
         self.gain = (self.emit[:, :, 1:].max(axis=2) - self.emit[:, :, 0]).astype(np.float32)
         self.states = len(joints)
 
-    def _matrix(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Positions of the pair (before, after) in the tables, one row a text; the column after its end is its EDGE."""
-        lengths = np.array([len(t) for t in texts])
-        flat = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        ids = self.index[np.minimum(flat, 0xFFFF)]
-        out = np.zeros((len(texts), int(lengths.max()) + 2), dtype=np.int32)
-        rows = np.repeat(np.arange(len(texts)), lengths)
-        cols = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths) + 1
-        out[rows, cols] = ids
-        return out[:, :-1] * self.v + out[:, 1:], lengths
-
-    def _suspects(self, pairs: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        gain = self.gain.ravel()[pairs]
-        gain[np.arange(pairs.shape[1])[None, :] >= lengths[:, None]] = 0
-        sums = np.concatenate([np.zeros((len(gain), 1), np.float32), np.cumsum(gain, axis=1)], axis=1)
-        best = (sums - np.minimum.accumulate(sums, axis=1)).max(axis=1)
-        return best > -START_GARBLED  # the cheapest way in
-
-    def _viterbi(self, pairs: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """The states of the best labelling, one row a text.
-
-        Garbled states are entered from the clean one and left to it, so a garbled state's way back is one bit a step.
+    def _pairs(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Positions of all pairs (before, after) in the tables, text after text, and where each text starts."""
+        starts = np.cumsum([0, *map(len, texts)])
+        ids = self.index[np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
+        before = np.concatenate([np.zeros(1, np.int32), ids[:-1]])
+        before[starts[:-1][starts[:-1] < len(ids)]] = 0  # EDGE
+        return before * self.v + ids, starts
+
+    def stretches(self, pairs: np.ndarray, starts: np.ndarray) -> list[tuple[int, int]]:
+        """Where a best path can be garbled: the union of intervals whose greatest gain pays for the cheapest way in."""
+        gain = self.gain.ravel()[pairs].astype(np.float64)
+        texts = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+        # a fall between texts that no gain within one can make up for, so that no interval reaches over a border
+        fall = 1.0 + np.bincount(texts, np.maximum(gain, 0), len(starts) - 1).max(initial=0)
+        sums = np.cumsum(gain) - fall * texts
+        before = sums - gain
+        most = np.maximum.accumulate(sums[::-1])[::-1]
+        near = most - np.minimum.accumulate(before) > -START_GARBLED
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], near.view(np.int8), [0]])))
+        out = []
+        for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
+            cuts = starts[np.searchsorted(starts, a, "right") : np.searchsorted(starts, b, "left")].tolist()
+            out += [(x, y) for x, y in zip([a, *cuts], [*cuts, b], strict=True) if x < y]
+        return out
+
+    def _viterbi(self, pairs: np.ndarray, lengths: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """The states of the best labelling, one row a stretch.
+
+        first, last: whether a stretch begins, or ends, with its text; elsewhere its neighbour is clean. Garbled states are
+        entered from the clean one and left to it, so a garbled state's way back is one bit a step.
         """
         n, t = pairs.shape
         garbled = self.states - 1
         clean_emit, emit = self.emit[:, :, 0].ravel(), self.garbled_emit
         enter = np.float32(ENTER - math.log(garbled))
         clean = clean_emit[pairs[:, 0]]
-        other = emit[pairs[:, 0]] + np.float32(START_GARBLED - math.log(garbled))
-        entered = np.zeros((t, n, garbled), dtype=bool)
+        other = emit[pairs[:, 0]] + np.where(first, np.float32(START_GARBLED - math.log(garbled)), enter)[:, None]
+        entered = np.zeros((t, n, -(-garbled // 8)), dtype=np.uint8)
         left_from = np.zeros((t, n), dtype=np.int8)  # 0: clean before, else the garbled state left
         final = np.zeros(n, dtype=np.int8)
         for k in range(t):
             if k:
                 way_in = (clean + enter)[:, None]
-                np.greater(way_in, other, out=entered[k])
+                entered[k] = np.packbits(way_in > other, axis=1)
                 leave = other.max(axis=1) + np.float32(LEAVE)
                 back = np.flatnonzero(leave > clean)
                 if len(back):
@@ -207,61 +208,59 @@ class EncodingModel:
             done = np.flatnonzero(lengths == k + 1)
             if len(done):
                 best = other[done].argmax(axis=1)
-                final[done] = np.where(other[done, best] > clean[done], best + 1, 0)
+                final[done] = np.where(other[done, best] + np.where(last[done], np.float32(0), np.float32(LEAVE)) > clean[done], best + 1, 0)
         path = np.zeros((n, t), dtype=np.int8)
-        state = final
+        state = final.astype(np.int64)
         rows = np.arange(n)
         for k in range(t - 1, -1, -1):
             inside = lengths > k
             path[inside, k] = state[inside]
             if k:
-                before = np.where(state == 0, left_from[k], np.where(entered[k, rows, np.maximum(state, 1) - 1], 0, state))
-                state = np.where(inside, before, state).astype(np.int8)
+                own = np.maximum(state, 1) - 1
+                came_in = entered[k, rows, own >> 3] >> (7 - (own & 7)) & 1
+                before = np.where(state == 0, left_from[k], np.where(came_in == 1, 0, state))
+                state = np.where(inside, before, state)
         return path
 
     def spans(self, texts: list[str]) -> dict[int, list[tuple[int, int, int]]]:
-        """By place in texts the garbled spans as (start, end, state); very long texts are searched piece by piece."""
-        if not any(len(t) > PIECE for t in texts):
-            return self._spans(texts)
-        pieces = [(i, at, t[at : at + PIECE]) for i, t in enumerate(texts) for at in range(0, max(1, len(t)), PIECE)]
+        """By place in texts the garbled spans as (start, end, state)."""
         out: dict[int, list[tuple[int, int, int]]] = {}
-        for k, found in sorted(self._spans([p for *_, p in pieces]).items()):
-            i, at, _ = pieces[k]
-            own = out.setdefault(i, [])
-            for a, b, state in found:
-                if own and own[-1][1:] == (at + a, state):  # a span across the border of two pieces
-                    own[-1] = (own[-1][0], at + b, state)
-                else:
-                    own.append((at + a, at + b, state))
+        at = 0
+        while at < len(texts):
+            end, size = at, 0
+            while end < len(texts) and (end == at or size + len(texts[end]) <= 2_000_000):
+                size += len(texts[end])
+                end += 1
+            if size:
+                self._search(texts[at:end], at, out)
+            at = end
         return out
 
-    def _spans(self, texts: list[str]) -> dict[int, list[tuple[int, int, int]]]:
-        order = sorted((i for i, t in enumerate(texts) if t), key=lambda i: len(texts[i]))
-        suspects: list[int] = []
-        at = 0
-        while at < len(order):
-            most = max(1, min(4096, 600_000 // (len(texts[order[min(at + 4095, len(order) - 1)]]) + 1)))
-            part = order[at : at + most]
-            at += most
-            pairs, lengths = self._matrix([texts[i] for i in part])
-            suspects += [part[k] for k in np.flatnonzero(self._suspects(pairs, lengths))]
-        out: dict[int, list[tuple[int, int, int]]] = {}
+    def _search(self, texts: list[str], base: int, out: dict[int, list[tuple[int, int, int]]]) -> None:
+        pairs, starts = self._pairs(texts)
+        found = sorted(self.stretches(pairs, starts), key=lambda s: (s[1] - s[0], s))
+        spans: list[tuple[int, int, int]] = []
         at = 0
-        while at < len(suspects):
-            # texts of about one length together, as many as fit
-            longest = max(40, 2 * len(texts[suspects[at]]))
+        while at < len(found):
+            # stretches of about one length together, as many as fit
+            longest = max(40, 2 * (found[at][1] - found[at][0]))
             end = at + 1
-            while end < len(suspects) and len(texts[suspects[end]]) <= longest and (end + 1 - at) * len(texts[suspects[end]]) <= 1_000_000:
+            while end < len(found) and (size := found[end][1] - found[end][0]) <= longest and (end + 1 - at) * size <= 1_000_000:
                 end += 1
-            part = suspects[at:end]
+            part = np.array(found[at:end])
             at = end
-            pairs, lengths = self._matrix([texts[i] for i in part])
-            for row, n, i in zip(self._viterbi(pairs[:, : int(lengths.max())], lengths), lengths, part, strict=True):
+            lengths = part[:, 1] - part[:, 0]
+            cells = np.minimum(part[:, :1] + np.arange(int(lengths.max()))[None, :], len(pairs) - 1)
+            first, last = np.isin(part[:, 0], starts), np.isin(part[:, 1], starts)
+            for row, n, (a, _) in zip(self._viterbi(pairs[cells], lengths, first, last), lengths, part.tolist(), strict=True):
                 states = row[:n]
                 if states.any():
                     edges = [0, *(np.flatnonzero(np.diff(states)) + 1).tolist(), int(n)]
-                    out[i] = [(a, b, int(states[a])) for a, b in zip(edges, edges[1:], strict=False) if states[a]]
-        return out
+                    spans += [(a + x, a + y, int(states[x])) for x, y in zip(edges, edges[1:], strict=False) if states[x]]
+        for a, b, state in sorted(spans):
+            i = int(np.searchsorted(starts, a, "right")) - 1
+            own, shift = out.setdefault(base + i, []), int(starts[i])
+            own.append((a - shift, b - shift, state))
 
 
 def restore(text: str, spans: list[tuple[int, int, int]]) -> tuple[str, bool]:
@@ -306,8 +305,10 @@ def built(pairs: list[tuple[int, int, int]]) -> EncodingModel:
 def garbled_records(records: DataFrame, pairs: list[tuple[int, int, int]]) -> DataFrame:
     """Of records (table_name, record_id, text) the garbled ones, with restored and restorable."""
 
+    shared = records.sparkSession.sparkContext.broadcast(pairs)
+
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = built(pairs)
+        model = built(shared.value)
         for batch in larger(batches):
             texts = batch.column(2).to_pylist()
             found = model.spans(texts)

@@ -18,7 +18,8 @@ def _captions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _pairs(spark: SparkSession, d: str) -> list[tuple[int, int, int]]:
-    return encodings.train(_captions(spark, d).select("text"))
+    """Counts over captions and notes, for all models of characters."""
+    return encodings.train(_captions(spark, d).select("text"), table(spark, d, "note_texts").select("text"))
 
 
 def _inconsistent(spark: SparkSession, d: str) -> DataFrame:

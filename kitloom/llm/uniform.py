@@ -1,10 +1,11 @@
 """One consistent form for texts that look alike.
 
 Compatibility variants become ordinary characters, ignorable ones are deleted, accents are composed, spaces and hyphens
-become plain. What is left are look-alike letters: every word is a lattice of the letters that each of its characters
-looks like. Viterbi takes the best path by character pairs counted over the corpus, among the paths in one alphabet:
-Cyrillic if every letter has a Cyrillic look, else Latin if every letter has a Latin one, else the path with the fewest
-changes of alphabet.
+become plain. What is left are look-alike letters: every word is a lattice of all letters, of both alphabets, that each of
+its characters looks like. Viterbi searches it: a path with fewer changes of alphabet is better, and of these one with a
+better score by the character pairs counted over the corpus, where a pair counts within one alphabet only. So the scores
+decide between letters of one alphabet that look alike (a Greek υ may be y, u or v) and where a word that needs both
+alphabets changes. Between a wholly Cyrillic and a wholly Latin path the Cyrillic one is taken.
 
 Defined cases: null stays null and empty stays empty; signs that are ordinary in the texts (№, ², ³, Ø, ×, «, », –) stay;
 digits belong to their word and stay; words without letters stay; repeated rows are treated alike.
@@ -28,7 +29,9 @@ from .charmodel import EDGE, PLAIN_CLASS
 
 # Letters that look alike, Latin and Cyrillic; then Greek and other letters with their Latin look.
 PAIRS = dict(zip("ABCEHKMOPTXYaceopxyëË", "АВСЕНКМОРТХУасеорхуёЁ", strict=True))
-OTHER_LOOKS = dict(zip("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧαορνυχικЅІЈѕіјһԁԛԝԌ", "ABEZHIKMNOPTYXaopvyxikSIJsijhdqwG", strict=True))
+OTHER_LOOKS = dict(zip("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧαορνυχικЅІЈѕіјһԁԛԝԌӀӏɑɡ", "ABEZHIKMNOPTYXaopvyxikSIJsijhdqwGIlag", strict=True))
+# Latin letters that some of these look like as well.
+MORE_LOOKS = {"υ": "uv", "ν": "u", "Ι": "l", "І": "l", "Ӏ": "l", "ӏ": "I", "ι": "l"}
 # Signs that compatibility normalization must not touch, and hyphens.
 ORDINARY_SIGNS = frozenset("№²³Ø×«»–")
 HYPHENS = frozenset("\u2010\u2011\u2012\u2212\ufe63\uff0d")
@@ -36,7 +39,7 @@ WORD = re.compile(r"[^\W_]+")
 #: Nothing to choose: plain signs, digits and Russian letters only.
 SINGLE_PATH = re.compile(f"[{PLAIN_CLASS}]*")
 NOT_RUSSIAN = re.compile("[^А-Яа-яЁё0-9]")
-CHANGE_ALPHABET, CHANGE_LETTER = -40.0, -1.0
+CHANGE_LETTER = -1.0
 
 
 class _Compat(dict):
@@ -72,19 +75,17 @@ def script(letter: str) -> str:
     return "c" if "Ѐ" <= letter <= "ԯ" else "l" if letter.isalpha() else ""
 
 
-def looks(letter: str) -> dict[str, str]:
-    """The letters that one may stand for, by alphabet."""
+def looks(letter: str) -> list[tuple[str, str]]:
+    """(alphabet, letter) of all that one may stand for; no alphabet for what is no letter."""
     latin = OTHER_LOOKS.get(letter, letter)
-    out = {}
+    more = [("l", x) for x in MORE_LOOKS.get(letter, "")]
     if latin in PAIRS:
-        out = {"l": latin, "c": PAIRS[latin]}
-    elif letter in _CYRILLIC_LOOKS:
-        out = {"c": letter, "l": _CYRILLIC_LOOKS[letter]}
-    elif latin != letter:
-        out = {"l": latin}
-    elif s := script(letter):
-        out = {s: letter}
-    return out
+        return [("c", PAIRS[latin]), ("l", latin), *more]
+    if letter in _CYRILLIC_LOOKS:
+        return [("c", letter), ("l", _CYRILLIC_LOOKS[letter])]
+    if latin != letter:
+        return [("l", latin), *more]
+    return [(script(letter), letter)]
 
 
 _CYRILLIC_LOOKS = {c: a for a, c in PAIRS.items()}
@@ -99,33 +100,26 @@ class WordForm:
             before[chr(a)] = before.get(chr(a), 0) + n
         total = max(1, sum(before.values()))
         self.score = {(chr(a), chr(b)): log((n + 0.1) / (before[chr(a)] + 100)) for a, b, n in pairs}
-        self.single = {a: log((n + 0.1) / (total + 100)) for a, n in before.items()}
         self.unseen = log(0.1 / (total + 100))
         self.best = lru_cache(maxsize=1 << 17)(self._best)
 
-    def _pair(self, a: str, b: str) -> float:
-        return self.score.get((a, b), self.unseen)
-
     def _best(self, word: str) -> str:
-        lattice = [looks(c) or {"": c} for c in word]
-        letters = [x for x in lattice if "" not in x]
-        for alphabet in ("c", "l"):
-            if all(alphabet in x for x in letters):
-                lattice = [{k: v for k, v in x.items() if k in ("", alphabet)} for x in lattice]
-                break
-        # Viterbi: the state is the letter taken, with its alphabet
-        paths = {("", EDGE): (0.0, "")}
-        for c, options in zip(word, lattice, strict=True):
-            new: dict[tuple[str, str], tuple[float, str]] = {}
-            for alphabet, letter in options.items():
-                ways = []
-                for (last, before), (score, text) in paths.items():
-                    change = CHANGE_ALPHABET if alphabet and last and alphabet != last else 0.0
-                    ways.append((score + change + self._pair(before, letter) + (CHANGE_LETTER if letter != c else 0.0), text + letter, alphabet or last))
-                best = max(ways)
-                new[best[2], letter] = best[:2]
+        # the state is the alphabet of the last letter with the last sign; its value the changes, then the score
+        paths = {("", EDGE): (0, 0.0, "")}
+        for c in word:
+            new: dict[tuple[str, str], tuple[int, float, str]] = {}
+            for alphabet, letter in looks(c):
+                kept = 0.0 if letter == c else CHANGE_LETTER
+                for (last, before), (changes, score, text) in paths.items():
+                    turn = alphabet != "" and last != "" and alphabet != last
+                    pair = self.unseen if turn else self.score.get((before, letter), self.unseen)
+                    way = (changes - turn, score + kept + pair, text + letter)
+                    at = (alphabet or last, letter)
+                    if at not in new or way > new[at]:
+                        new[at] = way
             paths = new
-        return max(paths.values())[1]
+        end = max(((changes, changes == 0 and alphabet == "c", score + self.score.get((letter, " "), self.unseen), text) for (alphabet, letter), (changes, score, text) in paths.items()))
+        return end[3]
 
     def text(self, text: str) -> str:
         """The consistent form of a text."""
@@ -148,9 +142,11 @@ def word_form(pairs: list[tuple[int, int, int]]) -> WordForm:
 def uniform_texts(df: DataFrame, pairs: list[tuple[int, int, int]], *, text: str = "text", out: str = "uniform") -> DataFrame:
     """df with the consistent form of a text column added."""
 
+    shared = df.sparkSession.sparkContext.broadcast(pairs)
+
     @F.pandas_udf("string")
     def form(values):  # noqa: ANN001, ANN202
-        words = word_form(pairs)
+        words = word_form(shared.value)
         return values.map(lambda v: None if v is None else words.text(v))
 
     return df.withColumn(out, form(F.col(text)))
@@ -162,8 +158,10 @@ def inconsistent_records(records: DataFrame, pairs: list[tuple[int, int, int]],
     Records of garbled_tables whose text is garbled are not counted: their characters are those of a wrong decoding.
     """
 
+    shared = records.sparkSession.sparkContext.broadcast(pairs)
+
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, model = word_form(pairs), encodings.built(pairs) if garbled_tables else None
+        words, model = word_form(shared.value), encodings.built(shared.value) if garbled_tables else None
         for batch in larger(batches):
             names, texts = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             changed = [(i, u) for i, t in enumerate(texts) if (u := words.text(t)) != t]

@@ -46,13 +46,32 @@ def test_clean_texts_and_losses(model):
     assert not E.restore("???? ?????", found[0])[1]
 
 
-def test_bound_never_drops_a_garbled_path(model):
+def test_stretches_never_lose_a_garbled_path(model):
+    """Labels by stretches are those of the search over whole texts."""
+    import numpy as np
+
     rng = random.Random(5)
-    texts = corpus(150, 4) + [rng.choice(E.GARBLINGS).apply(t) for t in corpus(150, 6)]
-    pairs, lengths = model._matrix(texts)
-    path = model._viterbi(pairs[:, :-1], lengths)
-    suspects = model._suspects(pairs, lengths)
-    assert not [i for i in range(len(texts)) if path[i, : lengths[i]].any() and not suspects[i]]
+    garble = lambda t: rng.choice(E.GARBLINGS).apply(t)
+    texts = corpus(150, 4) + [garble(t) for t in corpus(150, 6)] + [f"{a} {garble(b)} {c}" for a, b, c in zip(corpus(150, 7), corpus(150, 8), corpus(150, 9), strict=True)]
+    found, several = model.spans(texts), 0
+    for i, t in enumerate(texts):
+        pairs, starts = model._pairs([t])
+        row = model._viterbi(pairs[None, :], np.array([len(t)]), np.array([True]), np.array([True]))[0]
+        labels = np.zeros(len(t), dtype=int)
+        for a, b, state in found.get(i, ()):
+            labels[a:b] = state
+        assert (labels == row).all(), t
+        several += 0 < (row > 0).sum() < len(t)
+    assert several > 50
+
+
+def test_unusual_characters_keep_the_tables_bounded():
+    texts = corpus(200, 3) + ["".join(chr(k) for k in range(s, s + 500) if not 0xD800 <= k < 0xE000) for s in range(0x100, 0x3000, 500)] + ["😀 узел \U00020000"]
+    a, b, n = C.count_pairs(texts)
+    assert len(set(a.tolist()) | set(b.tolist())) < 500
+    model = E.EncodingModel(list(zip(a.tolist(), b.tolist(), n.tolist(), strict=True)))
+    assert model.emit.nbytes < 64 << 20
+    assert model.spans(["узел ввода 😀", "あ узел"]) == {}
 
 
 def test_very_long_texts(model):
