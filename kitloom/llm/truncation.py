@@ -3,12 +3,16 @@
 For the final contexts of all values (their last 3 to 26 characters) the model counts how often the context ends a value
 and how often it occurs at all. A value's chance of ending there is interpolated from short to long contexts, itself left
 out. Values are brought to one spelling first (restored encoding, consistent letters, lower case), integers count as one
-sign, so that their length says nothing. Per column and language a value is cut if the log odds of ending after its final
-context fall below the valley between the log odds of cut and of whole values; at lengths at which many values are cut, as
-at a field limit, the chance of ending must exceed a multiple of the rate of such cuts.
+sign, so that their length says nothing. Per column and language (told by its script) a value is cut if the log odds of
+ending after its final context fall below the valley between the log odds of cut and of whole values; at lengths at which
+many values are cut, as at a field limit, the chance of ending must exceed a multiple of the rate of such cuts.
 
-Contexts are counted everywhere, but only those that end some value matter; a Bloom filter of fixed size, merged from all
-partitions, keeps the others from being shuffled. Its false positives only cost rows, never change a count.
+Nothing is cut without evidence. A column has cuts only if its log odds have two modes and most values are whole ones, and
+a value is cut only if its final five characters are known to go on elsewhere. So codes that all differ are whole.
+
+Contexts are counted everywhere, but only those that end some value matter; a Bloom filter keeps the others from being
+shuffled. It is sized by their count, up to BLOOM_MOST bits (128 MiB); its false positives only cost rows, never change a
+count.
 
 Defined cases: null and empty values are not cut; equal values are judged alike; a column of few values has few contexts
 and flags nothing that it can't compare; other input columns are ignored.
@@ -32,13 +36,14 @@ from .batches import larger
 
 LEVELS = (3, 5, 8, 12, 18, 26)
 PRIOR = 8.0
-BLOOM_BITS = 1 << 24
-CHUNK_BYTES = 1 << 17
-LONGEST = 4096
+#: Bits of the Bloom filter a context and at most, and of one of its chunks, in which both bits of a context lie.
+BLOOM_RATE, BLOOM_MOST, CHUNK_BITS = 12, 1 << 30, 1 << 20
 #: Where the valley between cut and whole values is looked for, in log odds, and the width of a bin.
 VALLEY, BIN = (-4.0, 0.0), 0.5
 LIMIT_FACTOR, LIMIT_MOST = 4.0, 0.6
 LOW = 0.1
+#: The level whose context must go on elsewhere, and how often.
+KNOWN_LEVEL, GOES_ON = 1, 3
 
 _INTEGER = re.compile(r"(?<![0-9.,])[0-9]+")
 _DIGIT = re.compile(r"[0-9]")
@@ -86,9 +91,11 @@ def context_hashes(texts: list[str], groups: np.ndarray, ends_only: bool) -> lis
         return [_mixed((sums[at] - sums[at - k]) * inverse[at - k], salt + np.uint64(k)) for k in LEVELS]
 
 
-def _places(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    mask = np.uint64(BLOOM_BITS - 1)
-    return (hashes & mask).astype(np.int64), ((hashes >> np.uint64(32)) & mask).astype(np.int64)
+def _places(hashes: np.ndarray, chunks: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two bits in the chunk of each hash."""
+    base = ((hashes >> np.uint64(44)) & np.uint64(chunks - 1)).astype(np.int64) * CHUNK_BITS
+    mask = np.uint64(CHUNK_BITS - 1)
+    return base + (hashes & mask).astype(np.int64), base + ((hashes >> np.uint64(20)) & mask).astype(np.int64)
 
 
 def _group_hash(names: list[str]) -> np.ndarray:
@@ -116,8 +123,10 @@ def _batches(batches: Iterator[pa.RecordBatch], chars: int = 3_000_000) -> Itera
 def prepared(values: DataFrame, pairs: list[tuple[int, int, int]]) -> DataFrame:
     """values (table_name, record_id, part, text) with model group, length and normalised text."""
 
+    shared = values.sparkSession.sparkContext.broadcast(pairs)
+
     def prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, model = uniform.word_form(pairs), encodings.built(pairs)
+        words, model = uniform.word_form(shared.value), encodings.built(shared.value)
         for batch in larger(batches):
             texts = batch.column(4).to_pylist()
             spans = model.spans(texts)
@@ -126,7 +135,7 @@ def prepared(values: DataFrame, pairs: list[tuple[int, int, int]]) -> DataFrame:
             normals = [normal(t) for t in plain]
             ends = context_hashes(normals, _group_hash(groups), ends_only=True)[-1].view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(k) for k in range(3)), pa.array(groups, pa.string()), pa.array([min(len(t), LONGEST) for t in plain], pa.int32()), pa.array(ends, pa.int64()), pa.array(normals, pa.string())],
+                [*(batch.column(k) for k in range(3)), pa.array(groups, pa.string()), pa.array([len(t) for t in plain], pa.int32()), pa.array(ends, pa.int64()), pa.array(normals, pa.string())],
                 names=["table_name", "record_id", "part", "grp", "len", "ctx", "normal"],
             )
 
@@ -134,35 +143,29 @@ def prepared(values: DataFrame, pairs: list[tuple[int, int, int]]) -> DataFrame:
     return asked.mapInArrow(prepare, "table_name string, record_id string, part string, grp string, len int, ctx bigint, normal string")
 
 
-def _bloom(texts: DataFrame) -> np.ndarray:
-    """Bloom filter of all final contexts; every partition sends its non-empty chunks, which are merged by groups."""
+def _bloom(hashes: DataFrame, n: int) -> np.ndarray:
+    """Bloom filter of n distinct hashes (h), built chunk by chunk; its size is bounded by BLOOM_MOST."""
+    chunks = 1
+    while chunks * CHUNK_BITS < min(BLOOM_RATE * n, BLOOM_MOST):
+        chunks *= 2
 
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(BLOOM_BITS // 8, dtype=np.uint8)
-        for groups, found in _batches(batches):
-            for hashes in context_hashes(found, _group_hash(groups), ends_only=True):
-                for place in _places(hashes):
-                    np.bitwise_or.at(bits, place >> 3, (1 << (place & 7)).astype(np.uint8))
-        chunks = [k for k in range(0, len(bits), CHUNK_BYTES) if bits[k : k + CHUNK_BYTES].any()]
-        yield pa.RecordBatch.from_arrays([pa.array([k // CHUNK_BYTES for k in chunks], pa.int32()), pa.array([bits[k : k + CHUNK_BYTES].tobytes() for k in chunks], pa.binary())], names=["chunk", "bits"])
-
-    def merge(frame: pd.DataFrame) -> pd.DataFrame:
-        merged = np.bitwise_or.reduce([np.frombuffer(b, dtype=np.uint8) for b in frame["bits"]])
-        return pd.DataFrame({"chunk": [int(frame["chunk"].iloc[0])], "bits": [merged.tobytes()]})
-
-    parts = texts.select("grp", "normal").mapInArrow(build, "chunk int, bits binary")
-    # partitions' chunks meet in two steps, so that no task holds those of all partitions
-    step = parts.withColumn("lane", F.pmod(F.xxhash64("bits"), F.lit(16))).groupBy("chunk", "lane").applyInPandas(merge, "chunk int, bits binary")
-    out = np.zeros(BLOOM_BITS // 8, dtype=np.uint8)
-    for row in step.groupBy("chunk").applyInPandas(merge, "chunk int, bits binary").collect():
-        out[row["chunk"] * CHUNK_BYTES : (row["chunk"] + 1) * CHUNK_BYTES] = np.frombuffer(bytes(row["bits"]), dtype=np.uint8)
+    def build(frame: pd.DataFrame) -> pd.DataFrame:
+        bits = np.zeros(CHUNK_BITS, dtype=bool)
+        for place in _places(frame["h"].to_numpy().view(np.uint64), 1):
+            bits[place] = True
+        return pd.DataFrame({"chunk": [int(frame["chunk"].iloc[0])], "bits": [np.packbits(bits, bitorder="little").tobytes()]})
+
+    placed = hashes.select(F.shiftrightunsigned("h", 44).bitwiseAND(F.lit(chunks - 1)).cast("int").alias("chunk"), "h")
+    out = np.zeros(chunks * CHUNK_BITS // 8, dtype=np.uint8)
+    for row in placed.groupBy("chunk").applyInPandas(build, "chunk int, bits binary").collect():
+        at = row["chunk"] * CHUNK_BITS // 8
+        out[at : at + CHUNK_BITS // 8] = np.frombuffer(bytes(row["bits"]), dtype=np.uint8)
     return out
 
 
 def context_chances(texts: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """(ctx, n_values, chance): of each final context at the longest level how many values have it and the chance that a
-    value ends there, one value left out."""
-    filter_bits = texts.sparkSession.sparkContext.broadcast(_bloom(texts))
+    """(ctx, n_values, chance, goes_on): of each final context at the longest level how many values have it, the chance that
+    a value ends there, one value left out, and how often its last characters go on elsewhere."""
 
     def endings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for groups, found in _batches(batches):
@@ -173,9 +176,10 @@ def context_chances(texts: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
 
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = filter_bits.value
+        chunks = len(bits) * 8 // CHUNK_BITS
         for groups, found in _batches(batches):
             for hashes in context_hashes(found, _group_hash(groups), ends_only=False):
-                one, two = _places(hashes)
+                one, two = _places(hashes, chunks)
                 there = (bits[one >> 3] >> (one & 7).astype(np.uint8)) & (bits[two >> 3] >> (two & 7).astype(np.uint8)) & 1
                 own, n = np.unique(hashes[there.astype(bool)], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(n, pa.int64())], names=["h", "n"])
@@ -183,14 +187,16 @@ def context_chances(texts: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     rows = texts.select("grp", "normal")
     distinct = cut_lineage(rows.mapInArrow(endings, "ctx bigint, levels array<bigint>, n bigint").groupBy("ctx").agg(F.sum("n").alias("n"), F.any_value("levels").alias("levels")))
     each = distinct.select("ctx", "n", F.posexplode("levels").alias("level", "h"))
+    ends = cut_lineage(each.groupBy("h").agg(F.sum("n").alias("ends"), F.count("*").alias("n_ctx")))
+    filter_bits = texts.sparkSession.sparkContext.broadcast(_bloom(ends, ends.count()))
     total = rows.mapInArrow(occurrences, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("occurs"))
-    ends = each.groupBy("h").agg(F.sum("n").alias("ends"), F.count("*").alias("n_ctx"))
     known = cut_lineage(ends.join(total, "h").select("h", "n_ctx", (F.col("ends") - 1).alias("e"), (F.col("occurs") - 1).alias("o")))
     # short contexts are shared by very many long ones
     found = salted_join(each.select("ctx", "n", "level", "h"), known, "h", weight="n_ctx", spread=F.col("ctx"), hot_rows=hot_rows)
     joined = found.groupBy("ctx").agg(F.max("n").alias("n_values"), F.array_sort(F.collect_list(F.struct("level", "e", "o"))).alias("s"))
     chance = F.aggregate("s", F.lit(0.05).cast("double"), lambda acc, x: (x["e"] + F.lit(PRIOR) * acc) / (x["o"] + F.lit(PRIOR)))
-    return joined.select("ctx", "n_values", F.greatest(chance, F.lit(1e-9)).alias("chance"))
+    known = F.element_at("s", KNOWN_LEVEL + 1)
+    return joined.select("ctx", "n_values", F.greatest(chance, F.lit(1e-9)).alias("chance"), (known["o"] - known["e"]).alias("goes_on"))
 
 
 def cut_values(values: DataFrame, pairs: list[tuple[int, int, int]], hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -206,11 +212,15 @@ def cut_values(values: DataFrame, pairs: list[tuple[int, int, int]], hot_rows: i
     # the valley of each model group, from a histogram
     first, last = int(VALLEY[0] / BIN), int(VALLEY[1] / BIN) - 1
     histogram = scored.groupBy("grp", F.floor(F.col("odds") / BIN).cast("int").alias("bin")).agg(F.count("*").alias("n"))
-    grid = histogram.select("grp").distinct().select("grp", F.explode(F.sequence(F.lit(first - 1), F.lit(last + 1))).alias("bin"))
+    ranges = histogram.groupBy("grp").agg(F.least(F.min("bin"), F.lit(first)).alias("a"), F.greatest(F.max("bin"), F.lit(last)).alias("b"))
+    grid = ranges.select("grp", F.explode(F.sequence(F.col("a") - 1, F.col("b") + 1)).alias("bin"))
     side = Window.partitionBy("grp").orderBy("bin")
     smooth = grid.join(histogram, ["grp", "bin"], "left").fillna(0, ["n"]).withColumn("s", F.col("n") + 0.5 * F.coalesce(F.lag("n").over(side), F.lit(0)) + 0.5 * F.coalesce(F.lead("n").over(side), F.lit(0)))
-    inner = smooth.filter(F.col("bin").between(first, last))
-    valley = inner.groupBy("grp").agg(F.min_by("bin", F.struct("s", F.abs(F.col("bin") * BIN + 2.0))).alias("bin")).select("grp", ((F.col("bin") + 0.5) * BIN).alias("valley"))
+    lowest = smooth.filter(F.col("bin").between(first, last)).groupBy("grp").agg(F.min(F.struct("s", F.abs(F.col("bin") * BIN + 2.0).alias("off"), "bin")).alias("v")).select("grp", "v.s", "v.bin")
+    below = F.col("h.bin") < F.col("v.bin")
+    sides = smooth.alias("h").join(lowest.alias("v"), "grp").groupBy("grp", F.col("v.bin").alias("bin"), F.col("v.s").alias("s")).agg(F.max(F.when(below, F.col("h.s"))).alias("low_mode"), F.max(F.when(~below, F.col("h.s"))).alias("high_mode"), F.sum(F.when(below, F.col("h.n")).otherwise(0)).alias("n_low"), F.sum("h.n").alias("n"))
+    two_modes = (F.col("low_mode") > F.col("s")) & (F.col("high_mode") > F.col("s")) & (F.col("n_low") <= 0.5 * F.col("n"))
+    valley = sides.select("grp", ((F.col("bin") + 0.5) * BIN).alias("valley"), two_modes.alias("two_modes"))
     # the rate of cuts at each length
     lengths = scored.groupBy("part", "len").agg(F.count("*").alias("n"), F.count_if(F.col("chance") < LOW).alias("low"))
     longer = Window.partitionBy("part").orderBy(F.desc("len"))
@@ -218,7 +228,7 @@ def cut_values(values: DataFrame, pairs: list[tuple[int, int, int]], hot_rows: i
     # one row a group, and one a source and length: few, but checked
     judged = scored.join(broadcast_if_small(valley), "grp").join(broadcast_if_small(hazard), ["part", "len"])
     threshold = F.greatest(1 / (1 + F.exp(-F.col("valley"))), F.least(F.lit(LIMIT_MOST), F.lit(LIMIT_FACTOR) * F.col("hazard")))
-    return judged.select("table_name", "record_id", "part", "grp", "len", "chance", threshold.alias("threshold"), (F.col("chance") < threshold).alias("cut"))
+    return judged.select("table_name", "record_id", "part", "grp", "len", "chance", threshold.alias("threshold"), (F.col("two_modes") & (F.col("goes_on") >= GOES_ON) & (F.col("chance") < threshold)).alias("cut"))
 
 
 def cut_rates(judged: DataFrame) -> DataFrame:

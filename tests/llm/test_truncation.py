@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from kitloom.llm import encodings as E
 from kitloom.llm import truncation as T
@@ -78,6 +79,30 @@ def test_chances_agree_with_a_count_by_hand(spark):
         assert abs(got[r["ctx"]] - chance) < 1e-9
 
 
+def test_codes_that_all_differ_are_whole(spark):
+    """No cuts where none are: a column of random codes, alone and beside texts with cuts."""
+    rng = random.Random(12)
+    code = lambda n: "".join(rng.choice("ABCDEFGHKLMNPRSTUVXYZ0123456789-") for _ in range(n))
+    codes = [("t", f"c{i}", "p", "codes", code(rng.choice((8, 8, 11))), "x", "y") for i in range(5000)]
+    rows, cut = _values(3000, 4)
+    mixed = [("t", f"m{i}", "p", "m", code(9), "x", "y") for i in range(300)]
+    df = spark.createDataFrame(codes + rows + mixed, VALUES)
+    got = {r["record_id"] for r in T.cut_values(df, E.train(df.select("text"))).filter("cut").collect()}
+    assert sum(i.startswith("c") for i in got) <= 5
+    assert sum(i.startswith("m") for i in got) <= 3
+    assert len(got & cut) >= 0.97 * len(cut)
+
+
+def test_bloom_filters_know_their_hashes(spark):
+    for n in (10, 200_000):
+        hashes = spark.range(n).select(F.xxhash64("id").alias("h"))
+        bits = T._bloom(hashes, n)
+        own = np.array([r["h"] for r in hashes.collect()], dtype=np.int64).view(np.uint64)
+        chunks = len(bits) * 8 // T.CHUNK_BITS
+        there = lambda x: np.logical_and(*[(bits[p >> 3] >> (p & 7).astype(np.uint8)) & 1 for p in T._places(x, chunks)])  # noqa: B023, E731
+        assert there(own).all() and there(own ^ np.uint64(0x5DEECE66D5DEECE6)).mean() < 0.05
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], VALUES)
     assert T.cut_values(df, []).collect() == []
