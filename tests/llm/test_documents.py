@@ -2,6 +2,7 @@ import itertools
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from kitloom.llm import leakage as W
 from kitloom.llm import mixture as M
@@ -26,27 +27,49 @@ def test_wu_manber_agrees_with_brute_force():
     rng = random.Random(4)
     for run in (3, 5, 12):
         items = [(i, [rng.choice("abcd") for _ in range(rng.randrange(run - 1, run + 6))]) for i in range(30)]
-        tables = W.WuManber(items, run)
+        shifts, ends = {}, set()
+        for _, w in items:
+            own, tails = W.table_rows(w, run)
+            shifts = {b: min(m, shifts.get(b, run)) for b, m in (shifts | own).items()} | {b: min(m, shifts[b]) for b, m in own.items() if b in shifts}
+            ends |= tails
+        patterns = {i: {" ".join(w[k : k + run]) for k in range(len(w) - run + 1)} for i, w in items}
+        searches = [W.Tables(*W.filled(run - 1, entries, shifts, ends), run) for entries in (1 << 16, 4, 1)]  # hashes that meet cost nothing but work
         for _ in range(150):
             text = [rng.choice("abcde") for _ in range(rng.randrange(60))]
             if rng.random() < 0.5:
                 text[5:5] = items[rng.randrange(30)][1]
             grams = {tuple(text[k : k + run]) for k in range(len(text) - run + 1)}
             expected = {i for i, w in items if any(tuple(w[k : k + run]) in grams for k in range(len(w) - run + 1))}
-            assert tables.search(text) == expected
+            for tables in searches:
+                found = set(tables.windows(text))
+                assert {i for i, p in patterns.items() if p & found} == expected
 
 
 def test_leaks(spark):
     item = " ".join(f"слово{i}" for i in range(20))
     rows = [(1, "начало " + item), (2, item[: item.index("слово11") + 7]), (3, item[: item.index("слово10") + 7]), (4, None), (5, ""), (6, item.upper().replace("СЛОВО5", "СЛО-\nВО5")), (1, "начало " + item), (7, "шум " * 40_000 + item)]
     items = spark.createDataFrame([(9, item, "d"), (8, "коротко", "d"), (7, None, "d"), (6, item, "d")], "item_id long, text string, doc string")
-    for block in (2000, 1):
-        got = sorted(map(tuple, W.leaked_items(_docs(spark, rows), items, block_items=block).collect()))
+    for how in ({}, {"small_rows": 0}, {"small_rows": 0, "hot_rows": 2}, {"entries": 1 << 16}):
+        got = sorted(map(tuple, W.leaked_items(_docs(spark, rows), items, **how).collect()))
         assert got == [(d, i) for d in (1, 2, 6, 7) for i in (6, 9)]
     assert W.leaked_items(_docs(spark, []), items).collect() == []
     assert W.leaked_items(_docs(spark, rows), items.limit(0)).collect() == []
 
 
+def test_many_items(spark):
+    """Tens of thousands of items need no more of the driver than a few."""
+    items = spark.range(50_000).select(F.col("id").alias("item_id"), F.concat_ws(" ", *[F.concat(F.lit(f"w{k}x"), F.expr(f"(id * 31 + {k} * 7) % 9973")) for k in range(13)], F.concat(F.lit("n"), "id")).alias("text"))
+    docs = items.filter("item_id % 1000 = 0").select((F.col("item_id") + 1).alias("doc_id"), F.concat(F.lit("начало "), "text", F.lit(" конец")).alias("text"))
+    got = {tuple(r) for r in W.leaked_items(docs, items).collect()}
+    assert {(i + 1, i) for i in range(0, 50_000, 1000)} <= got
+    texts = {r["item_id"]: r["text"].split() for r in items.collect()}
+    grams = {}
+    for i, w in texts.items():
+        for k in range(len(w) - 11):
+            grams.setdefault(tuple(w[k : k + 12]), set()).add(i)
+    assert got == {(i + 1, j) for i in range(0, 50_000, 1000) for k in range(3) for j in grams.get(tuple(texts[i][k : k + 12]), ())}
+
+
 def _brute_repeated(found, run=6):
     marked = set()
     for i in range(len(found) - run + 1):
