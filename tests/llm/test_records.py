@@ -152,7 +152,7 @@ LIST = [(1, "Сеть бытовой канализации проектируе
     ],
 )
 def test_labels(value, ref):
-    assert K.SignMatcher(LIST).find(value) == ref
+    assert K.SignMatcher(K.parsed(LIST)).find(value) == ref
 
 
 ENTRY = "id string, label string, label_variants array<string>, loaded_at timestamp, ref_id int, at long"
@@ -170,6 +170,53 @@ def test_entries(spark):
     assert {r["ref_id"] for r in K.matched_labels(spark.createDataFrame(rows, ENTRY), reference.limit(0)).collect()} == {None}
 
 
-def test_reference_size_is_checked(spark):
-    with pytest.raises(ValueError):
-        K.matched_labels(spark.createDataFrame([], ENTRY), spark.createDataFrame(LIST, "ref_id int, label string"), max_reference=3)
+def test_initials_do_not_displace_abbreviations():
+    listed = [(1, "Скважина разведочная существующая"), (2, "Газопровод среднего давления существующий"), (3, "Газопровод низкого давления существующий")]
+    find = K.SignMatcher(K.parsed(listed)).find
+    assert [find(v) for v in ("газопровод ср. давл. сущ.", "газопровод сд сущ.", "ср сущ.", "газопровод нд существующий")] == [2, 2, 1, 3]
+
+
+def test_the_index_finds_what_a_scan_finds():
+    """Costs by the index are those of comparing a token with every token of the list."""
+    rng = random.Random(7)
+    matcher = K.SignMatcher(K.parsed(LIST))
+    letters = "абвгдеиклмнопрсту"
+    for _ in range(3000):
+        word = rng.choice(matcher.ordered)
+        for _ in range(rng.randrange(4)):
+            k = rng.randrange(len(word) + 1)
+            word = rng.choice([word[:k] + rng.choice(letters) + word[k:], word[:k] + word[k + 1 :], word[:k] + rng.choice(letters) + word[k + 1 :], word[:k], word[:k] + word[k + 1 : k + 2] + word[k : k + 1] + word[k + 2 :]])
+        for dotted in (False, True):
+            scan = {}
+            for s, meant in matcher.spelled.items():
+                if (c := matcher._near(word, dotted, s)) is not None:
+                    for t in meant:
+                        scan[t] = min(c, scan.get(t, c))
+            assert matcher._close(word, dotted) == scan, word
+
+
+def test_blocks_of_a_list_give_what_the_whole_list_gives(spark):
+    values = ["сеть бытовой канал. сущ.", "сеть быотвой каналзации существующая DN100", "ж/б лоток демонт.", "кабельная линия НН проект.", "деерво лиственное существующее", "сеть канализации проектируемая", "то же: лоток слаботочный демонтируемый", "12. Проектируемая сеть бытовой, канализации", "проектируемая", ""]
+    rows = [(f"v{i}", v, None, T0, 9, 9) for i, v in enumerate(values)] + [("w", None, [LIST[2][1], "сеть дожд. канализации проект.", LIST[5][1], None], T0, 9, 9), ("n", None, None, T0, 9, 9), ("e", None, [], None, 9, 9)]
+    reference = spark.createDataFrame([*LIST, (7, LIST[0][1]), (8, "Сеть дождевой канализации существующая"), (9, "Сеть дренажной канализации проектируемая")], "ref_id int, label string")
+    found = lambda **how: sorted(map(tuple, K.matched_labels(spark.createDataFrame(rows, ENTRY), reference, **how).collect()))
+    assert found() == found(block_entries=2) == found(block_entries=1)
+    assert dict(found())["v0"] == 2 and dict(found())["w"] == 3
+
+
+def test_a_list_of_many_entries_is_searched_quickly():
+    import time
+
+    rng = random.Random(11)
+    syllables = [a + b for a in "бвгдзклмнпрст" for b in "аеиоу"]
+    words = ["".join(rng.choice(syllables) for _ in range(rng.randrange(2, 5))) for _ in range(6000)]
+    listed = [(i, f"{rng.choice(words)} {rng.choice(words)} {rng.choice(words)} проектируемый") for i in range(20_000)]
+    matcher = K.SignMatcher(K.parsed(listed))
+    began = time.perf_counter()
+    right = 0
+    for i, label in listed[::100]:
+        word = label.split()
+        word[1] = word[1][:2] + word[1][3:]
+        right += matcher.find(" ".join(word)) == i
+    assert right > 150
+    assert (time.perf_counter() - began) / 200 < 0.05
