@@ -1,16 +1,17 @@
 """Mixing sources to target shares of the total size.
 
-The mixture is to be as large as all documents of the listed sources; a source's budget is its share of that. A source
-goes in whole as often as the budget and its cap on repeats allow. What is left of the budget is fitted by a subset sum:
-documents are counted by exact token length, most of the rest is spread over the lengths in proportion, and a
-bounded-knapsack dynamic program over the remaining few thousand tokens finds the counts that come closest without
-exceeding the budget. Of each length the counted number of documents is taken in a seeded order.
+The mixture is to be as large as all documents of the listed sources; a source's budget is its share of that. Sources that
+their caps on repeats keep below their share go in with all they may, and what they lack is shared by the others in
+proportion to their targets, so the mixture has the size asked for as long as the caps allow it; the actual shares tell.
 
-A source that its cap keeps below its budget leaves the mixture smaller; nothing is shifted to other sources, and the
-actual shares say so.
+A source goes in whole as often as its budget allows. What is left of the budget is fitted by a subset sum: documents are
+counted by exact token length, all of the rest but a last WINDOW_TOKENS is spread over the lengths in proportion, and a
+bounded-knapsack dynamic program over that window finds the counts that come closest without exceeding the budget. Of each
+length the counted number of documents is taken in a seeded order. Each source is fitted in an executor.
 
 Defined cases: documents without a listed source and those of 0 tokens are not chosen; a listed source without documents
-contributes 0; null shares and repeats count as 0; an empty list or table gives an empty mixture; a share of 0 takes none.
+contributes 0; null shares and repeats count as 0; of several rows of a source the one of the greatest share counts; an
+empty list or table gives an empty mixture; a share of 0 takes none.
 """
 
 from __future__ import annotations
@@ -18,15 +19,16 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.skew import SMALL_ROWS
+from ..operators.skew import broadcast_if_small
 from ..session import cut_lineage
 from .tokens import token_counts
 
 SEED = 20
-WINDOW_TOKENS = 1 << 16
+WINDOW_TOKENS = 1 << 15
 BANDS = 4096
 
 
@@ -73,14 +75,12 @@ def fit_budget(counts: Mapping[int, int], budget: int, max_repeats: int, window:
     rest = budget - whole * size
     if whole == max_repeats or rest == 0:
         return Fit(whole, {}, whole * size)
-    bulk: dict[int, int] = {}
-    if rest > window:
-        part = rest - window // 2
-        bulk = {n: c * part // size for n, c in counts.items()}
+    part = max(0, rest - window)
+    bulk = {n: k for n, c in counts.items() if (k := c * part // size)}
     spread = sum(n * c for n, c in bulk.items())
     # rounding down leaves up to one document a length; whole documents go on, longest first, down to the window
     for n in sorted(counts, reverse=True):
-        spare = min(counts[n] - bulk.get(n, 0), (rest - spread - window // 2) // n)
+        spare = min(counts[n] - bulk.get(n, 0), (rest - spread - window) // n)
         if spare <= 0:
             continue
         bulk[n] = bulk.get(n, 0) + spare
@@ -90,30 +90,56 @@ def fit_budget(counts: Mapping[int, int], budget: int, max_repeats: int, window:
     return Fit(whole, extra, whole * size + sum(n * c for n, c in extra.items()))
 
 
+def budgets(targets: DataFrame, sizes: DataFrame, total: int) -> DataFrame:
+    """(source, target_share, max_repeats, budget_tokens) of a mixture of total tokens; sizes: source, size.
+
+    In the order of cap over share, a source is capped if its cap is no more than its part of what the sources before it
+    leave. That is one row a source in one ordered window.
+    """
+    share, repeats = F.coalesce(F.col("target_share").cast("double"), F.lit(0.0)), F.coalesce(F.col("max_repeats").cast("int"), F.lit(0))
+    listed = targets.filter("source is not null").groupBy("source").agg(F.max(F.struct(share.alias("s"), repeats.alias("m"))).alias("t")).select("source", F.col("t.s").alias("share"), F.col("t.m").alias("max_repeats"))
+    own = listed.join(sizes, "source", "left").withColumn("cap", F.when(F.col("share") > 0, F.coalesce("size", F.lit(0)) * F.col("max_repeats")).otherwise(0).cast("double"))
+    order = Window.orderBy(F.when(F.col("share") > 0, F.col("cap") / F.col("share")).otherwise(0.0), "source")
+    before, after = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    left = F.greatest(F.lit(float(total)) - F.coalesce(F.sum("cap").over(before), F.lit(0.0)), F.lit(0.0))
+    part = own.withColumn("part", F.when(F.col("share") > 0, F.col("share") / F.sum("share").over(after) * left).otherwise(0.0))
+    part = part.withColumn("capped", F.col("cap") <= F.col("part"))
+    # the first that is not capped has the price of all that are not
+    price = F.when(~F.col("capped") & (F.col("share") > 0), F.col("part") / F.col("share"))
+    whole = F.max(price).over(Window.partitionBy())
+    budget = F.when(F.col("capped"), F.col("cap")).otherwise(F.least(F.col("cap"), F.floor(F.col("share") * whole + 1e-6)))
+    return part.select("source", F.col("share").alias("target_share"), "max_repeats", budget.cast("bigint").alias("budget_tokens"))
+
+
 def mix(documents: DataFrame, targets: DataFrame, *, key: str = "doc_id", seed: int = SEED, tokenizer: str | None = None) -> tuple[DataFrame, DataFrame]:
     """The chosen documents (key, source, n_tokens, copies) and the shares (source, target_share, actual_share, ...)."""
-    spark = documents.sparkSession
-    wanted = {r["source"]: (r["target_share"] or 0.0, r["max_repeats"] or 0) for r in targets.select("source", "target_share", "max_repeats").filter("source is not null").collect()}
-    listed = documents.join(targets.select("source").distinct(), "source", "left_semi")
-    sized = cut_lineage(token_counts(listed, key=key, keep=("source",), tokenizer=tokenizer))
-    by_length: dict[str, dict[int, int]] = {}
-    for r in sized.groupBy("source", "n_tokens").count().collect():
-        by_length.setdefault(r["source"], {})[r["n_tokens"]] = r["count"]
-    total = sum(n * c for lengths in by_length.values() for n, c in lengths.items())
-    fits = {s: fit_budget(by_length.get(s, {}), int(share * total), repeats) for s, (share, repeats) in wanted.items()}
-    plan = [(s, n, f.whole, f.extra.get(n, 0)) for s, f in fits.items() for n in by_length.get(s, {}) if n and (f.whole or f.extra.get(n))]
-    counts = spark.createDataFrame(plan, "source string, n_tokens bigint, whole int, extra bigint")
-    planned = sized.join(F.broadcast(counts) if len(plan) <= SMALL_ROWS else counts, ["source", "n_tokens"])
+    names = targets.select("source").filter("source is not null").distinct()
+    sized = cut_lineage(token_counts(documents.join(names, "source", "left_semi"), key=key, keep=("source",), tokenizer=tokenizer))
+    lengths = cut_lineage(sized.filter("n_tokens > 0").groupBy("source", "n_tokens").agg(F.count("*").alias("n")))
+    sizes = lengths.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("n")).alias("size"))
+    total = sizes.agg(F.sum("size")).first()[0] or 0
+    asked = cut_lineage(budgets(targets, sizes, total))
+
+    def fit(frame: pd.DataFrame) -> pd.DataFrame:
+        head = frame.iloc[0]
+        counts = dict(zip(frame["n_tokens"].tolist(), frame["n"].tolist(), strict=True))
+        found = fit_budget(counts, int(head["budget_tokens"]), int(head["max_repeats"]))
+        rows = [(head["source"], n, found.whole, found.extra.get(n, 0)) for n in counts if found.whole or n in found.extra]
+        return pd.DataFrame(rows, columns=["source", "n_tokens", "whole", "extra"])
+
+    # of a source one row for each length of its documents
+    fits = cut_lineage(lengths.join(asked, "source").groupBy("source").applyInPandas(fit, "source string, n_tokens bigint, whole int, extra bigint"))
+    planned = sized.join(broadcast_if_small(fits), ["source", "n_tokens"])
     # the seeded order is cut into bands, so that one length of one source is no single task
     banded = planned.withColumn("hash", F.xxhash64(F.lit(seed), key)).withColumn("band", F.pmod("hash", F.lit(BANDS)))
-    sizes = banded.groupBy("source", "n_tokens", "band").agg(F.count("*").alias("n"))
+    counted = banded.groupBy("source", "n_tokens", "band").agg(F.count("*").alias("n"))
     so_far = Window.partitionBy("source", "n_tokens").orderBy("band").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.withColumn("before", F.coalesce(F.sum("n").over(so_far), F.lit(0)))
+    counted = counted.withColumn("before", F.coalesce(F.sum("n").over(so_far), F.lit(0)))
     inside = Window.partitionBy("source", "n_tokens", "band").orderBy("hash", key)
-    placed = banded.join(sizes, ["source", "n_tokens", "band"]).withColumn("place", F.col("before") + F.row_number().over(inside))
+    placed = banded.join(counted, ["source", "n_tokens", "band"]).withColumn("place", F.col("before") + F.row_number().over(inside))
     copies = F.col("whole") + F.when(F.col("place") <= F.col("extra"), 1).otherwise(0)
     chosen = placed.select(key, "source", "n_tokens", copies.cast("int").alias("copies")).filter("copies > 0")
-    mixed = sum(f.tokens for f in fits.values())
-    rows = [(s, float(share), repeats, int(share * total), fits[s].tokens, fits[s].tokens / mixed if mixed else 0.0) for s, (share, repeats) in sorted(wanted.items())]
-    shares = spark.createDataFrame(rows, "source string, target_share double, max_repeats int, budget_tokens bigint, tokens bigint, actual_share double")
-    return chosen, shares
+    taken = lengths.join(fits, ["source", "n_tokens"]).groupBy("source").agg(F.sum(F.col("n_tokens") * (F.col("n") * F.col("whole") + F.col("extra"))).alias("tokens"))
+    mixed = F.sum("tokens").over(Window.partitionBy())
+    shares = asked.join(taken, "source", "left").fillna(0, ["tokens"]).withColumn("actual_share", F.when(mixed > 0, F.col("tokens") / mixed).otherwise(0.0))
+    return chosen, shares.select("source", "target_share", "max_repeats", "budget_tokens", "tokens", "actual_share").orderBy("source")

@@ -12,6 +12,7 @@ import base64
 import os
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,13 +24,16 @@ TOKENIZER = "byte_bpe_multi_50k.tiktoken"
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
-def counter(path: str) -> Callable[[str], int]:
-    """A function from a text to its number of tokens."""
+#: The largest vocabulary file that is sent to the workers.
+MOST_BYTES = 64 << 20
+
+
+def counter(vocabulary: bytes) -> Callable[[str], int]:
+    """A function from a text to its number of tokens, by the content of a vocabulary file."""
     import regex
     import tiktoken
 
-    with open(path, "rb") as lines:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines())}
     encoding = tiktoken.Encoding("counted", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={})
     pieces = regex.compile(PIECES)
     size = lru_cache(maxsize=1 << 18)(lambda piece: len(encoding.encode_ordinary(piece)))
@@ -37,11 +41,14 @@ def counter(path: str) -> Callable[[str], int]:
 
 
 def token_counts(df: DataFrame, *, key: str, text: str = "text", keep: tuple[str, ...] = (), tokenizer: str | None = None) -> DataFrame:
-    """(key, keep..., n_tokens) of every row."""
-    path = tokenizer or os.path.join(TOKENIZER_DIR, TOKENIZER)
+    """(key, keep..., n_tokens) of every row. The vocabulary is read by the driver and sent to the workers."""
+    vocabulary = Path(tokenizer or os.path.join(TOKENIZER_DIR, TOKENIZER)).read_bytes()
+    if len(vocabulary) > MOST_BYTES:
+        raise ValueError(f"a vocabulary of more than {MOST_BYTES} bytes")
+    shared = df.sparkSession.sparkContext.broadcast(vocabulary)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = counter(path)
+        tokens = counter(shared.value)
         for batch in batches:
             own = pa.array([tokens(t) if t else 0 for t in batch.column(batch.num_columns - 1).to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], own], names=[*batch.schema.names[:-1], "n_tokens"])

@@ -104,7 +104,7 @@ def test_token_counts_are_the_tokenizers_own(spark):
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
     whole = tiktoken.Encoding("whole", pat_str=T.PIECES, mergeable_ranks=ranks, special_tokens={})
     texts = ["Узел ввода, площадь 12,5 м²\n\n| a | b |", "it's  don't   x", "", "а" * 5000, "\t\n 　é ¥ 𝟏"]
-    count = T.counter(path)
+    count = T.counter(open(path, "rb").read())
     assert [count(t) for t in texts] == [len(whole.encode_ordinary(t)) for t in texts]
     got = T.token_counts(_docs(spark, [(1, None), (2, texts[0])]), key="doc_id").collect()
     assert [(r["doc_id"], r["n_tokens"]) for r in got] == [(1, 0), (2, count(texts[0]))]
@@ -134,6 +134,15 @@ def test_fits(budget, repeats):
         assert fit.tokens == budget
 
 
+def test_capped_sources_leave_their_part_to_the_others(spark):
+    targets = spark.createDataFrame([("a", 0.5, 1), ("b", 0.3, 4), ("c", 0.1, 4), ("d", 0.1, 2), ("e", None, 2), ("b", 0.2, 9), (None, 0.5, 1)], "source string, target_share double, max_repeats int")
+    sizes = spark.createDataFrame([("a", 100), ("b", 500), ("c", 400), ("x", 0)], "source string, size long")
+    got = {r["source"]: r["budget_tokens"] for r in M.budgets(targets, sizes, 1000).collect()}
+    assert got == {"a": 100, "b": 675, "c": 225, "d": 0, "e": 0}
+    short = {r["source"]: r["budget_tokens"] for r in M.budgets(targets.filter("source = 'a' or source = 'd'"), sizes, 1000).collect()}
+    assert short == {"a": 100, "d": 0}
+
+
 def test_mixture(spark):
     rows = [(i, "слово " * (5 + i % 40), ("a", "b", "c", None)[i % 4]) for i in range(800)] + [(900, None, "a"), (901, "", "b")]
     docs = spark.createDataFrame([(*r, 7) for r in rows], "doc_id long, text string, source string, n_tokens long")
@@ -146,7 +155,8 @@ def test_mixture(spark):
     by = {r["source"]: r for r in shares.collect()}
     assert set(by) == {"a", "b", "c", "d"} and by["d"]["tokens"] == 0
     assert {s: by[s]["tokens"] for s in taken} == taken
-    assert by["a"]["tokens"] == by["a"]["budget_tokens"] and by["c"]["tokens"] == by["c"]["budget_tokens"]
+    # texts of one word repeated have few lengths, so a budget may lie between two sums
+    assert all(0 <= by[s]["budget_tokens"] - by[s]["tokens"] <= 2 for s in "ac")
     assert by["b"]["tokens"] <= by["b"]["budget_tokens"]
     again, _ = M.mix(docs, targets)
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, chosen.collect()))
