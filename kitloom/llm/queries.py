@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import canonlist, encodings, leakage, mixture, repetition, survivors, truncation, uniform
+from . import canonlist, divergence, encodings, leakage, mixture, repetition, survivors, truncation, uniform
 
 
 def _records(spark: SparkSession, d: str, name: str, key: str) -> DataFrame:
@@ -102,7 +102,11 @@ def p10_share(spark: SparkSession, d: str) -> DataFrame:
     return repetition.repetition_share(table(spark, d, "documents"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_uniform": p1_uniform, "p2_found": p2_found, "p2_restored": p2_restored, "p4_found": p4_found, "p4_golden": p4_golden, "p5_found": p5_found, "p5_unmatched": p5_unmatched, "p6_found": p6_found, "p6_rates": p6_rates, "p8_found": p8_found, "p8_report": p8_report, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_share": p10_share}
+def p10_divergence(spark: SparkSession, d: str) -> DataFrame:
+    return divergence.divergence(table(spark, d, "documents"))
+
+
+QUERIES = {"p1_found": p1_found, "p1_uniform": p1_uniform, "p2_found": p2_found, "p2_restored": p2_restored, "p4_found": p4_found, "p4_golden": p4_golden, "p5_found": p5_found, "p5_unmatched": p5_unmatched, "p6_found": p6_found, "p6_rates": p6_rates, "p8_found": p8_found, "p8_report": p8_report, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_share": p10_share, "p10_divergence": p10_divergence}
 
 _GRAMS8 = r"""
 WITH w AS (

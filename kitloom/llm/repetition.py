@@ -2,7 +2,7 @@
 
 A word is repeated if it belongs to a run of `run` consecutive words that already began earlier in the document (the runs
 may overlap). Words of digits only are left out before runs are formed. A comparison of histograms with a language
-reference cannot tell which words are repeats, so the share is counted exactly from the runs themselves.
+reference (`divergence.py`) cannot tell which words are repeats, so the share is counted exactly from the runs themselves.
 
 Defined cases: null and empty texts have 0 words and share 0.0; texts shorter than a run have share 0.0; repeated
 documents get a row each; other input columns are ignored.
