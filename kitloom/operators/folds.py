@@ -5,46 +5,76 @@ A text is the unit of work, so these scale with the number of texts; none of the
 
 from __future__ import annotations
 
+import heapq
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Callable, Iterable
 from itertools import pairwise
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 REPEAT_MARK = "[truncated-repeat]"
-_SHORT_LOOP = re.compile(r"([^\n]{1,39}?[;\n]\s*)\1{5,}")
-_LONG_LOOP = re.compile(r"(.{6,80}?)\1{6,}")
 _NUMBER = re.compile(r"-?[0-9]+(?:[.,][0-9]+)?")
-
-
-def tail_loop(text: str, shortest: int = 12, longest: int = 120, repeats: int = 3) -> int | None:
-    """Where a text's looping tail may be cut: after `repeats` copies of the longest unit that repeats so often."""
-    for size in range(min(longest, len(text) // (repeats + 1)), shortest - 1, -1):
-        unit = text[-size:]
-        if not unit.strip():
+# What counts as a loop in a text: units of a cell or line and of any signs, with their numbers of copies.
+CELL_LOOP = re.compile(r"((?:[^\n]{2,40}?(?:;|\n))\s*)\1{5,}")
+ANY_LOOP = re.compile(r"(.{6,80}?)\1{6,}")
+LONG_SPACE = re.compile(r"\s{20}")
+TAIL_UNITS, TAIL_COPIES, LEAST_TEXT = range(12, 121), 3, 40
+
+
+def periodic(values: np.ndarray, period: int) -> list[tuple[int, int]]:
+    """Maximal stretches (start, end) in which every value equals the one a period before it, at least two periods long."""
+    same = np.concatenate([[0], (values[period:] == values[:-period]).view(np.int8), [0]])
+    edges = np.flatnonzero(np.diff(same))
+    return [(a, b + period) for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True) if b - a >= period]
+
+
+def has_copies(codes: np.ndarray, units: range, copies: int) -> bool:
+    """Whether some unit stands so many times in a row."""
+    for unit in units:
+        least = unit * (copies - 1)
+        if least + unit > len(codes):
+            return False
+        same = codes[unit:] == codes[:-unit]
+        if np.count_nonzero(same) >= least:
+            breaks = np.flatnonzero(~same)
+            if np.diff(np.concatenate([[-1], breaks, [len(same)]])).max() > least:
+                return True
+    return False
+
+
+def looping_tail(codes: np.ndarray, text: str) -> tuple[int, int] | None:
+    """(start, unit) of the copies of the longest unit that a text ends with often enough."""
+    for unit in reversed(TAIL_UNITS):
+        if unit * (TAIL_COPIES + 1) > len(codes):
             continue
-        start = len(text)
-        while start >= size and text.startswith(unit, start - size):
-            start -= size
-        if len(text) - start >= repeats * size:
-            return start + repeats * size
+        other = np.flatnonzero(codes[unit:] != codes[:-unit])
+        periods = (len(codes) - (int(other[-1]) + 1 if len(other) else 0)) // unit
+        if periods >= TAIL_COPIES and not text[-unit:].isspace():
+            return len(codes) - periods * unit, unit
     return None
 
 
 def without_loops(text: str) -> str:
-    """Loops of a short unit keep two copies, looping tails three; a run of empty cells is no loop."""
-    if len(text) < 40:
+    """Loops of a cell or line keep two copies, looping tails three, other loops two; a run of empty cells is no loop."""
+    if len(text) < LEAST_TEXT:
         return text
-    if m := _SHORT_LOOP.search(text):
-        return f"{text[: m.start()]}{(m[1] * 2).rstrip()}\n{REPEAT_MARK}\n{text[m.end() :]}".strip()
-    if (cut := tail_loop(text)) is not None:
-        return f"{text[:cut].rstrip()}\n{REPEAT_MARK}"
-    m = _LONG_LOOP.search(text)
-    if m and not re.fullmatch(r"[\s|]+", m[1]):
-        return f"{text[: m.start()]}{m[1] * 2}\n{REPEAT_MARK}\n{text[m.end() :]}".strip()
-    return text
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    # the patterns are tried only where their copies can be: a unit of a cell is longer than that by spaces alone
+    cell = CELL_LOOP.search(text) if has_copies(codes, range(3, 64), 6) or LONG_SPACE.search(text) else None
+    tail = looping_tail(codes, text) if cell is None else None
+    any_loop = ANY_LOOP.search(text) if cell is None and tail is None and has_copies(codes, range(6, 81), 7) else None
+    if tail is not None:
+        start, unit = tail
+        return f"{text[: start + TAIL_COPIES * unit].rstrip()}\n{REPEAT_MARK}"
+    loop = cell or any_loop
+    if loop is None or not loop[1].strip(" |\t\n"):
+        return text
+    before, after, kept = text[: loop.start()], text[loop.end() :], loop[1] * 2
+    return f"{before}{kept.rstrip() if cell else kept}\n{REPEAT_MARK}\n{after}".strip()
 
 
 def without_progressions(text: str, min_run: int = 12, gap: int = 3) -> str:
@@ -74,54 +104,45 @@ def _progression(line: str, min_run: int, gap: int) -> str:
 
 
 def without_cycles(text: str, longest: int = 6, cycles: int = 4) -> str:
-    """Blocks of two to `longest` lines that repeat `cycles` times or more keep one copy and a note."""
+    """Blocks of two to `longest` lines that repeat `cycles` times or more keep one copy and a note.
+
+    Of overlapping stretches the one that starts first goes first, of equal starts the one of the shorter block.
+    """
     lines = text.split("\n")
-    keys = [" ".join(x.lower().split()) for x in lines]
-    out, i = [], 0
-    while i < len(lines):
-        for period in range(2, longest + 1):
-            block = keys[i : i + period]
-            times = 1
-            while len(block) == period and any(block) and keys[i + times * period : i + (times + 1) * period] == block:
-                times += 1
-            if times >= cycles:
-                out += [*lines[i : i + period], f"[truncated-cycle: блок из {period} строк повторён {times} раз]"]
-                i += times * period
-                break
-        else:
-            out.append(lines[i])
-            i += 1
-    return "\n".join(out)
+    numbers: dict[str, int] = {}
+    keys = np.array([numbers.setdefault(" ".join(x.lower().split()), len(numbers)) for x in lines])
+    open_ = [(start, period, end) for period in range(2, longest + 1) if period < len(keys) for start, end in periodic(keys, period) if end - start >= period * cycles]
+    heapq.heapify(open_)
+    blank, done, out = numbers.get(""), 0, []
+    while open_:
+        start, period, end = heapq.heappop(open_)
+        if start < done:
+            if end - done >= period * cycles:
+                heapq.heappush(open_, (done, period, end))
+            continue
+        if (keys[start : start + period] == blank).all():
+            continue
+        times = (end - start) // period
+        out += [*lines[done : start + period], f"[truncated-cycle: блок из {period} строк повторён {times} раз]"]
+        done = start + times * period
+    return "\n".join([*out, *lines[done:]])
 
 
 def without_phrase_repeats(text: str, min_len: int = 60, min_repeats: int = 4, phrase: int = 6) -> str:
-    """In long lines and cells, phrases between commas that recur so often stay once."""
-
-    def thin(s: str) -> str:
-        pieces = re.split(r"\s*[,;]\s*", s)
-        times: dict[str, int] = {}
-        for p in pieces:
-            times[p.lower()] = times.get(p.lower(), 0) + 1
-        if not any(n >= min_repeats and len(p) >= phrase for p, n in times.items()):
-            return s
-        kept: dict[str, str] = {}
-        for p in pieces:
-            kept.setdefault(p.lower(), p)
-        return ", ".join(kept.values())
-
-    out = []
-    for line in text.split("\n"):
-        bare = line.strip()
-        if len(bare) < min_len:
-            out.append(line)
-        elif bare.startswith("|"):
-            cells = [c.strip() for c in bare.strip("|").split("|")]
-            thinned = [thin(c) if len(c) >= min_len else c for c in cells]
-            out.append(line if thinned == cells else f"| {' | '.join(thinned)} |")
-        else:
-            thinned = thin(bare)
-            out.append(line if thinned == bare else thinned)
-    return "\n".join(out)
+    """In long lines, and in long cells of a table row where they stand, phrases between commas that recur stay once."""
+
+    def thinned(found: re.Match[str]) -> str:
+        whole = found[0]
+        bare = whole.strip()
+        pieces = [p.strip() for p in re.split("[,;]", bare)]
+        times = Counter(p.lower() for p in pieces)
+        if len(bare) < min_len or max((n for p, n in times.items() if len(p) >= phrase), default=0) < min_repeats:
+            return whole
+        first = {p.lower(): p for p in reversed(pieces)}
+        kept = ", ".join(first[k] for k in times)
+        return whole.replace(bare, kept) if whole.startswith(" ") else kept
+
+    return re.sub(r"(?m)^(?!\s*\|).{%d,}$|(?<=\|)[^|\n]{%d,}(?=\||$)" % (min_len, min_len), thinned, text)
 
 
 def without_error_stubs(text: str, start: str = "[error") -> tuple[str, int]:

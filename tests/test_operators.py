@@ -80,6 +80,11 @@ def test_folds():
     assert folds.without_progressions("1, 5, 2") == "1, 5, 2"
     assert folds.without_cycles("\n".join(["а", "б"] * 5 + ["в"])) == "а\nб\n[truncated-cycle: блок из 2 строк повторён 5 раз]\nв"
     assert folds.without_phrase_repeats(", ".join(["с утилизацией", "с переработкой"] * 5)) == "с утилизацией, с переработкой"
+    row = "| 1 | " + ", ".join(["с утилизацией", "с переработкой"] * 5) + " | да |"
+    assert folds.without_phrase_repeats(row) == "| 1 | с утилизацией, с переработкой | да |"
+    assert folds.without_phrase_repeats(", ".join(f"фраза номер {k}" for k in range(9))).count(",") == 8
+    assert folds.without_cycles("\n".join(["а", "б", "в"] * 4 + ["б", "в"] * 3)) == "а\nб\nв\n[truncated-cycle: блок из 3 строк повторён 4 раз]\nб\nв\nб\nв\nб\nв"
+    assert folds.without_cycles("\n".join(["", ""] * 9 + ["к"])).count("\n") == 18
     assert folds.without_error_stubs("а [error (x [y]) z] б") == ("а  б", 1)
     assert folds.wrapped("один два три", 60, 10) == "один два\nтри"
     assert folds.unescaped("\\U+0416к") == "Жк"
@@ -340,3 +345,26 @@ def test_block_matches_fail_closed(spark):
     inst = spark.createDataFrame([("a", "d", 1, 1.0, 1.0, "x"), ("b", "d", 1, 4.5, 4.5, "s1"), ("c", "d", 2, 1.0, 1.0, "s1"), ("e", "d", 2, 1.0, 1.0, "s2"), ("f", "d", 2, None, None, None), ("g", "d", 1, 5.0, 5.0, "s1")], "id string, document_id string, page int, x double, y double, signature string")
     got = {r["id"]: (r["legend_id"], r["reason"]) for r in Y.block_matches(inst, legends).collect()}
     assert got == {"a": ("L1", "exemplar"), "b": (None, "several boxes"), "c": ("L1", "signature"), "e": (None, "ambiguous"), "f": (None, "missing"), "g": ("L2", "exemplar")}
+
+
+def test_periodic_stretches_agree_with_brute_force():
+    import random
+
+    import numpy as np
+
+    rng = random.Random(5)
+    for _ in range(200):
+        values = [rng.choice("ab") for _ in range(rng.randrange(3, 30))]
+        for period in (1, 2, 3):
+            if period >= len(values):
+                continue
+            want = []
+            for i in range(len(values)):
+                same = lambda k, i=i: k + period < len(values) and values[k] == values[k + period]  # noqa: B023, E731
+                if same(i) and (i == 0 or values[i - 1] != values[i - 1 + period]):
+                    end = i
+                    while same(end):
+                        end += 1
+                    if end - i >= period:
+                        want.append((i, end + period))
+            assert folds.periodic(np.array(values), period) == want
