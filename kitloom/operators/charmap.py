@@ -22,12 +22,23 @@ def word_counts(df: DataFrame, text: str = "text") -> DataFrame:
 def votes(broken: DataFrame, known: DataFrame, mapping: dict[str, str]) -> DataFrame:
     """(broken_char, char, n, longest) of words with a single fitting known word."""
     decoded = F.translate("word", "".join(mapping), "".join(mapping.values())) if mapping else F.col("word")
-    # a word's mask has its broken letters as full stops; words meet on length and mask of the other side
     masked = broken.select(F.col("word").alias("raw"), decoded.alias("seen")).withColumn("len", F.length("seen")).withColumn("mask", F.regexp_replace("seen", BROKEN, "."))
-    anchors = masked.withColumn("at", F.array_position(F.transform(F.split("mask", ""), lambda c: c != "."), True)).withColumn("letter", F.when(F.col("at") > 0, F.substring("mask", F.col("at"), F.lit(1))))
-    places = known.select(F.col("word").alias("target"), F.length("word").alias("len"), F.posexplode(F.split("word", "")).alias("p", "letter"))
-    hit = anchors.filter("at > 0").join(places.withColumn("at", (F.col("p") + 1).cast("long")).drop("p"), ["len", "at", "letter"]).filter(F.rlike("target", F.concat(F.lit("^"), F.col("mask"), F.lit("$"))))
-    single = hit.groupBy("raw", "seen").agg(F.count("*").alias("n"), F.min("target").alias("target")).filter("n = 1")
+    letters = F.filter(F.transform(F.split("mask", ""), lambda c, i: F.struct((i + 1).alias("at"), c.alias("letter"))), lambda x: x["letter"] != ".")
+    anchored = masked.withColumn("known", letters).filter(F.size("known") > 0).withColumn("n_known", F.size("known")).withColumn("a", F.element_at("known", 1)).withColumn("b", F.element_at("known", -1))
+    words = known.select(F.col("word").alias("target"), F.length("word").alias("len"))
+    spots = words.withColumn("each", F.transform(F.split("target", ""), lambda c, i: F.struct((i + 1).alias("at"), c.alias("letter"))))
+    one, ends = spots.select("target", "len", F.explode("each").alias("a"), "each"), ["len", "a", "b"]
+    # one known letter: what counts is how many words have it at its place
+    single_owner = one.groupBy("len", "a").agg(F.count("*").alias("n"), F.min("target").alias("target"))
+    lone = anchored.filter("n_known = 1").join(single_owner, ["len", "a"]).select("raw", "seen", "n", "target")
+    # more: words meet on the first and the last of them, as many letters apart; with two that is all
+    two = one.select("target", "len", "a", F.explode(F.expr("filter(each, x -> x.at > a.at)")).alias("b"))
+    pair_owner = two.groupBy(*ends).agg(F.count("*").alias("n"), F.min("target").alias("target"))
+    pair = anchored.filter("n_known = 2").join(pair_owner, ends).select("raw", "seen", "n", "target")
+    wanted = anchored.filter("n_known > 2")
+    fits = wanted.join(two.join(wanted.select(*ends).distinct(), ends, "left_semi"), ends).filter(F.rlike("target", F.concat(F.lit("^"), F.col("mask"), F.lit("$"))))
+    many = fits.groupBy("raw", "seen").agg(F.count("*").alias("n"), F.min("target").alias("target"))
+    single = lone.unionByName(pair).unionByName(many.select("raw", "seen", "n", "target")).filter("n = 1")
     pairs = single.select("raw", F.explode(F.zip_with(F.split("seen", ""), F.split("target", ""), lambda a, b: F.struct(a.alias("a"), b.alias("b")))).alias("p")).filter(F.col("p.a").rlike(f"^{BROKEN}$"))
     return pairs.groupBy(F.col("p.a").alias("broken_char"), F.col("p.b").alias("char")).agg(F.count("*").alias("n"), F.max(F.length("raw")).alias("longest"))
 

@@ -99,28 +99,29 @@ def text_lines(items: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
 
 
 def outermost(boxes: DataFrame, keys: list[str], box_id: str, cell: float) -> DataFrame:
-    """Boxes that lie in no larger box of their key; candidates meet on the grid cells of the larger box."""
+    """Boxes that lie in no larger box of their key; a box meets those that contain its lower left corner."""
+    from .matching import points_in_boxes
+
     area = (F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0"))
-    sized = boxes.withColumn("area", area)
-    cells = lambda lo, hi: F.sequence(F.floor(F.col(lo) / cell).cast("long"), F.floor(F.col(hi) / cell).cast("long"))
-    outer = sized.select(*keys, F.col(box_id).alias("o_id"), *[F.col(c).alias(f"o_{c}") for c in ("x0", "y0", "x1", "y1", "area")], F.explode(cells("x0", "x1")).alias("cx"), cells("y0", "y1").alias("ys")).withColumn("cy", F.explode("ys")).drop("ys")
-    inner = sized.withColumn("cx", F.floor(F.col("x0") / cell).cast("long")).withColumn("cy", F.floor(F.col("y0") / cell).cast("long"))
-    within = (F.col("x0") >= F.col("o_x0")) & (F.col("y0") >= F.col("o_y0")) & (F.col("x1") <= F.col("o_x1")) & (F.col("y1") <= F.col("o_y1"))
-    larger = (F.col("o_area") > F.col("area")) | ((F.col("o_area") == F.col("area")) & (F.col("o_id") < F.col(box_id)))
-    return sized.join(inner.join(outer, [*keys, "cx", "cy"]).filter(within & larger).select(*keys, box_id).distinct(), [*keys, box_id], "left_anti").drop("area")
+    corners = boxes.select(*keys, F.col(box_id).alias("__id"), F.col("x0").alias("x"), F.col("y0").alias("y"), F.col("x1").alias("__x1"), F.col("y1").alias("__y1"), area.alias("__area"))
+    pairs = points_in_boxes(corners, boxes.select(*keys, box_id, "x0", "y0", "x1", "y1"), keys, cell=cell)
+    larger = (area > F.col("__area")) | ((area == F.col("__area")) & (F.col(box_id) < F.col("__id")))
+    inner = pairs.filter(larger & (F.col("__x1") <= F.col("x1")) & (F.col("__y1") <= F.col("y1"))).select(*keys, F.col("__id").alias(box_id)).distinct()
+    return boxes.join(inner, [*keys, box_id], "left_anti")
 
 
-def components(nodes: DataFrame, edges: DataFrame, node: str, a: str, b: str, rounds: int = 20) -> DataFrame:
+def components(nodes: DataFrame, edges: DataFrame, node: str, a: str, b: str) -> DataFrame:
     """(node, component): the smallest node reachable over edges, by label propagation with pointer jumping.
 
-    Every round is a few shuffles of labels and edges; its state is written to the checkpoint folder. Stops when no label
-    changes; rounds bounds the work of a defective input and raises when it is reached.
+    Every round is a few shuffles of labels and edges; its state is written to the checkpoint folder. Labels only fall, and
+    jumping halves the way to the smallest one, so the rounds grow with the logarithm of the longest path; it stops when no
+    label changes.
     """
     from ..session import cut_lineage
 
     both = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).unionByName(edges.select(F.col(b).alias("u"), F.col(a).alias("v"))).distinct()
     labels = nodes.select(F.col(node).alias("u"), F.col(node).alias("c")).distinct()
-    for _ in range(rounds):
+    while True:
         around = both.join(labels.select(F.col("u").alias("v"), "c"), "v").select("u", "c")
         low = labels.unionByName(around).groupBy("u").agg(F.min("c").alias("n"))
         jumped = low.join(low.select(F.col("u").alias("n"), F.col("n").alias("nn")), "n", "left").select("u", F.coalesce("nn", "n").alias("n"))
@@ -128,7 +129,6 @@ def components(nodes: DataFrame, edges: DataFrame, node: str, a: str, b: str, ro
         if not step.filter("n <> c").limit(1).count():
             return step.select(F.col("u").alias(node), F.col("n").alias("component"))
         labels = step.select("u", F.col("n").alias("c"))
-    raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
 def span_text(numbers: DataFrame, keys: list[str], value: str) -> DataFrame:

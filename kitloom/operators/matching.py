@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 
 def unique_match(left: DataFrame, right: DataFrame, keys: list[str], value: str) -> DataFrame:
     """left with the value of the only right row group that owns its keys, and a reason: matched, ambiguous, missing.
@@ -17,9 +19,47 @@ def unique_match(left: DataFrame, right: DataFrame, keys: list[str], value: str)
     return joined.withColumn("reason", reason).withColumn(value, F.when(~F.col("__many"), F.col(value))).drop("__many")
 
 
+#: A term that more than a share of the right ids has is common; the shares that are tried one after the other.
+COMMON_SHARES, COMMON_LEAST = (0.02, 0.1), 20
+
+
+def top_overlaps(left: DataFrame, right: DataFrame, *, left_id: str, right_id: str, term: str = "term", k: int = 1, shares: tuple[float, ...] = COMMON_SHARES, least: int = COMMON_LEAST) -> DataFrame:
+    """(left_id, right_id, overlap): all pairs that can be among the k that share most terms, with their exact overlap.
+
+    Inputs (id, term) are distinct. Pairs are formed through rare terms only. A right id that shares no rare term with a left
+    id shares at most its common terms; so where the k-th best by rare terms has more, the pairs at hand are all that count,
+    and only those that could still reach it are compared in their common terms. Left ids for which that doesn't hold are
+    tried again with more terms counted as rare, the last of them with all.
+    """
+    other = cut_lineage(right.select(right_id, term))
+    uses = other.groupBy(term).agg(F.count("*").alias("__df"))
+    asked = cut_lineage(left.select(left_id, term).join(uses, term))
+    n = other.select(F.count_distinct(right_id)).first()[0]
+    out = None
+    for share in (*shares, None):
+        if share is None:
+            part = asked.join(other, term).groupBy(left_id, right_id).agg(F.count("*").alias("overlap"))
+            return part if out is None else out.unionByName(part)
+        common = F.col("__df") > max(float(least), share * n)
+        rare = cut_lineage(asked.filter(~common).join(other, term).groupBy(left_id, right_id).agg(F.count("*").alias("__rare")))
+        rank = F.row_number().over(Window.partitionBy(left_id).orderBy(F.desc("__rare")))
+        kth = rare.withColumn("__r", rank).filter(F.col("__r") == k).select(left_id, F.col("__rare").alias("__kth"))
+        most = asked.groupBy(left_id).agg(F.count_if(common).alias("__most"))
+        decided = cut_lineage(most.join(kth, left_id).filter("__kth > __most"))
+        hopeful = rare.join(decided, left_id).filter(F.col("__rare") + F.col("__most") >= F.col("__kth")).select(left_id, right_id, "__rare")
+        # a pair's common terms: the left id's are few, the right id is asked for each of them
+        more = hopeful.join(asked.filter(common).select(left_id, term), left_id).join(other, [right_id, term]).groupBy(left_id, right_id).agg(F.count("*").alias("__more"))
+        part = hopeful.join(more, [left_id, right_id], "left").select(left_id, right_id, (F.col("__rare") + F.coalesce("__more", F.lit(0))).alias("overlap"))
+        out = part if out is None else out.unionByName(part)
+        asked = cut_lineage(asked.join(decided.select(left_id), left_id, "left_anti"))
+        if asked.isEmpty():
+            return out
+    return out
+
+
 def max_overlap(left: DataFrame, right: DataFrame, *, left_id: str, right_id: str, term: str = "term") -> DataFrame:
     """Per left id the right id that shares most terms if it is the only such; inputs (id, term) distinct."""
-    shared = left.join(right, term).groupBy(left_id, right_id).agg(F.count("*").alias("overlap"))
+    shared = top_overlaps(left, right, left_id=left_id, right_id=right_id, term=term)
     best = shared.groupBy(left_id).agg(F.max("overlap").alias("overlap"))
     ties = shared.join(best, [left_id, "overlap"]).groupBy(left_id, "overlap").agg(F.min(right_id).alias(right_id), F.count("*").alias("ties"))
     return ties.select(left_id, F.when(F.col("ties") == 1, F.col(right_id)).alias(right_id), "overlap", "ties")
@@ -39,16 +79,22 @@ def prefix_matches(heads: DataFrame, wholes: DataFrame, *, head: str, whole: str
     return following.filter(F.col("h") & F.startswith("whole", F.col("t"))).select(F.col("t").alias("head"), "whole")
 
 
-def _cells(low: Column, high: Column, cell: float) -> Column:
-    return F.sequence(F.floor(low / cell).cast("long"), F.floor(high / cell).cast("long"))
-
-
 def points_in_boxes(points: DataFrame, boxes: DataFrame, keys: list[str], *, cell: float, half_open: bool = False) -> DataFrame:
-    """Pairs of points (x, y) and boxes (x0, y0, x1, y1) that contain them, by equi-join on grid cells of the keys."""
-    tiled = boxes.filter("x0 <= x1 and y0 <= y1").withColumn("__cx", F.explode(_cells(F.col("x0"), F.col("x1"), cell))).withColumn("__cy", F.explode(_cells(F.col("y0"), F.col("y1"), cell)))
-    placed = points.filter("x is not null and y is not null").withColumn("__cx", F.floor(F.col("x") / cell).cast("long")).withColumn("__cy", F.floor(F.col("y") / cell).cast("long"))
+    """Pairs of points (x, y) and boxes (x0, y0, x1, y1) that contain them, by equi-join on grid cells of the keys.
+
+    A box lies on the grid whose cells are as wide as it is, of those that grow by fours from `cell`, so that it covers four
+    cells at most whatever its size; points meet the grids that boxes lie on.
+    """
+    size = F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"), F.lit(cell))
+    sized = boxes.filter("x0 <= x1 and y0 <= y1").withColumn("__level", F.ceil(F.log2(size / cell) / 2 - 1e-9).cast("int"))
+    # at most one level for each power of four between a cell and the largest number
+    levels = sorted(r[0] for r in sized.select("__level").distinct().collect() if r[0] is not None)
+    width = F.lit(cell) * F.pow(F.lit(4.0), F.col("__level"))
+    at = lambda c: F.floor(F.col(c) / width).cast("long")
+    tiled = sized.withColumn("__cx", F.explode(F.sequence(at("x0"), at("x1")))).withColumn("__cy", F.explode(F.sequence(at("y0"), at("y1"))))
+    placed = points.filter("x is not null and y is not null").withColumn("__level", F.explode(F.array(*map(F.lit, levels)).cast("array<int>"))).withColumn("__cx", at("x")).withColumn("__cy", at("y"))
     inside = "x >= x0 and y >= y0 and " + ("x < x1 and y < y1" if half_open else "x <= x1 and y <= y1")
-    return placed.join(tiled, [*keys, "__cx", "__cy"]).filter(inside).drop("__cx", "__cy")
+    return placed.join(tiled, [*keys, "__level", "__cx", "__cy"]).filter(inside).drop("__level", "__cx", "__cy")
 
 
 def nearest(left: DataFrame, right: DataFrame, keys: list[str], *, left_id: str, right_id: str, radius: float) -> DataFrame:
@@ -101,7 +147,8 @@ def zipped(left: DataFrame, right: DataFrame, keys: list[str], left_order: str,
 
 
 def greedy_claims(left: DataFrame, right: DataFrame, keys: list[str], *, left_id: str, right_id: str, value: str, radius: float, tie: float = 0.2) -> DataFrame:
-    """Each left row in order takes the nearest right row that none before took; near ties of other value are ambiguous.
+    """Each left row in order takes the nearest right row that none before took; near ties of other value are ambiguous, and
+    a left row with none left is missing. Ids of left are unique.
 
     The candidates are found by cells; only the claims of one key's rows are folded in order, as sorted partitions stream by.
     """
@@ -145,4 +192,7 @@ def greedy_claims(left: DataFrame, right: DataFrame, keys: list[str], *, left_id
 
     kinds = ", ".join(f"{k} {left.schema[k].dataType.simpleString()}" for k in keys)
     schema = f"{kinds}, {left_id} {left.schema[left_id].dataType.simpleString()}, {right_id} {right.schema[right_id].dataType.simpleString()}, value string, status string"
-    return pairs.repartition(*keys).sortWithinPartitions(*keys, left_id, "distance", right_id).mapInPandas(fold, schema)
+    claims = pairs.repartition(*keys).sortWithinPartitions(*keys, left_id, "distance", right_id).mapInPandas(fold, schema)
+    # rows with nothing near
+    every = left.select(*keys, left_id).join(claims.drop(*keys), left_id, "left").withColumn("status", F.coalesce("status", F.lit("missing")))
+    return every.select(*keys, left_id, right_id, "value", "status")

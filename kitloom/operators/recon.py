@@ -163,9 +163,13 @@ def missing_texts(texts: DataFrame, known: DataFrame, keys: list[str], text: str
     """
     folded = lambda df: df.filter(F.col(text).isNotNull()).select(*keys, T.fold(F.col(text)).alias("t")).filter("t <> ''").distinct()
     asked = folded(texts).withColumn("size", F.least(F.length("t"), F.lit(shingle))).withColumn("piece", F.expr("left(t, size)"))
-    places = folded(known).select(*keys, F.col("t").alias("whole"), F.explode(F.sequence(F.lit(1), F.least(F.length("t"), F.lit(shingle)))).alias("size"))
-    pieces = places.withColumn("at", F.explode(F.sequence(F.lit(1), F.length("whole") - F.col("size") + 1))).withColumn("piece", F.expr("substring(whole, at, size)"))
-    hit = asked.join(pieces.select(*keys, "whole", "size", "piece").distinct(), [*keys, "size", "piece"]).filter(F.contains("whole", F.col("t")))
+    wholes = folded(known).withColumnRenamed("t", "whole").withColumn("whole_id", F.xxhash64("whole"))
+    # pieces carry the id of their text only
+    sizes = F.explode(F.sequence(F.lit(1), F.least(F.length("whole"), F.lit(shingle)))).alias("size")
+    cut = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("whole") - F.col("size") + 1), lambda at: F.substring(F.col("whole"), at, F.col("size"))))
+    pieces = wholes.select(*keys, "whole_id", "whole", sizes).select(*keys, "whole_id", "size", F.explode(cut).alias("piece"))
+    met = asked.join(pieces, [*keys, "size", "piece"]).select(*keys, "t", "whole_id").distinct()
+    hit = met.join(wholes, [*keys, "whole_id"]).filter(F.contains("whole", F.col("t")))
     return asked.select(*keys, "t").join(hit.select(*keys, "t").distinct(), [*keys, "t"], "left_anti").withColumnRenamed("t", text)
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .matching import top_overlaps
+
 
 def ratio(a: Column, b: Column) -> Column:
     return F.when(b > 0, a / b)
@@ -43,7 +45,7 @@ def duplicate_line_ratio(lines: DataFrame, keys: list[str], min_len: int = 12) -
 def best_matches(candidates: DataFrame, queries: DataFrame, *, query: str, candidate: str, k: int = 5) -> DataFrame:
     """Per query the k candidates with the highest token recall; inputs (id, token) distinct, ties to the smaller id."""
     size = queries.groupBy(query).agg(F.count("*").alias("size"))
-    hits = queries.join(candidates, "token").groupBy(query, candidate).agg(F.count("*").alias("hits"))
+    hits = top_overlaps(queries, candidates, left_id=query, right_id=candidate, term="token", k=k).withColumnRenamed("overlap", "hits")
     rank = F.row_number().over(Window.partitionBy(query).orderBy(F.desc("hits"), candidate))
     return hits.withColumn("rank", rank).filter(F.col("rank") <= k).join(size, query).select(query, candidate, "rank", "hits", ratio(F.col("hits"), F.col("size")).alias("recall"))
 

@@ -84,7 +84,7 @@ def sheet_views(spark: SparkSession, d: str) -> DataFrame:
     return Y.views(table(spark, d, "text_items").filter("document_id is not null and sheet is not null")).select("document_id", "sheet", "view", "title")
 
 
-def sheet_notes(spark: SparkSession, d: str) -> DataFrame:
+def layer_notes(spark: SparkSession, d: str) -> DataFrame:
     """Notes of a page by its notes layer: what stands below the layer's uppermost text."""
     notes = table(spark, d, "note_texts").filter("layer = 'ПРИМЕЧАНИЯ' and document_id is not null").dropDuplicates(["id"])
     head = notes.groupBy("document_id", "page").agg(F.max("y").alias("top"))
@@ -95,7 +95,7 @@ def soil_labels(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "legend_entries").filter("label is not null").groupBy(C.is_soil_fill(F.col("label")).alias("soil"), C.is_wrapped_label(F.array("label")).alias("wrapped")).agg(F.count("*").alias("n"))
 
 
-QUERIES = {f.__name__: f for f in (fused_pages, heading_blocks, anchor_lines, shown_labels, missing_titles, claimed_captions, frame_signatures, box_texts, row_clusters, unused_signatures, lost_fields, sheet_views, sheet_notes, soil_labels)}
+QUERIES = {f.__name__: f for f in (fused_pages, heading_blocks, anchor_lines, shown_labels, missing_titles, claimed_captions, frame_signatures, box_texts, row_clusters, unused_signatures, lost_fields, sheet_views, layer_notes, soil_labels)}
 
 _FOLDED = f"lower({_SQ.format(c='{c}')})"
 ORACLE = {
@@ -109,6 +109,6 @@ UNION ALL SELECT doc_id, 1, 'Лист', 0, lines::INTEGER FROM n WHERE doc_id NO
     "box_texts": "WITH n AS (SELECT DISTINCT id, document_id, page, x, y, bbox, text FROM note_texts WHERE bbox IS NOT NULL AND text IS NOT NULL) SELECT c.id AS cell_id, (sum(length(p.text)) + count(*) - 1)::INTEGER AS chars FROM n c JOIN n p ON p.document_id = c.document_id AND p.page = c.page AND p.x >= c.bbox.x0 AND p.x <= c.bbox.x1 AND p.y >= c.bbox.y0 AND p.y <= c.bbox.y1 GROUP BY c.id",
     "unused_signatures": "WITH u AS (SELECT signature, count(*) AS n, list_sort(list(DISTINCT label)) AS c FROM legend_entries WHERE label IS NOT NULL AND signature IS NOT NULL AND signature NOT IN (SELECT signature FROM symbol_instances WHERE signature IS NOT NULL) GROUP BY signature) SELECT min(signature) AS signature, max(n) AS n FROM u GROUP BY c",
     "lost_fields": "WITH a AS (SELECT document_id, count(*) AS source_rows, count_if(coalesce(trim(sheets_total,' ') <> '', false))::BIGINT AS source_with FROM stamps_kit GROUP BY 1), b AS (SELECT document_id, count(*) AS parsed_rows, count_if(coalesce(trim(sheets_total,' ') <> '', false))::BIGINT AS parsed_with FROM stamps_archive GROUP BY 1), j AS (SELECT a.*, coalesce(parsed_rows, 0) AS parsed_rows, coalesce(parsed_with, 0) AS parsed_with FROM a LEFT JOIN b USING (document_id)) SELECT *, CASE WHEN parsed_with = 0 THEN 'lost' ELSE 'weak' END AS verdict FROM j WHERE source_with >= 10 AND source_with / source_rows >= 0.02 AND (parsed_with = 0 OR parsed_with / parsed_rows < source_with / source_rows / 4)",
-    "sheet_notes": "WITH n AS (SELECT DISTINCT id, document_id, page, y FROM note_texts WHERE layer = 'ПРИМЕЧАНИЯ' AND document_id IS NOT NULL), h AS (SELECT *, max(y) OVER (PARTITION BY document_id, page) AS top FROM n) SELECT document_id, page, id FROM h WHERE y < top",
+    "layer_notes": "WITH n AS (SELECT DISTINCT id, document_id, page, y FROM note_texts WHERE layer = 'ПРИМЕЧАНИЯ' AND document_id IS NOT NULL), h AS (SELECT *, max(y) OVER (PARTITION BY document_id, page) AS top FROM n) SELECT document_id, page, id FROM h WHERE y < top",
     "soil_labels": "SELECT regexp_matches(translate(lower(label), 'ёЁ', 'еЕ'), 'песок|песч|суглин|супес|глин|насып|почв|торф|щебен|гравий') AND NOT regexp_matches(translate(lower(label), 'ёЁ', 'еЕ'), 'вод|дата|уровень|границ|скважин') AS soil, length(label) >= 40 OR regexp_matches(lower(trim(label,' ')), '(,|-| и| в| на| с| для| из| по)$') AS wrapped, count(*) AS n FROM legend_entries WHERE label IS NOT NULL GROUP BY ALL",
 }

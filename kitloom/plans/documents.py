@@ -19,11 +19,6 @@ def folded_documents(spark: SparkSession, d: str) -> DataFrame:
     return folds.cleaned(table(spark, d, "documents").select("doc_id", "text")).select("doc_id", F.length("text").cast("long").alias("chars"), F.md5("text").alias("digest"))
 
 
-def assembled_kits(spark: SparkSession, d: str) -> DataFrame:
-    pages = table(spark, d, "documents").filter("kit is not null").groupBy("kit", "page").agg(F.min_by("text", "doc_id").alias("body"))
-    return writers.assembled(pages, ["kit"]).select("kit", F.length("text").cast("long").alias("chars"))
-
-
 def assembled_readings(spark: SparkSession, d: str) -> DataFrame:
     """Kits from all readings of a page: after each reading the lines of the next that no earlier one has."""
     docs = table(spark, d, "documents").filter("kit is not null")
@@ -52,8 +47,8 @@ def charmap_coverage(spark: SparkSession, d: str) -> DataFrame:
     items = table(spark, d, "text_items").filter("text is not null")
     words = charmap.word_counts(items)
     broken = words.filter(~F.col("word").rlike("^[A-Za-zА-Яа-яЁё]+$"))
-    known = words.filter(F.col("word").rlike("^[а-яё]{4,}$") & (F.col("n") >= 3))
-    return charmap.coverage(items, charmap.build_mapping(broken, known, rounds=4), ["source"])
+    known = words.filter(F.col("word").rlike("^[а-яё]{4,}$"))
+    return charmap.coverage(items, charmap.build_mapping(broken, known), ["source"])
 
 
 def charmap_shifts(spark: SparkSession, d: str) -> DataFrame:
@@ -61,10 +56,9 @@ def charmap_shifts(spark: SparkSession, d: str) -> DataFrame:
     return charmap.shifts(words.filter(~F.col("word").rlike("[A-Za-zА-Яа-яЁё]")), words.filter(F.col("word").rlike("^[а-яё]{4,}$")))
 
 
-QUERIES = {f.__name__: f for f in (folded_documents, assembled_kits, assembled_readings, kit_contents, kit_json, rebuilt_tables, charmap_coverage, charmap_shifts)}
+QUERIES = {f.__name__: f for f in (folded_documents, assembled_readings, kit_contents, kit_json, rebuilt_tables, charmap_coverage, charmap_shifts)}
 
 ORACLE = {
-    "assembled_kits": "WITH p AS (SELECT kit, page, arg_min(text, doc_id) FILTER (WHERE text IS NOT NULL) AS body, arg_min(coalesce(text, ''), doc_id) AS b FROM documents WHERE kit IS NOT NULL GROUP BY ALL) SELECT kit, sum(length('## Страница ' || page || chr(10) || chr(10) || b))::BIGINT + 2 * (count(*) - 1) AS chars FROM p GROUP BY kit",
     "assembled_readings": rf"""WITH ln AS (SELECT kit, page, doc_id, unnest(l) AS line, unnest(range(len(l))) AS pos FROM (SELECT kit, page, doc_id, string_split(replace(text, chr(13), ''), chr(10)) AS l FROM documents WHERE kit IS NOT NULL AND regexp_matches(text, '\S'))),
 f AS (SELECT *, min(doc_id) OVER (PARTITION BY kit, page, lower({_SQ.format(c='line')})) AS first FROM ln), b AS (SELECT kit, page, string_agg(line, chr(10) ORDER BY doc_id, pos) AS body FROM f WHERE doc_id = first GROUP BY ALL), p AS (SELECT DISTINCT kit, page FROM documents WHERE kit IS NOT NULL),
 a AS (SELECT kit, string_agg('## Страница ' || page || chr(10) || chr(10) || coalesce(body, ''), chr(10) || chr(10) ORDER BY page) AS text FROM p LEFT JOIN b USING (kit, page) GROUP BY kit) SELECT kit, length(text)::BIGINT AS chars, md5(text) AS digest FROM a""",

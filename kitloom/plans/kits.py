@@ -76,13 +76,8 @@ def added_lines(spark: SparkSession, d: str) -> DataFrame:
     return R.added_lines(a, b, ["kit"]).groupBy("kit").agg(F.count("*").alias("lines"))
 
 
-def fresh_lines(spark: SparkSession, d: str) -> DataFrame:
-    a, b = (L.lines(x, ["kit", "page"]).groupBy("kit", "page", "pos").agg(F.min("line").alias("line")) for x in _sides(spark, d))
-    return R.fresh_lines(a, b, ["kit", "page"])
-
-
 def fresh_readings(spark: SparkSession, d: str) -> DataFrame:
-    """Fresh lines of every reading; fresh_lines has the least line of all readings at a position."""
+    """Fresh lines of every reading of a page."""
     a, b = (L.lines(x, ["kit", "page", "doc_id"]).withColumn("pos", F.struct("doc_id", "pos")).drop("doc_id") for x in _sides(spark, d))
     return R.fresh_lines(a, b, ["kit", "page"]).select("kit", "page", "pos.doc_id", "pos.pos", "line")
 
@@ -131,7 +126,7 @@ def density(spark: SparkSession, d: str) -> DataFrame:
     return sums.withColumn("chars_per_fact", F.col("chars") / F.nullif("facts", F.lit(0)))
 
 
-QUERIES = {f.__name__: f for f in (sheet_tree, unnumbered_variants, section_heads, field_conflicts, duplicate_sheets, number_conflicts, kit_token_sets, kit_jaccard, united_lines, added_lines, fresh_lines, fresh_readings, token_recall, duplicate_line_ratio, best_reference_pages, unsupported_facts, page_kind_scores, checked_pages, density)}
+QUERIES = {f.__name__: f for f in (sheet_tree, unnumbered_variants, section_heads, field_conflicts, duplicate_sheets, number_conflicts, kit_token_sets, kit_jaccard, united_lines, added_lines, fresh_readings, token_recall, duplicate_line_ratio, best_reference_pages, unsupported_facts, page_kind_scores, checked_pages, density)}
 
 _CODE = "trim(coalesce(stamp.code, ''), ' ')"
 _PLACED = f"""WITH v AS (SELECT variant_id, source_kind, idx, trim(coalesce(stamp.title,''),' ') AS title, trim(coalesce(stamp.stage,''),' ') AS stage, trim(coalesce(stamp.org,''),' ') AS org, trim(coalesce(stamp.object_name,''),' ') AS object_name, trim(coalesce(stamp.sheet,''),' ') AS number, {_CODE} AS code,
@@ -170,10 +165,6 @@ SELECT item_id, doc_id, row_number() OVER (PARTITION BY item_id ORDER BY hits DE
 s AS (SELECT *, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) WHEN fn = 0 THEN 1.0 ELSE 0.0 END AS precision, CASE WHEN tp + fn > 0 THEN tp / (tp + fn) WHEN fp = 0 THEN 1.0 ELSE 0.0 END AS recall FROM c) SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1 FROM s""",
     "checked_pages": "SELECT source, count(*) AS pages, count_if(contains(text, 'Страница') AND NOT contains(text, '[mock]') AND (contains(lower(text), 'шаг') OR contains(lower(text), 'отм') OR contains(lower(text), 'площад'))) AS passed FROM documents WHERE text IS NOT NULL GROUP BY source",
     "density": f"WITH d AS (SELECT source, length(text) AS chars, len(list_distinct(list_transform(regexp_extract_all(text, '{T.FACT}'), lambda x: lower(translate(regexp_replace(x, '[ \\t\\n\\r\\f]+', '', 'g'), 'Ø,', '∅.'))))) AS facts FROM documents WHERE text IS NOT NULL AND source IS NOT NULL) SELECT source, sum(chars)::BIGINT AS chars, sum(facts)::BIGINT AS facts, count(*) AS pages, sum(chars) / nullif(sum(facts), 0) AS chars_per_fact FROM d GROUP BY ROLLUP (source)",
-    "fresh_lines": _SIDED + _KLN + f""", m AS (SELECT kit, page, pos, left_side, min(line) AS line FROM ln GROUP BY ALL), t AS (SELECT kit, page, pos, left_side, line, list_distinct(list_transform(regexp_extract_all(line, '{T.TOKEN}'), lambda x: lower(x))) AS ts FROM m), ev AS (SELECT kit, page, pos, left_side, unnest(ts) AS token FROM t),
-fr AS (SELECT DISTINCT a.kit, a.page, a.pos FROM ev a WHERE NOT a.left_side AND length(a.token) >= 3 AND NOT EXISTS (SELECT 1 FROM ev b WHERE b.left_side AND b.kit = a.kit AND b.page IS NOT DISTINCT FROM a.page AND b.token = a.token)),
-ov AS (SELECT kit, page, pos, max(n) AS n FROM (SELECT a.kit, a.page, a.pos, b.pos AS bp, count(*) AS n FROM ev a JOIN ev b ON b.left_side AND NOT a.left_side AND a.kit = b.kit AND a.page = b.page AND a.token = b.token GROUP BY ALL) GROUP BY kit, page, pos)
-SELECT t.kit, t.page, t.pos::INTEGER AS pos, t.line FROM t JOIN fr ON fr.kit = t.kit AND fr.page = t.page AND fr.pos = t.pos LEFT JOIN ov ON ov.kit = t.kit AND ov.page = t.page AND ov.pos = t.pos WHERE NOT t.left_side AND coalesce(ov.n, 0) < 0.6 * len(t.ts)""",
     "fresh_readings": _SIDED + _KLN + f""", t AS (SELECT kit, page, doc_id, pos, left_side, line, list_distinct(list_transform(regexp_extract_all(line, '{T.TOKEN}'), lambda x: lower(x))) AS ts FROM ln), ev AS (SELECT kit, page, doc_id, pos, left_side, unnest(ts) AS token FROM t),
 fr AS (SELECT DISTINCT a.kit, a.page, a.doc_id, a.pos FROM ev a WHERE NOT a.left_side AND length(a.token) >= 3 AND NOT EXISTS (SELECT 1 FROM ev b WHERE b.left_side AND b.kit = a.kit AND b.page IS NOT DISTINCT FROM a.page AND b.token = a.token)),
 ov AS (SELECT kit, page, doc_id, pos, max(n) AS n FROM (SELECT a.kit, a.page, a.doc_id, a.pos, b.doc_id AS bd, b.pos AS bp, count(*) AS n FROM ev a JOIN ev b ON b.left_side AND NOT a.left_side AND a.kit = b.kit AND a.page = b.page AND a.token = b.token GROUP BY ALL) GROUP BY kit, page, doc_id, pos)

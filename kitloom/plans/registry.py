@@ -23,7 +23,6 @@ TYPES = {
     "unsupported_facts": {"missing": _BIG},
     "page_kind_scores": {"tp": _BIG, "fp": _BIG, "fn": _BIG},
     "checked_pages": {"passed": _BIG},
-    "text_order": {"place": _INT},
     "symbol_types": {"confirmed": _BIG},
     "rebuilt_tables": {"table_no": _INT},
 }

@@ -79,13 +79,8 @@ def note_zones(spark: SparkSession, d: str) -> DataFrame:
     return n.groupBy(z.alias("zone")).agg(F.count("*").alias("n"))
 
 
-def text_order(spark: SparkSession, d: str) -> DataFrame:
-    items = _t(spark, d, "text_items").filter("x is not null and y is not null and text is not null")
-    return G.reading_order(items.select("document_id", "sheet", "x", "y", "text").distinct(), ["document_id", "sheet"]).filter("place <= 3").select("document_id", "sheet", "place", "text")
-
-
 def text_places(spark: SparkSession, d: str) -> DataFrame:
-    """The place of every caption of a sheet; text_order has the first three."""
+    """The place of every caption of a sheet."""
     items = _t(spark, d, "text_items").filter("x is not null and y is not null and text is not null")
     return G.reading_order(items.select("document_id", "sheet", "x", "y", "text").distinct(), ["document_id", "sheet"]).select("document_id", "sheet", "place", "text")
 
@@ -188,7 +183,7 @@ def job_outcomes(spark: SparkSession, d: str) -> DataFrame:
     return e.select("user_id", J.job_outcome(F.col("done") + F.col("failed"), F.col("done"), F.col("failed"), F.lit(False)).alias("outcome"))
 
 
-QUERIES = {f.__name__: f for f in (signature_matches, overlap_matches, cut_texts, texts_in_boxes, nearest_texts, schedule_notes, source_links, column_clusters, note_zones, text_order, text_places, text_line_groups, outer_boxes, linked_symbols, page_spans, file_catalog, project_catalog, unique_signatures, symbol_types, insert_roles, symbol_integrity, number_findings, layer_stats, finding_totals, changed_instances, lanes, latest_state, next_in_lane, pages_to_resume, event_page, event_sessions, hourly_events, job_outcomes)}
+QUERIES = {f.__name__: f for f in (signature_matches, overlap_matches, cut_texts, texts_in_boxes, nearest_texts, schedule_notes, source_links, column_clusters, note_zones, text_places, text_line_groups, outer_boxes, linked_symbols, page_spans, file_catalog, project_catalog, unique_signatures, symbol_types, insert_roles, symbol_integrity, number_findings, layer_stats, finding_totals, changed_instances, lanes, latest_state, next_in_lane, pages_to_resume, event_page, event_sessions, hourly_events, job_outcomes)}
 
 _LBL = "trim(regexp_replace(regexp_replace(translate(lower(label), 'ёЁ', 'еЕ'), '[^A-Za-zА-Яа-яЁё0-9]+', ' ', 'g'), '([0-9]) (мм|см|м|кв|л)( |$)', '\\1\\2\\3', 'g'), ' ')"
 _NAMED = f"WITH n AS (SELECT *, {_LBL} AS k FROM legend_entries WHERE label IS NOT NULL AND {_LBL} <> '')"
@@ -209,7 +204,6 @@ ORACLE = {
     "source_links": "WITH v AS (SELECT variant_id, nullif(job_id, '') AS job, nullif(run_dir, '') AS run FROM variants), h AS (SELECT a.variant_id, b.variant_id AS other FROM v a JOIN v b ON a.job = b.job UNION SELECT a.variant_id, b.variant_id FROM v a JOIN v b ON a.run = b.run), c AS (SELECT variant_id, count(DISTINCT other) AS n, min(other) AS other FROM h GROUP BY variant_id) SELECT v.variant_id, CASE WHEN n = 1 THEN other END AS other, CASE WHEN n IS NULL THEN 'missing' WHEN n = 1 THEN 'resolved' ELSE 'ambiguous' END AS status FROM v LEFT JOIN c USING (variant_id)",
     "column_clusters": "WITH t AS (SELECT DISTINCT document_id, sheet, x FROM text_items WHERE x IS NOT NULL), g AS (SELECT *, CASE WHEN x - lag(x) OVER w > 12 THEN 1 ELSE 0 END AS g FROM t WINDOW w AS (PARTITION BY document_id, sheet ORDER BY x)), c AS (SELECT *, sum(g) OVER (PARTITION BY document_id, sheet ORDER BY x)::BIGINT AS cluster FROM g) SELECT document_id, sheet, cluster, count(*) AS n, min(x) AS x0, max(x) AS x1 FROM c GROUP BY ALL",
     "note_zones": f"WITH z AS (SELECT (bbox.x0 + bbox.x1) / 2 / {SHEET_W} AS cx, (bbox.y0 + bbox.y1) / 2 / {SHEET_H} AS cy, (bbox.x1 - bbox.x0) / {SHEET_W} AS w, (bbox.y1 - bbox.y0) / {SHEET_H} AS h FROM note_texts WHERE bbox IS NOT NULL), n AS (SELECT CASE WHEN w >= 0.7 AND h >= 0.7 THEN 'по всему листу' ELSE NULL END AS whole, CASE WHEN cy < 1/3 THEN 'юг' WHEN cy > 2/3 THEN 'север' ELSE '' END AS v, CASE WHEN cx < 1/3 THEN 'запад' WHEN cx > 2/3 THEN 'восток' ELSE '' END AS h FROM z) SELECT coalesce(whole, CASE WHEN v <> '' AND h <> '' THEN v || 'о-' || h ELSE coalesce(nullif(v || h, ''), 'центр') END) AS zone, count(*) AS n FROM n GROUP BY 1",
-    "text_order": "WITH t AS (SELECT DISTINCT document_id, sheet, x, y, text FROM text_items WHERE x IS NOT NULL AND y IS NOT NULL AND text IS NOT NULL) SELECT document_id, sheet, row_number() OVER (PARTITION BY document_id, sheet ORDER BY y DESC, x, text) AS place, text FROM t QUALIFY place <= 3",
     "text_places": "WITH t AS (SELECT DISTINCT document_id, sheet, x, y, text FROM text_items WHERE x IS NOT NULL AND y IS NOT NULL AND text IS NOT NULL) SELECT document_id, sheet, (row_number() OVER (PARTITION BY document_id, sheet ORDER BY y DESC, x, text))::INTEGER AS place, text FROM t",
     "outer_boxes": "WITH b AS (SELECT DISTINCT document_id, page, id, bbox.x0 AS x0, bbox.y0 AS y0, bbox.x1 AS x1, bbox.y1 AS y1, (bbox.x1 - bbox.x0) * (bbox.y1 - bbox.y0) AS area FROM note_texts WHERE bbox IS NOT NULL) SELECT id FROM b a WHERE NOT EXISTS (SELECT 1 FROM b o WHERE o.document_id = a.document_id AND o.page = a.page AND a.x0 >= o.x0 AND a.y0 >= o.y0 AND a.x1 <= o.x1 AND a.y1 <= o.y1 AND (o.area > a.area OR (o.area = a.area AND o.id < a.id)))",
     "page_spans": "WITH p AS (SELECT DISTINCT document_id, page::BIGINT AS n FROM legend_entries WHERE page IS NOT NULL), i AS (SELECT *, n - row_number() OVER (PARTITION BY document_id ORDER BY n) AS i FROM p), r AS (SELECT document_id, min(n) AS a, max(n) AS b FROM i GROUP BY document_id, i) SELECT document_id, string_agg(CASE WHEN a = b THEN a::VARCHAR ELSE a || '–' || b END, ', ' ORDER BY a) AS spans FROM r GROUP BY document_id",

@@ -1,7 +1,8 @@
 """A Spark data source of kit folders: spark.read.format("kit").load(folder).
 
 A folder of Markdown files and text documents becomes rows (path, page, kind, body); every file is a partition, so files
-are read where there is room. A file that can't be read is a row of kind error.
+are read where there is room. The folder is a path or the address of a file system that Arrow knows (file, hdfs, s3, gs).
+A file that can't be read is a row of kind error.
 """
 
 from __future__ import annotations
@@ -17,6 +18,13 @@ from pyspark.sql.types import StructType
 SUFFIXES = (".md", ".docx")
 
 
+def file_system(root: str):  # noqa: ANN201
+    """The file system of an address, and the path in it."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(root) if "://" in root else (fs.LocalFileSystem(), os.path.abspath(root))
+
+
 @dataclass
 class KitFile(InputPartition):
     path: str
@@ -27,7 +35,10 @@ class KitReader(DataSourceReader):
         self.root = root
 
     def partitions(self) -> Sequence[InputPartition]:
-        found = [os.path.join(folder, name) for folder, _, names in os.walk(self.root) for name in names]
+        from pyarrow import fs
+
+        system, folder = file_system(self.root)
+        found = [f.path for f in system.get_file_info(fs.FileSelector(folder, recursive=True)) if f.is_file]
         return [KitFile(p) for p in sorted(found) if p.lower().endswith(SUFFIXES)] or [KitFile("")]
 
     def read(self, partition: InputPartition) -> Iterator[tuple[str, int, str, str]]:
@@ -38,7 +49,7 @@ class KitReader(DataSourceReader):
         if not path:
             return
         try:
-            with open(path, "rb") as f:
+            with file_system(self.root)[0].open_input_file(path) as f:
                 data = f.read()
             if path.lower().endswith(".docx"):
                 for sheet, _, kind, text, cells in docx_blocks(data):

@@ -18,6 +18,7 @@ from ..operators import lines as L
 W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 BLOCKS = "path string, sheet int, ord int, kind string, text string, cells array<array<string>>"
 FINDING_SCHEMA = "level string, kind string, count int, note string, examples array<string>"
+BROKEN = "broken"
 JOB_SCHEMA = "id string, path string, status string, created string, total int, done int, errors array<string>, cancel boolean"
 
 
@@ -33,21 +34,38 @@ def page_texts(spark: SparkSession, path: str) -> DataFrame:
     return L.pages(whole, ["path"])
 
 
+def _number(props: ElementTree.Element | None, name: str) -> int:
+    """Value of a numeric property such as gridSpan, 0 if it is not there."""
+    found = props.find(f"{W}{name}") if props is not None else None
+    return int(found.get(f"{W}val", "1")) if found is not None else 0
+
+
+def _cell_text(cell: ElementTree.Element) -> str:
+    """Paragraphs of a cell as lines; a table inside the cell gives a line for each of its rows."""
+    parts = []
+    for element in cell:
+        if element.tag == f"{W}p":
+            parts.append("".join(t.text or "" for t in element.iter(f"{W}t")))
+        elif element.tag == f"{W}tbl":
+            parts += [" | ".join(row) for row in _rows_of(element)]
+    return "\n".join(parts)
+
+
 def _rows_of(table: ElementTree.Element) -> list[list[str]]:
-    """Rows of a table; a horizontal span becomes its text and blanks, a continued vertical one a blank."""
-    out = []
-    for tr in table.iter(f"{W}tr"):
-        row: list[str] = []
-        for tc in tr.findall(f"{W}tc"):
-            props = tc.find(f"{W}tcPr")
-            span = props.find(f"{W}gridSpan") if props is not None else None
+    """The table's own rows on its grid: a cell's text stands in the first of the columns it spans, blanks in the others, in
+    those left out before or after a row, and where a cell goes on from above."""
+    grid = []
+    for row in table.findall(f"{W}tr"):
+        edge = row.find(f"{W}trPr")
+        cells = [""] * _number(edge, "gridBefore")
+        for cell in row.findall(f"{W}tc"):
+            props = cell.find(f"{W}tcPr")
             merge = props.find(f"{W}vMerge") if props is not None else None
-            text = "\n".join("".join(t.text or "" for t in p.iter(f"{W}t")) for p in tc.findall(f"{W}p"))
-            if merge is not None and merge.get(f"{W}val") != "restart":
-                text = ""
-            row += [text] + [""] * (int(span.get(f"{W}val", "1")) - 1 if span is not None else 0)
-        out.append(row)
-    return out
+            goes_on = merge is not None and merge.get(f"{W}val", "continue") == "continue"
+            cells.append("" if goes_on else _cell_text(cell))
+            cells.extend([""] * (_number(props, "gridSpan") - 1))
+        grid.append(cells + [""] * _number(edge, "gridAfter"))
+    return grid
 
 
 def docx_blocks(data: bytes) -> Iterator[tuple[int, int, str, str, list[list[str]]]]:
@@ -133,8 +151,9 @@ def layout_texts(objects: DataFrame) -> DataFrame:
 
 
 def sidecars(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """JSON sidecars with a declared schema; unknown fields are ignored, broken files skipped."""
-    return spark.read.schema(schema).option("multiLine", "true").option("mode", "DROPMALFORMED").json(path)
+    """JSON sidecars with a declared schema and the text of those that are broken in column broken; unknown fields are ignored."""
+    reader = spark.read.schema(f"{schema}, {BROKEN} string").option("multiLine", "true").option("mode", "PERMISSIVE")
+    return reader.option("columnNameOfCorruptRecord", BROKEN).json(path)
 
 
 def jobs(lines: DataFrame, column: str = "value") -> DataFrame:

@@ -368,3 +368,34 @@ def test_periodic_stretches_agree_with_brute_force():
                     if end - i >= period:
                         want.append((i, end + period))
             assert folds.periodic(np.array(values), period) == want
+
+
+def test_overlaps_through_rare_terms_agree_with_all_pairs(spark):
+    import random
+
+    rng = random.Random(8)
+    terms = [f"t{k}" for k in range(60)]
+    draw = lambda n: set(rng.choices(terms, weights=[60 - k for k in range(60)], k=n))
+    right = {f"r{i}": draw(12) for i in range(200)}
+    left = {f"l{i}": (set(rng.choice(list(right.values()))) if i % 3 else draw(4)) for i in range(40)}
+    table = lambda d, name: spark.createDataFrame([(i, t) for i, ts in d.items() for t in ts], f"{name} string, token string")
+    got = {}
+    for r in S.best_matches(table(right, "r"), table(left, "l"), query="l", candidate="r", k=3).collect():
+        got.setdefault(r["l"], []).append((r["rank"], r["hits"], r["r"]))
+    for i, ts in left.items():
+        hits = sorted((-len(ts & own), r) for r, own in right.items() if ts & own)[:3]
+        assert sorted(got[i]) == [(n + 1, -h, r) for n, (h, r) in enumerate(hits)]
+    for shares in ((0.02,), (0.3, 0.6), ()):
+        best = {r["l"]: (r["overlap"], r["r"]) for r in M.top_overlaps(table(left, "l"), table(right, "r"), left_id="l", right_id="r", term="token", shares=shares, least=1).orderBy("overlap", "r").collect()}
+        assert {i: b[0] for i, b in best.items()} == {i: max(len(ts & own) for own in right.values()) for i, ts in left.items()}
+
+
+def test_boxes_of_any_size(spark):
+    import random
+
+    rng = random.Random(9)
+    boxes = [(i, x := rng.uniform(-50, 50), y := rng.uniform(-50, 50), x + rng.choice([0.0, 3.0, 40.0, 1e9]), y + rng.choice([0.0, 5.0, 1e7])) for i in range(60)]
+    points = [(i, rng.uniform(-60, 200), rng.uniform(-60, 200)) for i in range(80)] + [(99, None, 1.0)]
+    got = M.points_in_boxes(spark.createDataFrame([(1, *p) for p in points], "k int, p int, x double, y double"), spark.createDataFrame([(1, *b) for b in boxes], "k int, b int, x0 double, y0 double, x1 double, y1 double"), ["k"], cell=10.0)
+    want = {(p, b) for p, x, y in points if x is not None for b, x0, y0, x1, y1 in boxes if x0 <= x <= x1 and y0 <= y <= y1}
+    assert {(r["p"], r["b"]) for r in got.collect()} == want and got.count() == len(want)
