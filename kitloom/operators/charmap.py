@@ -6,7 +6,7 @@ The mapping is small, the word tables are not: they stay distributed, only votes
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROUNDS = 12
@@ -76,6 +76,45 @@ def shifts(broken: DataFrame, known: DataFrame, min_votes: int = 3) -> DataFrame
     return hit.groupBy((first(F.col("target")) - first(F.col("raw"))).alias("delta")).agg(F.count("*").alias("n"), F.min(first(F.col("raw"))).alias("low"), F.max(first(F.col("raw"))).alias("high")).filter(F.col("n") >= min_votes)
 
 
+# When a font's shift counts: letters of a lone witness, and weights of known words and numbers.
+LONE_LETTERS, WORD_WEIGHT, NUMBER_WEIGHT, FONT_SHIFTS = 12, 3, 1, range(1, 96)
+
+
+def font_tokens(spans: DataFrame, font: str = "font", text: str = "text") -> DataFrame:
+    """(font, token, n): tokens of each font's spans."""
+    token = F.explode(F.filter(F.split(F.col(text), r"\s+"), lambda t: t != "")).alias("token")
+    return spans.filter(F.col(font).isNotNull() & F.col(text).isNotNull()).select(F.col(font).alias("font"), token).groupBy("font", "token").agg(F.count("*").alias("n"))
+
+
+def shifted_word(c: Column, shift: Column) -> Column:
+    """A word of the basic plane with every code point moved by shift."""
+    codes = F.transform(F.split(c, ""), lambda x: F.lpad(F.hex((F.ascii(x) + shift).cast("bigint")), 4, "0"))
+    return F.decode(F.unhex(F.array_join(codes, "")), "UTF-16BE")
+
+
+def font_shifts(broken: DataFrame, known: DataFrame, shifts: range = FONT_SHIFTS) -> DataFrame:
+    """(font, shift, weight, witnesses): the shift of code points that makes a font's broken tokens words or numbers.
+
+    broken: font, token; known: word. A shift needs two witnesses or one long one, and twice the weight of the next best.
+    The shifts are few, so a token meets them as rows of its own; words are met by an equi-join.
+    """
+    moved = broken.select("font", "token").distinct().withColumn("shift", F.explode(F.array(*map(F.lit, shifts)))).withColumn("word", F.lower(shifted_word(F.col("token"), F.col("shift"))))
+    words = known.select(F.lower("word").alias("word"), F.lit(True).alias("is_word")).distinct()
+    weighed = moved.join(words, "word", "left").withColumn("weight", F.when(F.col("is_word"), WORD_WEIGHT).when(F.col("word").rlike("^[0-9]+([.,][0-9]+)?$"), NUMBER_WEIGHT))
+    votes_ = weighed.filter("weight is not null").groupBy("font", "shift").agg(F.sum("weight").alias("weight"), F.count("*").alias("witnesses"), F.max(F.length("token")).alias("longest"))
+    order = Window.partitionBy("font").orderBy(F.desc("weight"), "shift")
+    ranked = votes_.withColumn("place", F.row_number().over(order)).withColumn("next", F.coalesce(F.lead("weight").over(order), F.lit(0)))
+    sure = (F.col("place") == 1) & ((F.col("witnesses") >= 2) | (F.col("longest") >= LONE_LETTERS)) & (F.col("weight") >= 2 * F.col("next"))
+    return ranked.filter(sure).select("font", "shift", "weight", "witnesses")
+
+
+def glyph_codes(glyphs: DataFrame, known: DataFrame) -> DataFrame:
+    """(font, code, char): codes of a font whose outline occurs with a single character elsewhere; glyphs: font, code, outline; known: outline, char."""
+    single = known.filter("outline is not null").groupBy("outline").agg(F.min("char").alias("char"), (F.min("char") == F.max("char")).alias("one")).filter("one")
+    found = glyphs.filter("outline is not null").join(single.select("outline", "char"), "outline").groupBy("font", "code").agg(F.min("char").alias("char"), (F.min("char") == F.max("char")).alias("one"))
+    return found.filter("one").select("font", "code", "char")
+
+
 def coverage(df: DataFrame, mapping: dict[str, str], keys: list[str], text: str = "text") -> DataFrame:
     """Broken characters per key and how many of them the mapping knows."""
     broken = F.regexp_count(F.col(text), F.lit("[^ -~А-Яа-яЁё№²³Ø×«»–\n\r\t]"))

@@ -116,6 +116,47 @@ def bad_group_codes(spark: SparkSession, path: str) -> DataFrame:
     return numbered.filter((F.col("line_no") % 2 == 0) & ~F.trim("line").rlike("^-?[0-9]+$") & (F.trim("line") != ""))
 
 
+# Entities of a drawing exchange file whose text is cut into parts, and the group codes of parts and end.
+CUT_ENTITIES, PART_CODE, END_CODE = (b"ATTRIB", b"ATTDEF", b"TEXT", b"MTEXT"), b"3", b"1"
+
+
+def joined_text_groups(data: bytes) -> tuple[bytes, int]:
+    """A drawing exchange file whose cut texts are whole again, and how many were joined.
+
+    A long text is cut at a number of bytes into groups of code 3 and a last one of code 1, in the middle of a letter too, so
+    the parts are joined as bytes. Parts that no end follows stay as they are.
+    """
+    rows = data.splitlines(keepends=True)
+    groups = [(rows[k], rows[k + 1]) for k in range(0, len(rows) - 1, 2)]
+    codes = [code.strip() for code, _ in groups]
+    inside, entity = [], b""
+    for code, (_, value) in zip(codes, groups, strict=True):
+        entity = value.strip() if code == b"0" else entity
+        inside.append(entity in CUT_ENTITIES)
+    out, joined, k = [], 0, 0
+    while k < len(groups):
+        end = k
+        while end < len(groups) and codes[end] == PART_CODE and inside[end]:
+            end += 1
+        if end > k and end < len(groups) and codes[end] == END_CODE:
+            out += [groups[end][0], *(value.rstrip(b"\r\n") for _, value in groups[k:end]), groups[end][1]]
+            joined, k = joined + 1, end + 1
+        else:
+            out += groups[k]
+            k += 1
+    return b"".join([*out, *rows[2 * len(groups) :]]), joined
+
+
+def joined_drawings(spark: SparkSession, path: str) -> DataFrame:
+    """(path, content, joined) of drawing exchange files with their cut texts joined."""
+
+    def join(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield pd.DataFrame([(p, *joined_text_groups(bytes(c))) for p, c in zip(frame["path"], frame["content"], strict=True)], columns=["path", "content", "joined"])
+
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(join, "path string, content binary, joined long")
+
+
 def repaired_json(raw: str) -> str:
     """nan becomes null and a number loses its trailing full stop, outside of strings."""
     out = []
