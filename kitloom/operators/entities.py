@@ -105,7 +105,7 @@ def placed_stamp(x: Column, y: Column, scale: Column, sheet: Column) -> Column:
     w, h = scale * STAMP_WIDTH, scale * STAMP_HEIGHT
     boxes = [(x, y, x + w, y + h), (x - w, y, x, y + h), (x, y - h, x + w, y), (x - w, y - h, x, y)]
     named = [F.struct(*[v.cast("double").alias(n) for n, v in zip(("x0", "y0", "x1", "y1"), b, strict=True)]) for b in boxes]
-    ranked = F.array(*[F.struct(common_area(b, sheet).alias("area"), F.lit(-k).alias("k"), b.alias("box")) for k, b in enumerate(named)])
+    ranked = F.array(*[F.struct(F.round(common_area(b, sheet), 6).alias("area"), F.lit(-k).alias("k"), b.alias("box")) for k, b in enumerate(named)])
     return F.array_max(ranked)["box"]
 
 

@@ -197,10 +197,16 @@ def shape_signature(points: Column, kind: Column) -> Column:
     return F.sha2(F.concat_ws(";", kind, F.array_join(F.transform(points, part), ";")), 256)
 
 
-def outside_tables(blocks: DataFrame, tables: DataFrame, keys: list[str], block_id: str, share: float = 0.6) -> DataFrame:
-    """Blocks (keys..., block_id, box) of which no table of the page covers more than a share."""
-    pairs = blocks.select(*keys, block_id, F.col("box").alias("__a")).join(tables.select(*keys, F.col("box").alias("__b")), keys)
-    covered = pairs.filter(overlap_share("__a", "__b") > share).select(*keys, block_id).distinct()
+def outside_tables(blocks: DataFrame, tables: DataFrame, keys: list[str], block_id: str, share: float = 0.6, cell: float = 100.0) -> DataFrame:
+    """Blocks (keys..., block_id, box) of which no table of the page covers more than a share of at least a half.
+
+    A table that covers more than half of a block contains its middle, so blocks meet only tables that do.
+    """
+    from .matching import points_in_boxes
+
+    middles = blocks.select(*keys, block_id, F.col("box").alias("__a"), ((F.col("box.x0") + F.col("box.x1")) / 2).alias("x"), ((F.col("box.y0") + F.col("box.y1")) / 2).alias("y"))
+    met = points_in_boxes(middles, tables.select(*keys, F.col("box").alias("__b"), "box.*"), keys, cell=cell)
+    covered = met.filter(overlap_share("__a", "__b") > share).select(*keys, block_id).distinct()
     return blocks.join(covered, [*keys, block_id], "left_anti")
 
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import composites, datasets, documents, kits, pagegates, sheets, symbolplans, texts
+from . import composites, datasets, documents, kits, pagegates, shapes, sheets, symbolplans, texts
 
-MODULES = (datasets, texts, kits, sheets, documents, pagegates, composites, symbolplans)
+MODULES = (datasets, texts, kits, sheets, documents, pagegates, composites, symbolplans, shapes)
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 
 #: Columns whose SQL type is wider than the engine's, by query.
@@ -25,6 +25,7 @@ TYPES = {
     "checked_pages": {"passed": _BIG},
     "symbol_types": {"confirmed": _BIG},
     "rebuilt_tables": {"table_no": _INT},
+    "trimmed_tables": {"table_no": _INT},
 }
 
 

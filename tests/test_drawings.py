@@ -107,3 +107,12 @@ def test_shifts_of_fonts(spark):
     glyphs = spark.createDataFrame([("f", 1, "o1"), ("f", 2, "o2"), ("f", 2, "o3"), ("f", 3, None), ("f", 4, "o4")], "font string, code int, outline string")
     outlines = spark.createDataFrame([("o1", "а"), ("o1", "а"), ("o2", "б"), ("o3", "в"), ("o4", "г"), ("o4", "д")], "outline string, char string")
     assert [tuple(r) for r in C.glyph_codes(glyphs, outlines).collect()] == [("f", 1, "а")]
+
+
+def test_blocks_outside_tables(spark):
+    from kitloom.operators import geometry as G
+
+    box = "struct<x0:double,y0:double,x1:double,y1:double>"
+    blocks = spark.createDataFrame([(1, "a", (0.0, 0.0, 10.0, 10.0)), (1, "b", (6.0, 0.0, 16.0, 10.0)), (2, "c", (0.0, 0.0, 10.0, 10.0))], f"p int, id string, box {box}")
+    tables = spark.createDataFrame([(1, (0.0, 0.0, 12.0, 1e6))], f"p int, box {box}")
+    assert sorted(r["id"] for r in G.outside_tables(blocks, tables, ["p"], "id").collect()) == ["b", "c"]
