@@ -5,9 +5,9 @@ reference is +1 on the key's reference count at its own time. The running sums o
 each reference, how many live records it can mean; a reference with a live count of 0 is an orphan.
 
 References and changes are summed by key and time before anything is ordered, so a key that is loaded at one time is one
-row; what identifies a reference stays behind and is joined back to the orphans' (key, time) alone. The running sums are
-taken in two steps, so that no key needs one task: first by key and time slot, the slots of a key (as many as the time
-span has) in order, then inside one slot.
+row; what identifies a reference stays behind and is joined back to the orphans' (key, time) alone. A key's changes are
+summed up in order of time. For keys with very many rows that takes two steps, so that none needs one task: first by key
+and time slot, the slots of a key (as many as the time span has) in order, then inside one slot.
 
 The counts can be kept: `merged_counts` adds changes to a table of counts per key, `current_orphans` reports the keys with
 references and no existence (`streaming/orphancounts.py` keeps such a table from a stream of changes).
@@ -22,10 +22,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .skew import HOT_ROWS, SMALL_ROWS, salted_join
+from .skew import HOT_ROWS, broadcast_if_small, salted_join
 
 SLOT_SECONDS = 6 * 3600
 GRACE_SECONDS = 86400
+#: Orphan (key, time) rows that are broadcast at most.
+SMALL_TIMES = 200_000
 
 
 def folded_key(c: Column) -> Column:
@@ -40,26 +42,44 @@ def existence_deltas(records: DataFrame, *, key: str = "id", loaded: str = "load
     return live.select("key", F.explode(F.array_compact(F.array(F.struct(F.col("start").alias("at"), F.lit(1).alias("exists")), F.when(F.col("end").isNotNull(), F.struct(F.col("end").alias("at"), F.lit(-1).alias("exists")))))).alias("d")).select("key", "d.at", "d.exists")
 
 
-def orphan_times(references: DataFrame, deltas: DataFrame, *, slot_seconds: int = SLOT_SECONDS) -> DataFrame:
-    """(key, at, refs, references): the times at which a key is referred to while its live count is 0, how many references
-    that time has, and how many the key has had until then."""
+def _running(events: DataFrame) -> DataFrame:
+    """events (key, at, exists, refs) with live and references up to their time, a key in one window."""
+    so_far = Window.partitionBy("key").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return events.select("key", "at", "refs", F.sum("exists").over(so_far).alias("live"), F.sum("refs").over(so_far).alias("references"))
+
+
+def _running_by_slots(events: DataFrame, slot_seconds: int) -> DataFrame:
+    """The same with a key's slots in one window, and a slot's events in another."""
     zero = F.lit(0).cast("long")
-    named = references.filter("key is not null and at is not null").select("key", "at", zero.alias("exists"), F.lit(1).cast("long").alias("refs"))
-    slot = F.floor(F.col("at") / F.lit(slot_seconds * 1_000_000)).cast("long")
-    events = deltas.select("key", "at", F.col("exists").cast("long").alias("exists"), zero.alias("refs")).unionByName(named)
-    events = events.groupBy("key", "at").agg(F.sum("exists").alias("exists"), F.sum("refs").alias("refs")).withColumn("slot", slot)
+    events = events.withColumn("slot", F.floor(F.col("at") / F.lit(slot_seconds * 1_000_000)).cast("long"))
     by_slot = events.groupBy("key", "slot").agg(F.sum("exists").alias("slot_exists"), F.sum("refs").alias("slot_refs"))
     before = Window.partitionBy("key").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
     base = by_slot.select("key", "slot", "slot_refs", F.coalesce(F.sum("slot_exists").over(before), zero).alias("base_exists"), F.coalesce(F.sum("slot_refs").over(before), zero).alias("base_refs")).filter("slot_refs > 0").drop("slot_refs")
     inside = Window.partitionBy("key", "slot").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    summed = events.join(base, ["key", "slot"]).select("key", "at", "refs", (F.col("base_exists") + F.sum("exists").over(inside)).alias("live"), (F.col("base_refs") + F.sum("refs").over(inside)).alias("references"))
-    return summed.filter("refs > 0 and live = 0").select("key", "at", "refs", "references")
+    return events.join(base, ["key", "slot"]).select("key", "at", "refs", (F.col("base_exists") + F.sum("exists").over(inside)).alias("live"), (F.col("base_refs") + F.sum("refs").over(inside)).alias("references"))
+
+
+def orphan_times(references: DataFrame, deltas: DataFrame, *, slot_seconds: int = SLOT_SECONDS, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """(key, at, refs, references): the times at which a key is referred to while its live count is 0, how many references
+    that time has, and how many the key has had until then."""
+    zero = F.lit(0).cast("long")
+    named = references.filter("key is not null and at is not null").select("key", "at", zero.alias("exists"), F.lit(1).cast("long").alias("refs"))
+    events = deltas.select("key", "at", F.col("exists").cast("long").alias("exists"), zero.alias("refs")).unionByName(named)
+    # at most (all rows / hot_rows) keys
+    hot = cut_lineage(events.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > hot_rows).select("key"))
+    summed = events.groupBy("key", "at").agg(F.sum("exists").alias("exists"), F.sum("refs").alias("refs"))
+    if hot.isEmpty():
+        running = _running(summed)
+    else:
+        few = broadcast_if_small(hot)
+        running = _running(summed.join(few, "key", "left_anti")).unionByName(_running_by_slots(summed.join(few, "key", "left_semi"), slot_seconds))
+    return running.filter("refs > 0 and live = 0").select("key", "at", "refs", "references")
 
 
-def orphan_references(references: DataFrame, deltas: DataFrame, *, slot_seconds: int = SLOT_SECONDS, hot_rows: int = HOT_ROWS, small_rows: int = SMALL_ROWS) -> DataFrame:
+def orphan_references(references: DataFrame, deltas: DataFrame, *, slot_seconds: int = SLOT_SECONDS, hot_rows: int = HOT_ROWS, small_rows: int = SMALL_TIMES) -> DataFrame:
     """Rows of references (key, at, payload struct) with a live count of 0, with that key's reference count so far."""
     timeless = references.filter(F.col("key").isNotNull() & F.col("at").isNull()).select("key", "at", "payload", F.lit(1).cast("long").alias("references"))
-    times = cut_lineage(orphan_times(references, deltas, slot_seconds=slot_seconds))
+    times = cut_lineage(orphan_times(references, deltas, slot_seconds=slot_seconds, hot_rows=hot_rows))
     asked = references.filter("key is not null and at is not null").select("key", "at", "payload")
     if times.count() <= small_rows:
         back = asked.join(F.broadcast(times), ["key", "at"])

@@ -44,6 +44,11 @@ def test_random_changes_agree_with_brute_force(spark):
     alive = lambda k, t: any(i.lower() == k.lower() and a <= t + day and (x is None or x > t) for i, a, x, *_ in records)
     expected = sorted(("relationships", r, "target_id") for r, k, t, _ in refs if not alive(k, t))
     assert _found(spark, [], refs, records[:30], records[30:]) == expected
+    # hot keys in two steps give the same
+    own = O.reference_rows(spark.createDataFrame(refs, REL), "relationships", "id", ["target_id"])
+    deltas = O.existence_deltas(spark.createDataFrame(records, REC))
+    pick = lambda **how: sorted((r["payload"]["ref_id"], r["references"]) for r in O.orphan_references(own, deltas, **how).collect())
+    assert [r for r, _ in pick()] == [r for _, r, _ in expected] and pick() == pick(hot_rows=30) == pick(hot_rows=0)
 
 
 def test_report_counts_by_month(spark):
