@@ -124,25 +124,24 @@ def best_representatives(variants: DataFrame, hot_rows: int = HOT_ROWS) -> DataF
     kinds = rows.groupBy(*group, F.col("o.k").alias("kind")).agg(F.count("*").alias("n"), F.min(F.struct("o", *FIELDS)).alias("r"))
     heads = kinds.groupBy(*group).agg(F.sum("n").alias("members"), F.min("r").alias("lead"), F.collect_list("r").alias("records")).filter("members >= 2")
     heads = cut_lineage(heads.withColumn("grp", F.xxhash64(*group)))
-    # the fills: distinct values of a bundle with their best trust
+    # the fills: rows meet their group's leading record first, so that only values that can fill it are shuffled again
+    lead = heads.select("grp", F.col("code_key").alias("g_code"), F.col("sheet_no").alias("g_sheet"), "members", *[F.col(f"lead.{f}").alias(f"own_{f}") for f in FIELDS])
+    joined = salted_join(rows.withColumn("grp", F.xxhash64(*group)), lead, "grp", weight="members", spread=F.col("o.id"), hot_rows=hot_rows).filter("code_key = g_code and sheet_no = g_sheet")
+    owned = [f"own_{f}" for f in FIELDS]
     each = []
     for name, fields in BUNDLES.items():
         complete = sum((F.col(f).isNotNull().cast("int") for f in fields), F.lit(0))
         trust = ((F.lit(len(KIND_RANK)) - F.col("o.k")) + F.lit(10) * complete).cast("int")
-        each.append(F.when(complete > 0, F.struct(F.lit(name).alias("bundle"), trust.alias("trust"), *[F.col(f) if f in fields else F.lit(None).cast("string").alias(f) for f in FIELDS])))
-    split = rows.select(*group, F.explode(F.array_compact(F.array(*each))).alias("c")).select(*group, "c.*")
-    candidates = split.groupBy(*group, "bundle", *FIELDS).agg(F.max("trust").alias("trust"), F.count("*").alias("support"))
-    candidates = candidates.withColumn("grp", F.xxhash64(*group))
-    lead = heads.select("grp", F.col("code_key").alias("g_code"), F.col("sheet_no").alias("g_sheet"), "members", *[F.col(f"lead.{f}").alias(f"own_{f}") for f in FIELDS])
-    # a group's number of candidates is at most its members times the bundles
-    joined = salted_join(candidates, lead, "grp", weight="members", spread=F.xxhash64("bundle", *FIELDS), hot_rows=hot_rows).filter("code_key = g_code and sheet_no = g_sheet")
-    agrees, adds = F.lit(True), F.lit(False)
-    for f in FIELDS:
-        agrees &= F.coalesce(F.col(f) == F.col(f"own_{f}"), F.lit(True))
-        adds |= F.col(f).isNotNull() & F.col(f"own_{f}").isNull()
-    useful = joined.filter(agrees & adds)
-    said = F.array_compact(F.array(*[F.when(F.col(d).isNotNull() & F.col(x).isNotNull(), F.struct(F.lit(d).alias("of"), F.col(d).alias("value"), F.col(x).alias("says"))) for d, x in DEPENDENCIES.items()]))
-    learned = rows.select(*group, "o", F.explode(said).alias("s")).groupBy(*group, "s.of", "s.value").agg(F.min(F.struct("o", "s.says")).alias("m")).select(*group, "of", "value", F.col("m.says").alias("says"))
+        agrees, adds = F.lit(True), F.lit(False)
+        for f in fields:
+            agrees &= F.coalesce(F.col(f) == F.col(f"own_{f}"), F.lit(True))
+            adds |= F.col(f).isNotNull() & F.col(f"own_{f}").isNull()
+        each.append(F.when(agrees & adds, F.struct(F.lit(name).alias("bundle"), trust.alias("trust"), *[F.col(f) if f in fields else F.lit(None).cast("string").alias(f) for f in FIELDS])))
+    split = joined.select(*group, *owned, F.explode(F.array_compact(F.array(*each))).alias("c")).select(*group, *owned, "c.*")
+    useful = split.groupBy(*group, *owned, "bundle", *FIELDS).agg(F.max("trust").alias("trust"), F.count("*").alias("support"))
+    # what the most trusted row says of a determinant, for groups whose record lacks it or its dependent
+    said = F.array_compact(F.array(*[F.when(F.col(d).isNotNull() & F.col(x).isNotNull() & (F.col(f"own_{d}").isNull() | F.col(f"own_{x}").isNull()), F.struct(F.lit(d).alias("of"), F.col(d).alias("value"), F.col(x).alias("says"))) for d, x in DEPENDENCIES.items()]))
+    learned = joined.select(*group, "o", F.explode(said).alias("s")).groupBy(*group, "s.of", "s.value").agg(F.min(F.struct("o", "s.says")).alias("m")).select(*group, "of", "value", F.col("m.says").alias("says"))
     for determinant, dependent in DEPENDENCIES.items():
         at, says = f"at_{determinant}", f"said_{determinant}"
         own = learned.filter(F.col("of") == determinant).select(*group, F.col("value").alias(at), F.col("says").alias(says))
