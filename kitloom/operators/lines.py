@@ -156,6 +156,24 @@ def collapse_label_runs(df: DataFrame, keys: list[str]) -> DataFrame:
     return out.filter((key != "") | (F.col("run_pos") == 1)).drop("run_key", "run_id", "run_pos", "run_len", "__keep")
 
 
+# Short labels of networks on plans, how often one must stand on a page to be summed up, and how many stay.
+NETWORK_LABEL, LABEL_LEAST, LABEL_KEPT = r"^(?:[A-Za-zА-Яа-яЁё][0-9]{0,3}(?:\.[0-9]+)?|ДРП|ПГ[0-9]+|УП[0-9]+(?:\.[0-9]+)?)$", 15, 2
+
+
+def sum_up_labels(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Labels of networks scattered over a text often enough keep their first two lines and are named in a last line."""
+    key = F.trim("line")
+    labels = df.filter(key.rlike(NETWORK_LABEL)).groupBy(*keys, key.alias("__k")).agg(F.count("*").alias("__n"), F.min("pos").alias("__first")).filter(F.col("__n") >= LABEL_LEAST)
+    nth = F.row_number().over(Window.partitionBy(*keys, "__k").orderBy("pos"))
+    body = df.withColumn("__k", key).join(labels.select(*keys, "__k", "__n"), [*keys, "__k"], "left").withColumn("__i", F.when(F.col("__n").isNotNull(), nth))
+    body = body.filter(F.col("__i").isNull() | (F.col("__i") <= LABEL_KEPT)).select(df.columns)
+    named = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("__n")).alias("n"), "__first", "__k"))), lambda x: F.concat(x["__k"], F.lit(" (×"), (-x["n"]).cast("string"), F.lit(")"))), ", ")
+    last = df.groupBy(*keys).agg(F.max("pos").alias("__last"))
+    summary = labels.groupBy(*keys).agg(named.alias("__s")).join(last, keys)
+    lines = F.explode(F.array(F.struct((F.col("__last") + 1).alias("pos"), F.lit("").alias("line")), F.struct((F.col("__last") + 2).alias("pos"), F.concat(F.lit("Метки сетей на плане (сводка): "), F.col("__s"), F.lit(".")).alias("line")))).alias("l")
+    return body.unionByName(summary.select(*keys, lines).select(*keys, "l.*"), allowMissingColumns=True)
+
+
 def content_lines(df: DataFrame) -> DataFrame:
     """Lines of content: no tables, quotes, headings, rules, italic notes and pipeline marks; bullets taken off."""
     t = F.trim("line")

@@ -74,16 +74,17 @@ def duplicates(variants: DataFrame) -> DataFrame:
 
 
 def skeleton_rows(lines: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys..., skeleton, nums, pos, line) of lines that can be compared: long and wordy enough, no service lines."""
-    bare = T.skeleton(F.col("line"))
+    """(keys..., skeleton, pos, line) of lines that can be compared: long and wordy enough, no service lines."""
     skip = F.col("line").rlike(r"^\s*(#{1,6}\s|\|[\s:|-]+\|\s*$|_[^_]*_\s*$|-{3,}\s*$|>\s)")
-    letters = F.length(F.regexp_replace(bare, f"[^{T.LETTERS}]", ""))
-    return lines.filter(~skip).select(*keys, bare.alias("skeleton"), F.array_join(T.numbers(F.col("line")), ";").alias("nums"), "pos", F.trim("line").alias("line")).filter((F.length("skeleton") >= 12) & (letters >= 4) & F.col("skeleton").contains("#"))
+    bare = lines.filter(F.col("line").rlike("[0-9]") & ~skip).select(*keys, T.skeleton(F.col("line")).alias("skeleton"), "pos", "line")
+    letters = F.length(F.regexp_replace("skeleton", f"[^{T.LETTERS}]", ""))
+    return bare.filter((F.length("skeleton") >= 12) & F.col("skeleton").contains("#") & (letters >= 4))
 
 
 def unique_skeletons(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Skeletons that occur exactly once under the keys."""
-    return rows.groupBy(*keys, "skeleton").agg(F.count("*").alias("n"), F.first("nums").alias("nums"), F.min("pos").alias("pos"), F.first("line").alias("line")).filter("n = 1").drop("n")
+    """Skeletons that occur exactly once under the keys, with the numbers of their line."""
+    once = rows.groupBy(*keys, "skeleton").agg(F.count("*").alias("n"), F.min("pos").alias("pos"), F.first("line").alias("line")).filter("n = 1").drop("n")
+    return once.withColumn("nums", F.array_join(T.numbers(F.col("line")), ";")).withColumn("line", F.trim("line"))
 
 
 def number_conflicts(left: DataFrame, right: DataFrame, keys: list[str], limit: int | None = None) -> DataFrame:

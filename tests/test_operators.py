@@ -399,3 +399,11 @@ def test_boxes_of_any_size(spark):
     got = M.points_in_boxes(spark.createDataFrame([(1, *p) for p in points], "k int, p int, x double, y double"), spark.createDataFrame([(1, *b) for b in boxes], "k int, b int, x0 double, y0 double, x1 double, y1 double"), ["k"], cell=10.0)
     want = {(p, b) for p, x, y in points if x is not None for b, x0, y0, x1, y1 in boxes if x0 <= x <= x1 and y0 <= y <= y1}
     assert {(r["p"], r["b"]) for r in got.collect()} == want and got.count() == len(want)
+
+
+def test_scattered_labels_are_summed_up(spark):
+    lines = [x for k in range(20) for x in ("К1", f"узел {k}")] + ["В1"] * 15 + ["Б2"] * 14
+    df = spark.createDataFrame([("d", i, t) for i, t in enumerate(lines)] + [("e", 0, "К1")], "d string, pos long, line string")
+    got = [r["line"] for r in L.sum_up_labels(df, ["d"]).filter("d = 'd'").orderBy("pos").collect()]
+    assert got == ["К1", "узел 0", "К1"] + [f"узел {k}" for k in range(1, 20)] + ["В1"] * 2 + ["Б2"] * 14 + ["", "Метки сетей на плане (сводка): К1 (×20), В1 (×15)."]
+    assert L.sum_up_labels(df, ["d"]).filter("d = 'e'").count() == 1
