@@ -109,6 +109,13 @@ UNION ALL SELECT doc_id, 1, 'Лист', 0, lines::INTEGER FROM n WHERE doc_id NO
     "box_texts": "WITH n AS (SELECT DISTINCT id, document_id, page, x, y, bbox, text FROM note_texts WHERE bbox IS NOT NULL AND text IS NOT NULL) SELECT c.id AS cell_id, (sum(length(p.text)) + count(*) - 1)::INTEGER AS chars FROM n c JOIN n p ON p.document_id = c.document_id AND p.page = c.page AND p.x >= c.bbox.x0 AND p.x <= c.bbox.x1 AND p.y >= c.bbox.y0 AND p.y <= c.bbox.y1 GROUP BY c.id",
     "unused_signatures": "WITH u AS (SELECT signature, count(*) AS n, list_sort(list(DISTINCT label)) AS c FROM legend_entries WHERE label IS NOT NULL AND signature IS NOT NULL AND signature NOT IN (SELECT signature FROM symbol_instances WHERE signature IS NOT NULL) GROUP BY signature) SELECT min(signature) AS signature, max(n) AS n FROM u GROUP BY c",
     "lost_fields": "WITH a AS (SELECT document_id, count(*) AS source_rows, count_if(coalesce(trim(sheets_total,' ') <> '', false))::BIGINT AS source_with FROM stamps_kit GROUP BY 1), b AS (SELECT document_id, count(*) AS parsed_rows, count_if(coalesce(trim(sheets_total,' ') <> '', false))::BIGINT AS parsed_with FROM stamps_archive GROUP BY 1), j AS (SELECT a.*, coalesce(parsed_rows, 0) AS parsed_rows, coalesce(parsed_with, 0) AS parsed_with FROM a LEFT JOIN b USING (document_id)) SELECT *, CASE WHEN parsed_with = 0 THEN 'lost' ELSE 'weak' END AS verdict FROM j WHERE source_with >= 10 AND source_with / source_rows >= 0.02 AND (parsed_with = 0 OR parsed_with / parsed_rows < source_with / source_rows / 4)",
+    "sheet_views": r"""WITH h AS (SELECT document_id, sheet, trim(text, ' ') AS text, x, y, x + length(text) * greatest(coalesce(height, 2.5), 0.1) * 0.55 AS r, y + greatest(coalesce(height, 2.5), 0.1) AS t FROM text_items
+  WHERE x IS NOT NULL AND y IS NOT NULL AND text IS NOT NULL AND document_id IS NOT NULL AND sheet IS NOT NULL AND coalesce(source IN ('text', 'mtext'), true) AND regexp_matches(trim(text, ' '), '(?i)^(схем[а-яё]*\s+расположен|(геологическ[а-яё]*\s+)?разрез([^а-яё]|$)|по\s+лини|[IVX]+ *[-–] *[IVX]+)')),
+a AS (SELECT *, CASE WHEN x - max(r) OVER (PARTITION BY document_id, sheet ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) > 18 THEN 1 ELSE 0 END AS b FROM h), s AS (SELECT *, sum(b) OVER (PARTITION BY document_id, sheet ORDER BY x) AS strip FROM a),
+c AS (SELECT *, CASE WHEN y - max(t) OVER (PARTITION BY document_id, sheet, strip ORDER BY y ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) > 18 THEN 1 ELSE 0 END AS d FROM s), g AS (SELECT *, sum(d) OVER (PARTITION BY document_id, sheet, strip ORDER BY y) AS grp FROM c),
+n AS (SELECT document_id, sheet, strip, grp, text, min((-y, x)) AS o FROM g GROUP BY ALL), m AS (SELECT document_id, sheet, strip, grp, string_agg(text, ' ' ORDER BY o, text) AS title FROM n GROUP BY ALL),
+k AS (SELECT document_id, sheet, strip, grp, (min(x) + max(r)) / 2 AS middle, min(y) + max(t) AS height FROM g GROUP BY ALL), v AS (SELECT *, CASE WHEN middle - lag(middle) OVER (PARTITION BY document_id, sheet ORDER BY middle) > 80 THEN 1 ELSE 0 END AS new FROM k JOIN m USING (document_id, sheet, strip, grp)),
+w AS (SELECT *, sum(new) OVER (PARTITION BY document_id, sheet ORDER BY middle) AS cluster FROM v) SELECT document_id, sheet, (row_number() OVER (PARTITION BY document_id, sheet ORDER BY cluster, height, title) - 1)::INTEGER AS view, title FROM w""".replace("\\\\", "\\"),
     "layer_notes": "WITH n AS (SELECT DISTINCT id, document_id, page, y FROM note_texts WHERE layer = 'ПРИМЕЧАНИЯ' AND document_id IS NOT NULL), h AS (SELECT *, max(y) OVER (PARTITION BY document_id, page) AS top FROM n) SELECT document_id, page, id FROM h WHERE y < top",
     "soil_labels": "SELECT regexp_matches(translate(lower(label), 'ёЁ', 'еЕ'), 'песок|песч|суглин|супес|глин|насып|почв|торф|щебен|гравий') AND NOT regexp_matches(translate(lower(label), 'ёЁ', 'еЕ'), 'вод|дата|уровень|границ|скважин') AS soil, length(label) >= 40 OR regexp_matches(lower(trim(label,' ')), '(,|-| и| в| на| с| для| из| по)$') AS wrapped, count(*) AS n FROM legend_entries WHERE label IS NOT NULL GROUP BY ALL",
 }
