@@ -65,18 +65,27 @@ def max_overlap(left: DataFrame, right: DataFrame, *, left_id: str, right_id: st
     return ties.select(left_id, F.when(F.col("ties") == 1, F.col(right_id)).alias(right_id), "overlap", "ties")
 
 
-def prefix_matches(heads: DataFrame, wholes: DataFrame, *, head: str, whole: str, shortest: int = 4) -> DataFrame:
+def prefix_matches(heads: DataFrame, wholes: DataFrame, *, head: str, whole: str, shortest: int = 4, longer: tuple[int, ...] = (12, 32, 96)) -> DataFrame:
     """Heads that are a strict prefix of some whole text, with the smallest such text.
 
-    In order of their bytes, the texts that a head begins follow it at once, so the next whole text decides. Texts are sorted
-    within blocks of equal first signs; no pairs are formed.
+    In order of their bytes, the texts that a head begins follow it at once, so the next whole text decides; no pairs are
+    formed. The order is looked at in blocks of texts with the same first signs: inside the blocks of most signs first, then
+    from block to block among those that share fewer signs, so that a common beginning is no task of its own.
     """
     a = heads.select(F.col(head).alias("t"), F.lit(True).alias("h"), F.lit(False).alias("w"))
     b = wholes.select(F.col(whole).alias("t"), F.lit(False).alias("h"), F.lit(True).alias("w"))
     texts = a.unionByName(b).filter(F.length("t") >= shortest).groupBy("t").agg(F.bool_or("h").alias("h"), F.bool_or("w").alias("w"))
-    after = Window.partitionBy(F.left("t", F.lit(shortest))).orderBy("t").rowsBetween(1, Window.unboundedFollowing)
-    following = texts.withColumn("whole", F.first(F.when(F.col("w"), F.col("t")), ignorenulls=True).over(after))
-    return following.filter(F.col("h") & F.startswith("whole", F.col("t"))).select(F.col("t").alias("head"), "whole")
+    sizes = sorted((shortest, *(n for n in longer if n > shortest)))
+    blocks = texts.select("*", *[F.left("t", F.lit(n)).alias(f"b{n}") for n in sizes])
+    following = lambda size, by: Window.partitionBy(f"b{size}").orderBy(by).rowsBetween(1, Window.unboundedFollowing)
+    found = blocks.withColumn("whole", F.first(F.when(F.col("w"), F.col("t")), ignorenulls=True).over(following(sizes[-1], "t")))
+    # the first whole text of each finer block, and of the next finer block that has one
+    for coarse, fine in reversed(list(zip(sizes, sizes[1:], strict=False))):
+        first = blocks.groupBy(f"b{fine}").agg(F.min(F.when(F.col("w"), F.col("t"))).alias("first"), F.first(f"b{coarse}").alias(f"b{coarse}"))
+        after = first.withColumn("later", F.first("first", ignorenulls=True).over(following(coarse, f"b{fine}"))).select(f"b{fine}", "later")
+        asked = found.filter(F.col("h") & F.col("whole").isNull())
+        found = found.filter("whole is not null").unionByName(asked.join(after, f"b{fine}", "left").withColumn("whole", F.col("later")).drop("later"))
+    return found.filter(F.col("h") & F.startswith("whole", F.col("t"))).select(F.col("t").alias("head"), "whole")
 
 
 def points_in_boxes(points: DataFrame, boxes: DataFrame, keys: list[str], *, cell: float, half_open: bool = False) -> DataFrame:

@@ -407,3 +407,16 @@ def test_scattered_labels_are_summed_up(spark):
     got = [r["line"] for r in L.sum_up_labels(df, ["d"]).filter("d = 'd'").orderBy("pos").collect()]
     assert got == ["К1", "узел 0", "К1"] + [f"узел {k}" for k in range(1, 20)] + ["В1"] * 2 + ["Б2"] * 14 + ["", "Метки сетей на плане (сводка): К1 (×20), В1 (×15)."]
     assert L.sum_up_labels(df, ["d"]).filter("d = 'e'").count() == 1
+
+
+def test_prefixes_agree_with_brute_force(spark):
+    import random
+
+    rng = random.Random(10)
+    texts = sorted({"".join(rng.choice("аб ") for _ in range(rng.randrange(2, 14))) for _ in range(300)} | {"абабаб" + "а" * k for k in range(40)})
+    wholes = [t for t in texts if rng.random() < 0.6]
+    table = lambda rows, c: spark.createDataFrame([(r,) for r in [*rows, None]], f"{c} string")
+    want = {(h, min(w for w in wholes if w.startswith(h) and w != h and len(w) >= 4)) for h in texts if len(h) >= 4 and any(w.startswith(h) and w != h for w in wholes)}
+    for longer in ((), (6,), (5, 8, 20)):
+        got = M.prefix_matches(table(texts, "h"), table(wholes, "w"), head="h", whole="w", longer=longer).collect()
+        assert {tuple(r) for r in got} == want and len(got) == len(want)
