@@ -6,6 +6,7 @@ A text is the unit of work, so these scale with the number of texts; none of the
 from __future__ import annotations
 
 import heapq
+import math
 import re
 import unicodedata
 from collections import Counter
@@ -229,20 +230,53 @@ def tile_grid(width: int, height: int, tile: int, most: int) -> tuple[int, int]:
     return columns, rows
 
 
+class KnownTokens:
+    """A growing set of tokens that tells whether a token is one of them or a piece of one, by their runs of three signs."""
+
+    def __init__(self, tokens: Iterable[str]) -> None:
+        self.tokens: set[str] = set()
+        self.having: dict[str, list[str]] = {}
+        self.add(tokens)
+
+    def add(self, tokens: Iterable[str]) -> None:
+        for t in tokens:
+            if t not in self.tokens:
+                self.tokens.add(t)
+                for run in {t[k : k + 3] for k in range(len(t) - 2)}:
+                    self.having.setdefault(run, []).append(t)
+
+    def holds(self, token: str) -> bool:
+        """For tokens of three signs or more."""
+        if token in self.tokens:
+            return True
+        rarest = min((self.having.get(token[k : k + 3], ()) for k in range(len(token) - 2)), key=len)
+        return any(token in t for t in rarest)
+
+
 def added_in_order(known: set[str], lines: list[str], tokens: Callable[[str], set[str]], base: list[set[str]], reread: float = 0.6) -> list[str]:
-    """Lines with tokens not known before, each accepted line adding its own; misread lines of base are left out."""
-    out, seen = [], set()
-    joined = "\n".join(known)  # a fresh token that stands in it is a piece of a known one
+    """Lines with tokens not known before, each accepted line adding its own; misread lines of base are left out.
+
+    A line is misread if it shares so large a part of its tokens with a line of base; such a line has one of the line's
+    rarest tokens, so only lines found by those are compared.
+    """
+    held, seen, out = KnownTokens(known), set(), []
+    places: dict[str, list[int]] = {}
+    for k, own in enumerate(base):
+        for t in own:
+            places.setdefault(t, []).append(k)
     for line in lines:
         own = tokens(line)
         key = " ".join(line.split()).lower()
-        fresh = {t for t in own - known if len(t) >= 3 and t not in joined}
-        if key in seen or not fresh or any(b and len(own & b) >= reread * len(own) for b in base):
+        if key in seen or not any(len(t) >= 3 and not held.holds(t) for t in own):
+            continue
+        needed = math.ceil(reread * len(own) - 1e-9)
+        rarest = sorted(own, key=lambda t: len(places.get(t, ())))[: len(own) - needed + 1]
+        if any(len(own & base[k]) >= needed for k in {k for t in rarest for k in places.get(t, ())}):
             continue
         seen.add(key)
         out.append(line)
-        joined = "\n".join([joined, *sorted(own - known)])
-        known |= own
+        held.add(own)
+    known |= held.tokens
     return out
 
 

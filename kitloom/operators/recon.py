@@ -6,6 +6,8 @@ keys; nulls of a key are groups of their own, never dropped.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -133,27 +135,54 @@ def fresh_lines(base: DataFrame, extra: DataFrame, keys: list[str], reread: floa
 def fused_lines(base: DataFrame, extra: DataFrame, keys: list[str]) -> DataFrame:
     """Lines of extra that add to base, in order: each accepted line makes its tokens known for the next ones.
 
-    Order-dependent, so a page is folded in one group; pages are the unit that scales.
+    Order-dependent, so a page's lines stream by in order, those of base first, and are decided when the page ends.
     """
-    import pandas as pd
+    import pyarrow as pa
 
     from . import folds
 
-    def add(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        columns = [*keys, "ord", "line"]
-        if right.empty:
-            return pd.DataFrame(columns=columns)
-        own = [set(t) for t in left.sort_values("pos")["tokens"]]
-        extra_rows = right.sort_values("pos")
-        tokens = {line: set(t) for line, t in zip(extra_rows["line"], extra_rows["tokens"], strict=True)}
-        kept = folds.added_in_order(set().union(*own), list(extra_rows["line"]), tokens.__getitem__, own)
-        head = right.iloc[0]
-        rows = [(*(head[k] for k in keys), n, line) for n, line in enumerate(kept)]
-        return pd.DataFrame(rows, columns=columns).astype({"line": object, **{k: object for k in keys if isinstance(head[k], str)}})
-
-    with_tokens = lambda df: df.select(*keys, "pos", "line", T.tokens(F.col("line")).alias("tokens"))
+    n = len(keys)
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        page: tuple | None = None
+        own: list[set[str]] = []
+        added: dict[str, set[str]] = {}
+        order: list[str] = []
+        out: list[tuple] = []
+
+        def decide() -> None:
+            kept = folds.added_in_order(set().union(*own), order, added.__getitem__, own)
+            out.extend((*page, k, line) for k, line in enumerate(kept))
+
+        def written(schema: pa.Schema) -> pa.RecordBatch:
+            columns = list(zip(*out, strict=True)) or [()] * (n + 2)
+            kinds = [*(schema.field(k).type for k in range(n)), pa.int64(), pa.string()]
+            batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=[*keys, "ord", "line"])
+            out.clear()
+            return batch
+
+        schema = None
+        for batch in batches:
+            schema = batch.schema
+            for *where, side, line, tokens in zip(*(batch.column(k).to_pylist() for k in range(n + 3)), strict=True):
+                if page != (at := tuple(where)):
+                    if order:
+                        decide()
+                    page, own, added, order = at, [], {}, []
+                if side:
+                    added[line] = set(tokens)
+                    order.append(line)
+                else:
+                    own.append(set(tokens))
+            yield written(schema)
+        if order:
+            decide()
+            yield written(schema)
+
+    side = lambda df, k: df.select(*keys, F.lit(k).alias("side"), "pos", "line", F.coalesce(T.tokens(F.col("line")), F.array().cast("array<string>")).alias("tokens"))
+    both = side(base, 0).unionByName(side(extra, 1)).repartition(*keys).sortWithinPartitions(*keys, "side", "pos")
     kinds = ", ".join(f"{k} {extra.schema[k].dataType.simpleString()}" for k in keys)
-    return with_tokens(base).groupBy(*keys).cogroup(with_tokens(extra).groupBy(*keys)).applyInPandas(add, f"{kinds}, ord long, line string")
+    return both.select(*keys, "side", "line", "tokens").mapInArrow(fold, f"{kinds}, ord long, line string")
 
 
 def missing_texts(texts: DataFrame, known: DataFrame, keys: list[str], text: str = "text", shingle: int = 4) -> DataFrame:

@@ -9,6 +9,9 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+#: A union of sides that are hashed alike claims to be hashed so too, but adaptive execution may merge the sides' partitions
+#: differently; groups, windows and folds after it would then see parts of a key. So unions claim nothing.
+UNION_CONF = "spark.sql.unionOutputPartitioning"
 
 
 def build_session(app: str = "kitloom", master: str = "local[*]", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
@@ -20,13 +23,14 @@ def build_session(app: str = "kitloom", master: str = "local[*]", shuffle_partit
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config(UNION_CONF, "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     session = builder.getOrCreate()
-    make_importable(session)
+    prepare(session)
     return session
 
 
@@ -38,8 +42,15 @@ def make_importable(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def prepare(spark: SparkSession) -> None:
+    """What every session must have before an operator runs, whoever built it."""
     make_importable(spark)
+    if spark.conf.get(UNION_CONF, "false") != "false":
+        spark.conf.set(UNION_CONF, "false")
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -56,6 +67,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write df to the checkpoint folder and go on from the files, which outlive any executor."""
+    prepare(df.sparkSession)
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 

@@ -420,3 +420,43 @@ def test_prefixes_agree_with_brute_force(spark):
     for longer in ((), (6,), (5, 8, 20)):
         got = M.prefix_matches(table(texts, "h"), table(wholes, "w"), head="h", whole="w", longer=longer).collect()
         assert {tuple(r) for r in got} == want and len(got) == len(want)
+
+
+def test_added_lines_agree_with_brute_force():
+    import random
+
+    rng = random.Random(11)
+    words = ["".join(rng.choice("абв") for _ in range(rng.randrange(1, 6))) for _ in range(60)]
+    for _ in range(150):
+        line = lambda: " ".join(rng.choices(words, k=rng.randrange(1, 6)))
+        base, extra = [set(line().split()) for _ in range(8)], [line() for _ in range(12)]
+        known, want, seen = set().union(*base), [], set()
+        for x in extra:
+            own = set(x.split())
+            fresh = {t for t in own if len(t) >= 3 and not any(t in k for k in known)}
+            if x in seen or not fresh or any(len(own & b) >= 0.6 * len(own) for b in base):
+                continue
+            seen.add(x)
+            want.append(x)
+            known |= own
+        assert folds.added_in_order(set().union(*base), extra, lambda x: set(x.split()), base) == want
+
+
+def test_sides_hashed_alike_stay_together(spark):
+    """Sides that were shuffled alike and merged differently still give whole pages."""
+    from pyspark.sql import Window
+
+    from kitloom.session import UNION_CONF
+
+    order = F.row_number().over(Window.partitionBy("k").orderBy("line"))
+    side = lambda n, copies: spark.range(n).select((F.col("id") % 400).alias("k"), F.concat(F.lit("узел номер "), F.col("id").cast("string"), F.lit(" " + "слово " * copies)).alias("line")).withColumn("pos", order)
+    merging = {"spark.sql.adaptive.coalescePartitions.parallelismFirst": "false", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "60KB", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB", "spark.sql.shuffle.partitions": "40"}
+    held = {name: spark.conf.get(name) for name in merging}
+    try:
+        for name, value in merging.items():
+            spark.conf.set(name, value)
+        assert spark.conf.get(UNION_CONF) == "false"
+        assert R.fused_lines(side(40_000, 60), side(4000, 60), ["k"]).count() == 0
+    finally:
+        for name, value in held.items():
+            spark.conf.set(name, value)
