@@ -176,7 +176,8 @@ class SignMatcher:
             for d in deletions(s, allowed(len(s))):
                 self.deleted[d].add(s)
         self.begun: dict[int, dict[str, set[str]]] = {}
-        self.find = lru_cache(maxsize=1 << 17)(lambda value: decided(value, [self.evidence(value)], terms))
+        self.states = SignMatcher([], terms) if entries else self
+        self.find = lru_cache(maxsize=1 << 17)(lambda value: decided(value, [self.evidence(value)], self.states))
         self.near = lru_cache(maxsize=1 << 18)(self._near)
         self.close = lru_cache(maxsize=1 << 17)(self._close)
 
@@ -280,15 +281,10 @@ class SignMatcher:
         return best
 
 
-_states: dict[int, SignMatcher] = {}
-
-
-def decided(value: str, evidence: list[Evidence], terms: Terms = TERMS) -> int | None:
-    """The entry of a value by what all blocks say of it."""
-    if id(terms) not in _states:
-        _states[id(terms)] = SignMatcher([], terms)
+def decided(value: str, evidence: list[Evidence], states: SignMatcher) -> int | None:
+    """The entry of a value by what all blocks say of it; states: a matcher of no entries, for the states in the value."""
     every = [(start, end, "object", (name, tuple(sorted(ids.items())))) for hits, _ in evidence for start, end, name, ids in hits]
-    every += [(start, end, kind, (meant, ())) for start, end, kind, meant in _states[id(terms)].mentions(value)]
+    every += [(start, end, kind, (meant, ())) for start, end, kind, meant in states.mentions(value)]
     taken: list[tuple[int, int]] = []
     meant: dict[str, set] = {"object": set(), "state": set()}
     for start, end, kind, what in sorted(every, key=lambda h: (h[0] - h[1], h[0], h[2], h[3])):
@@ -329,8 +325,9 @@ def _decided_in_blocks(values: DataFrame, listed: DataFrame, n_listed: int, bloc
     said = asked.groupBy("block", "lane").cogroup(copies.groupBy("block", "lane")).applyInPandas(judge, "value string, said string")
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        states = SignMatcher([], terms)
         for batch in batches:
-            out = [decided(v, [json.loads(s) for s in each], terms) for v, each in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
+            out = [decided(v, [json.loads(s) for s in each], states) for v, each in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.int32())], names=["value", "ref_id"])
 
     return said.groupBy("value").agg(F.collect_list("said").alias("said")).mapInArrow(decide, "value string, ref_id int")
