@@ -213,9 +213,12 @@ def outside_tables(blocks: DataFrame, tables: DataFrame, keys: list[str], block_
 def median_clusters(df: DataFrame, keys: list[str], value: str, tolerance: float) -> DataFrame:
     """(keys..., value, cluster): in order of value, a value joins the cluster whose running median is near enough.
 
-    A fold over sorted partitions; only the current cluster of a key is held.
+    A fold over sorted partitions; only the current cluster of a key is held. Its values come in order, so its median is in
+    their middle.
     """
-    from statistics import median
+
+    def middle(held: list[float]) -> float:
+        return (held[(len(held) - 1) // 2] + held[len(held) // 2]) / 2
 
     def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, cluster, held = None, 0, []
@@ -225,7 +228,7 @@ def median_clusters(df: DataFrame, keys: list[str], value: str, tolerance: float
                 own, v = tuple(row[:-1]), row[-1]
                 if own != key:
                     key, cluster, held = own, 0, [v]
-                elif abs(v - median(held)) <= tolerance:
+                elif abs(v - middle(held)) <= tolerance:
                     held.append(v)
                 else:
                     cluster, held = cluster + 1, [v]
