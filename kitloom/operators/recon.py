@@ -7,11 +7,15 @@ keys; nulls of a key are groups of their own, never dropped.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..session import cut_lineage
+from .skew import broadcast_if_small
 
 NO_CODE = "(без шифра)"
 VECTOR_KINDS = ("DWG", "DXF")
@@ -185,22 +189,69 @@ def fused_lines(base: DataFrame, extra: DataFrame, keys: list[str]) -> DataFrame
     return both.select(*keys, "side", "line", "tokens").mapInArrow(fold, f"{kinds}, ord long, line string")
 
 
-def missing_texts(texts: DataFrame, known: DataFrame, keys: list[str], text: str = "text", shingle: int = 4) -> DataFrame:
+def missing_texts(texts: DataFrame, known: DataFrame, keys: list[str], text: str = "text", shingle: int = 4, block: int = 6_000_000) -> DataFrame:
     """Distinct folded texts that stand in no known text of their key, not even inside one.
 
-    A contained text shares its first signs with some place of the text that contains it, so candidates meet by an
-    equi-join on pieces of `shingle` signs; shorter texts are compared as a whole with the pieces of their length.
+    Texts that equal a known one go first. What is left is held by key while the key's known texts stream by, so no text is
+    cut into rows of pieces. A key whose texts have more than `block` signs is cut into blocks of both sides, of which each
+    meets each of the other side; what is missing there is missing from every block of known texts.
     """
-    folded = lambda df: df.filter(F.col(text).isNotNull()).select(*keys, T.fold(F.col(text)).alias("t")).filter("t <> ''").distinct()
-    asked = folded(texts).withColumn("size", F.least(F.length("t"), F.lit(shingle))).withColumn("piece", F.expr("left(t, size)"))
-    wholes = folded(known).withColumnRenamed("t", "whole").withColumn("whole_id", F.xxhash64("whole"))
-    # pieces carry the id of their text only
-    sizes = F.explode(F.sequence(F.lit(1), F.least(F.length("whole"), F.lit(shingle)))).alias("size")
-    cut = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("whole") - F.col("size") + 1), lambda at: F.substring(F.col("whole"), at, F.col("size"))))
-    pieces = wholes.select(*keys, "whole_id", "whole", sizes).select(*keys, "whole_id", "size", F.explode(cut).alias("piece"))
-    met = asked.join(pieces, [*keys, "size", "piece"]).select(*keys, "t", "whole_id").distinct()
-    hit = met.join(wholes, [*keys, "whole_id"]).filter(F.contains("whole", F.col("t")))
-    return asked.select(*keys, "t").join(hit.select(*keys, "t").distinct(), [*keys, "t"], "left_anti").withColumnRenamed("t", text)
+    import pyarrow as pa
+
+    from . import folds
+
+    n = len(keys)
+    # a null in the key equals nothing, so known texts have no nulls there
+    keyed = reduce(and_, (F.col(k).isNotNull() for k in keys))
+    folded = lambda df, side: df.filter(F.col(text).isNotNull()).select(*keys, T.fold(F.col(text)).alias("t"), F.lit(side).alias("side")).filter("t <> ''")
+    theirs = folded(known, 1).filter(keyed)
+    left = cut_lineage(folded(texts, 0).unionByName(theirs).groupBy(*keys, "t").agg(F.max("side").alias("side")).filter("side = 0"))
+    signs = lambda df, c, side: df.select(*keys, (F.length(c) * (1 - side)).alias("asked"), (F.length(c) * side).alias("known"))
+    blocks = lambda c: F.ceil(F.sum(c) / block).cast("int").alias(c)
+    hot = broadcast_if_small(signs(left.filter(keyed), "t", 0).unionByName(signs(known.filter(keyed), text, 1)).groupBy(*keys).agg(blocks("asked"), blocks("known")).filter("asked > 1 or known > 1"))
+    count = lambda side: F.greatest(F.coalesce(F.col(side), F.lit(1)), F.lit(1))
+
+    def cells(df: DataFrame, own: str, other: str) -> DataFrame:
+        placed = df.join(hot, keys, "left").select(*keys, "t", "side", F.pmod(F.xxhash64("t"), count(own)).cast("int").alias(f"{own}_block"), F.sequence(F.lit(0), count(other) - 1).alias("others"))
+        return placed.withColumn(f"{other}_block", F.explode("others")).select(*keys, "asked_block", "known_block", "side", "t")
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell: tuple | None = None
+        asked: list[str] = []
+        rest: folds.OpenTexts | None = None
+        out: list[tuple] = []
+
+        def written(schema: pa.Schema) -> pa.RecordBatch:
+            columns = list(zip(*out, strict=True)) or [()] * (n + 1)
+            kinds = [*(schema.field(k).type for k in range(n)), pa.string()]
+            batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=[*keys, "t"])
+            out.clear()
+            return batch
+
+        schema = None
+        for batch in batches:
+            schema = batch.schema
+            for *where, side, t in zip(*(batch.column(k).to_pylist() for k in range(n + 4)), strict=True):
+                if cell != (at := tuple(where)):
+                    if cell is not None:
+                        out.extend((*cell[:n], x) for x in (asked if rest is None else rest))
+                    cell, asked, rest = at, [], None
+                if not side:
+                    asked.append(t)
+                elif asked:
+                    if rest is None:
+                        rest = folds.OpenTexts(asked, shingle)
+                    rest.meet(t)
+            yield written(schema)
+        if cell is not None:
+            out.extend((*cell[:n], x) for x in (asked if rest is None else rest))
+            yield written(schema)
+
+    both = cells(left.filter(keyed), "asked", "known").unionByName(cells(theirs, "known", "asked")).repartition(*keys, "asked_block", "known_block").sortWithinPartitions(*keys, "asked_block", "known_block", "side")
+    kinds = ", ".join(f"{k} {left.schema[k].dataType.simpleString()}" for k in keys)
+    missing = both.mapInArrow(fold, f"{kinds}, t string").groupBy(*keys, "t").agg(F.count("*").alias("n"))
+    everywhere = missing.join(hot, keys, "left").filter(F.col("n") == count("known"))
+    return everywhere.select(*keys, "t").unionByName(left.filter(~keyed).select(*keys, "t")).withColumnRenamed("t", text)
 
 
 def best_of(base: DataFrame, override: DataFrame, keys: list[str], value: str) -> DataFrame:

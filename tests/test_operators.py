@@ -1,6 +1,7 @@
 import datetime as dt
 import io
 import json
+import random
 import zipfile
 
 import pytest
@@ -257,6 +258,51 @@ def test_event_stream(spark, tmp_path):
     assert sorted((r["event_type"], r["events"]) for r in spark.table("hours").collect()) == [("a", 2), ("b", 1)]
 
 
+def _shuffled_records(spark):
+    sc, gateway = spark.sparkContext._jsc.sc(), spark.sparkContext._gateway
+    sc.listenerBus().waitUntilEmpty()
+    stages = sc.statusStore().stageList(None, False, False, gateway.new_array(gateway.jvm.double, 0), gateway.jvm.java.util.ArrayList())
+    return sum(stages.apply(k).shuffleWriteRecords() for k in range(stages.size()))
+
+
+def test_missing_texts_cuts_no_text_into_rows(spark):
+    t, rng = "d string, text string", random.Random(5)
+    word = lambda: "".join(rng.choice("абвгдежзик") for _ in range(6))
+    wholes = [" ".join(word() for _ in range(60)) for _ in range(40)]
+    asked = [("a", w[7:30].strip()) for w in wholes[:20]] + [("a", "план щита"), ("b", wholes[0])]
+    before, threshold = _shuffled_records(spark), "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(threshold, "-1")  # else small sides are sent to the driver, uncounted
+    try:
+        got = R.missing_texts(spark.createDataFrame(asked, t), spark.createDataFrame([("a", w) for w in wholes], t), ["d"]).collect()
+    finally:
+        spark.conf.unset(threshold)
+    assert sorted(map(tuple, got)) == sorted([("a", "план щита"), ("b", wholes[0])])
+    assert 0 < _shuffled_records(spark) - before <= 10 * (len(asked) + len(wholes))
+
+
+@pytest.mark.parametrize("block", [5, 60, 1_000_000])
+def test_missing_texts_of_hot_keys_agree_with_all_pairs(spark, block):
+    t, rng = "d string, e int, text string", random.Random(block)
+    some = lambda n, most: [(rng.choice(["hot"] * 8 + ["x", "y", None]), rng.choice([1] * 9 + [None]), "".join(rng.choice("абВ ") for _ in range(rng.randrange(most)))) for _ in range(n)]
+    asked, known = some(200, 9) + [("lone", 1, "ааа"), ("hot", 1, None)], some(60, 24) + [("hot", 1, None)]
+    fold = lambda rows: {(d, e, f) for d, e, x in rows if x is not None and (f := " ".join(x.split()).lower())}
+    wholes = fold(known)
+    right = {(d, e, x) for d, e, x in fold(asked) if d is None or e is None or not any((d, e) == (kd, ke) and x in w for kd, ke, w in wholes)}
+    got = [tuple(r) for r in R.missing_texts(spark.createDataFrame(asked, t), spark.createDataFrame(known, t), ["d", "e"], block=block).collect()]
+    assert len(got) == len(set(got)) and set(got) == right
+
+
+def test_open_texts_are_found_by_any_run():
+    rng = random.Random(3)
+    for size in (1, 4):
+        texts = sorted({"".join(rng.choice("аб") for _ in range(rng.randrange(1, 12))) for _ in range(200)})
+        wholes = ["".join(rng.choice("аб") for _ in range(rng.randrange(0, 15))) for _ in range(40)]
+        rest = folds.OpenTexts(texts, size)
+        for w in wholes:
+            rest.meet(w)
+        assert sorted(rest) == [t for t in texts if not any(t in w for w in wholes)]
+
+
 def test_fused_and_missing(spark):
     schema = "id int, pos int, line string"
     base = spark.createDataFrame([(1, 0, "складской комплекс магистраль"), (2, 0, "лист")], schema)
